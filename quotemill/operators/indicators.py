@@ -34,8 +34,9 @@ def moving_averages(
     line = open_timeline(
         prices.select("ticker", "date", "close"), lookback=max(windows.values()), split=split
     )
+    units = F.floor(F.col("close") * F.lit(float(PRICE_UNITS)) + F.lit(0.5))
     totals = (
-        line.rows.withColumn("_units", F.round(F.col("close") * F.lit(PRICE_UNITS)).cast("bigint"))
+        line.rows.withColumn("_units", units)
         .withColumn("_total", F.coalesce(F.sum("_units").over(line.history), F.lit(0)))
         .withColumn("_count", F.count("_units").over(line.history))
     )
@@ -43,12 +44,20 @@ def moving_averages(
     for name, rows in windows.items():
         total = F.col("_total") - F.coalesce(line.lag("_total", rows), F.lit(0))
         count = F.col("_count") - F.coalesce(line.lag("_count", rows), F.lit(0))
-        mean = F.try_divide(total.cast("double"), count.cast("double") * F.lit(float(PRICE_UNITS)))
-        averages[name] = mean if digits is None else F.round(mean, digits)
+        averages[name] = _mean(total, count, digits)
     done = totals.withColumns(averages).drop("_units", "_total", "_count")
     return line.close(done)
 
 
+def _mean(total: Column, count: Column, digits: int | None) -> Column:
+    """Mean of a total in price units; rounding is half away from zero, in whole numbers."""
+    if digits is None:
+        return F.try_divide(total.cast("double"), count.cast("double") * F.lit(float(PRICE_UNITS)))
+    steps = F.nullif(count, F.lit(0)) * F.lit(PRICE_UNITS // 10**digits)
+    rounded = F.call_function("div", F.abs(total) * 2 + steps, steps * 2)
+    return F.signum(total.cast("double")) * rounded / F.lit(float(10**digits))
+
+
 def technical_indicators(
     prices: DataFrame, rsi: DataFrame, macd: DataFrame, split: Split | None = None
 ) -> DataFrame:

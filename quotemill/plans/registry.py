@@ -24,8 +24,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 RUN_DATE = "2000-06-30"
 SCREEN_DATE = "2000-06-30"
 CUTOFF = dt.date(2001, 6, 30)
-BLOCKS = Split(rows_per_block=1024, piece="year")
-SMALL_BLOCKS = Split(rows_per_block=256, piece="month")
+SMALL_BLOCKS = Split(rows_per_block=512, piece="month")
 
 REGISTRY: dict[str, Query] = {}
 
@@ -144,7 +143,7 @@ def macd(spark, folder):
 
 @registered
 def macd_split(spark, folder):
-    values = indicators.macd(adapters.stock_prices(spark, folder), split=BLOCKS)
+    values = indicators.macd(adapters.stock_prices(spark, folder), split=Split(rows_per_block=1024, piece="year"))
     return rounded(values, 3, "macd_value", "signal_value", "histogram_value")
 
 
@@ -434,7 +433,7 @@ def feed_macd(spark, folder):
 
 def _statement_payloads(rows: DataFrame, amounts: list[str]) -> DataFrame:
     """One payload per ticker and decade of annual statements."""
-    fields = [f.name for f in schemas.STATEMENT_HEAD if f.name not in ("ticker", "accepted_date")] + amounts
+    fields = [c for c in rows.columns if c != "ticker"]
     accepted = F.concat(F.col("date").cast("string"), F.lit(" 16:30:00")).alias("acceptedDate")
     record = F.struct(accepted, *[F.col(c).alias(schemas.feed_name(c)) for c in fields])
     decade = F.floor(F.year("date") / 10).alias("decade")
@@ -455,7 +454,7 @@ def feed_income(spark, folder):
 @registered
 def feed_balance(spark, folder):
     payloads = _statement_payloads(adapters.balance_sheets(spark, folder), schemas.BALANCE_AMOUNTS)
-    columns = [c for c in fundamentals.BALANCE_COLUMNS]
+    columns = fundamentals.BALANCE_COLUMNS
     rows = feeds.balance_sheets(payloads).select("ticker", "date", "fiscal_year", "period", *columns)
     return cast(rows, "bigint", *columns)
 
@@ -463,7 +462,7 @@ def feed_balance(spark, folder):
 @registered
 def feed_cash_flow(spark, folder):
     payloads = _statement_payloads(adapters.cash_flow_statements(spark, folder), schemas.CASH_FLOW_AMOUNTS)
-    columns = [c for c in fundamentals.CASH_FLOW_COLUMNS]
+    columns = fundamentals.CASH_FLOW_COLUMNS
     rows = feeds.cash_flow_statements(payloads).select("ticker", "date", "fiscal_year", "period", *columns)
     return cast(rows, "bigint", *columns)
 

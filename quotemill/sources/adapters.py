@@ -8,8 +8,9 @@ sends few rows, and a ticker has at most one row per day afterwards.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quotemill import schemas
 
@@ -21,201 +22,173 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def _cents(column: str) -> Column:
-    return F.round(F.col(column) * 100).cast("bigint")
-
-
 def _trades(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "lineitem").select(
-        F.col("l_suppkey").cast("string").alias("ticker"),
-        F.col("l_shipdate").cast("date").alias("date"),
-        _cents("l_extendedprice").alias("cents"),
-        F.col("l_quantity").cast("bigint").alias("shares"),
-        _cents("l_discount").alias("discount"),
-        _cents("l_tax").alias("tax"),
-        F.col("l_linenumber").alias("line"),
-        F.col("l_returnflag").alias("flag"),
+    """Order lines as trades. Grouping is by the numeric supplier key, which hashes faster than text."""
+    return table(spark, folder, "lineitem").selectExpr(
+        "l_suppkey AS supplier",
+        "CAST(l_shipdate AS DATE) AS date",
+        "floor(l_extendedprice * 100D + 0.5D) AS cents",
+        "CAST(l_quantity AS BIGINT) AS shares",
+        "floor(l_discount * 100D + 0.5D) AS discount",
+        "floor(l_tax * 100D + 0.5D) AS tax",
+        "l_linenumber AS line",
+        "l_returnflag AS flag",
     )
 
 
-def _price_per_share(cents: str, shares: str) -> Column:
-    """Cents per share rounded half up, in whole-number arithmetic."""
-    return F.expr(f"(2 * {cents} + {shares}) div (2 * {shares})")
+TICKER = "CAST(supplier AS STRING) AS ticker"
+POINT_LABELS = ("'day' AS timespan", "'close' AS series_type", "date")
+
+# Cents per share rounded half up, in whole-number arithmetic.
+PER_SHARE = "(2 * cents + shares) div (2 * shares)"
 
 
 def stock_prices(spark: SparkSession, folder: str) -> DataFrame:
     """One bar per ticker and day."""
-    lines = _trades(spark, folder).withColumn("unit", _price_per_share("cents", "shares"))
-    daily = lines.groupBy("ticker", "date").agg(
-        F.min("unit").alias("low_cents"),
-        F.max("unit").alias("high_cents"),
-        F.sum("cents").alias("cents"),
-        F.sum("shares").alias("shares"),
-        F.count(F.lit(1)).alias("transactions"),
-    )
-    close = (_price_per_share("cents", "shares") / 100.0).alias("close")
-    return daily.select(
-        "ticker",
-        (F.col("low_cents") / 100.0).alias("open"),
-        (F.col("high_cents") / 100.0).alias("high"),
-        (F.col("low_cents") / 100.0).alias("low"),
-        close,
-        F.col("shares").alias("volume"),
-        close.alias("vwap"),
+    daily = (
+        _trades(spark, folder)
+        .groupBy("supplier", "date")
+        .agg(
+            F.expr(f"min({PER_SHARE}) / 100D AS low"),
+            F.expr(f"max({PER_SHARE}) / 100D AS high"),
+            F.expr("sum(cents) AS cents"),
+            F.expr("sum(shares) AS shares"),
+            F.expr("count(*) AS transactions"),
+        )
+    )
+    return daily.selectExpr(
+        TICKER,
+        "low AS open",
+        "high",
+        "low",
+        f"{PER_SHARE} / 100D AS close",
+        "shares AS volume",
+        f"{PER_SHARE} / 100D AS vwap",
         "transactions",
         "date",
     )
 
 
 def _daily_shares(spark: SparkSession, folder: str) -> DataFrame:
-    return _trades(spark, folder).groupBy("ticker", "date").agg(F.sum("shares").alias("shares"))
+    return _trades(spark, folder).groupBy("supplier", "date").agg(F.expr("sum(shares) AS shares"))
 
 
 def rsi_points(spark: SparkSession, folder: str) -> DataFrame:
-    shares = F.col("shares")
-    return _daily_shares(spark, folder).select(
-        "ticker",
-        F.col("date").cast("timestamp_ntz").alias("timestamp"),
-        F.when(shares % 13 != 0, ((shares * 7) % 101).cast("double")).alias("rsi_value"),
-        F.lit(14).alias("window_size"),
-        F.lit("day").alias("timespan"),
-        F.lit("close").alias("series_type"),
-        "date",
+    return _daily_shares(spark, folder).selectExpr(
+        TICKER,
+        "CAST(date AS TIMESTAMP_NTZ) AS timestamp",
+        "CASE WHEN shares % 13 <> 0 THEN CAST((shares * 7) % 101 AS DOUBLE) END AS rsi_value",
+        "14 AS window_size",
+        *POINT_LABELS,
     )
 
 
 def macd_points(spark: SparkSession, folder: str) -> DataFrame:
-    shares = F.col("shares")
-    value = (shares % 21 - 10) / 10.0
-    signal = (shares % 17 - 8) / 10.0
-    return _daily_shares(spark, folder).select(
-        "ticker",
-        F.col("date").cast("timestamp_ntz").alias("timestamp"),
-        value.alias("macd_value"),
-        signal.alias("signal_value"),
-        (value - signal).alias("histogram_value"),
-        F.lit(12).alias("short_window"),
-        F.lit(26).alias("long_window"),
-        F.lit(9).alias("signal_window"),
-        F.lit("day").alias("timespan"),
-        F.lit("close").alias("series_type"),
-        "date",
-    )
-
-
-def _yearly(spark: SparkSession, folder: str, **amounts: Column) -> DataFrame:
-    """One statement per ticker and calendar year, with whole-unit amounts."""
-    year = F.year("date")
-    lines = _trades(spark, folder).select(
-        "*",
-        F.make_date(year, F.lit(12), F.lit(31)).alias("year_end"),
-        year.cast("string").alias("fiscal_year"),
+    value, signal = "(shares % 21 - 10) / 10D", "(shares % 17 - 8) / 10D"
+    return _daily_shares(spark, folder).selectExpr(
+        TICKER,
+        "CAST(date AS TIMESTAMP_NTZ) AS timestamp",
+        f"{value} AS macd_value",
+        f"{signal} AS signal_value",
+        f"{value} - {signal} AS histogram_value",
+        "12 AS short_window",
+        "26 AS long_window",
+        "9 AS signal_window",
+        *POINT_LABELS,
+    )
+
+
+def _statements(
+    spark: SparkSession, folder: str, schema: T.StructType, sums: dict[str, str], amounts: dict[str, str]
+) -> DataFrame:
+    """One statement per ticker and calendar year: conditional sums, and amounts made of them."""
+    lines = _trades(spark, folder).withColumn("year", F.year("date"))
+    yearly = lines.groupBy("supplier", "year").agg(
+        *[
+            F.expr(f"coalesce(sum(cents) FILTER (WHERE {condition}), 0) AS {name}")
+            for name, condition in sums.items()
+        ],
+        F.expr("count(*) AS lines"),
+    )
+    return yearly.selectExpr(
+        TICKER,
+        "make_date(year, 12, 31) AS date",
+        "CAST(year AS STRING) AS fiscal_year",
+        "'FY' AS period",
+        *[f"CAST({value} AS {schema[name].dataType.simpleString()}) AS {name}" for name, value in amounts.items()],
     )
-    yearly = lines.groupBy("ticker", "year_end", "fiscal_year").agg(
-        *[F.coalesce(F.sum(a), F.lit(0)).alias(name) for name, a in amounts.items()]
-    )
-    return yearly.select(
-        "ticker", F.col("year_end").alias("date"), "fiscal_year", F.lit("FY").alias("period"), *amounts
-    )
-
-
-def _amounts(rows: DataFrame, table_schema, derived: dict[str, Column]) -> DataFrame:
-    """Every column of a statement table: the derived amounts, NULL for the others."""
-    head = {"ticker", "date", "fiscal_year", "period"}
-    columns = []
-    for field in table_schema:
-        if field.name == "extracted_at":
-            continue
-        if field.name in head:
-            columns.append(F.col(field.name))
-        else:
-            value = derived.get(field.name, F.lit(None))
-            columns.append(value.cast(field.dataType).alias(field.name))
-    return rows.select(*columns)
-
-
-def _where(condition: Column) -> Column:
-    return F.when(condition, F.col("cents"))
 
 
 def income_statements(spark: SparkSession, folder: str) -> DataFrame:
-    flag, discount, tax = F.col("flag"), F.col("discount"), F.col("tax")
-    rows = _yearly(
+    return _statements(
         spark,
         folder,
-        revenue=F.col("cents"),
-        gross=_where(flag != "R"),
-        accepted_sales=_where(flag == "A"),
-        gains=_where((flag == "A") & (discount <= 5)),
-        losses=_where((flag == "R") & (tax == 8)),
-        shares=F.lit(1),
-    )
-    net = F.col("gains") - F.col("losses")
-    return _amounts(
-        rows,
         schemas.INCOME,
-        {
-            "revenue": F.col("revenue"),
-            "cost_of_revenue": F.col("revenue") - F.col("gross"),
-            "gross_profit": F.col("gross"),
-            "operating_income": F.col("accepted_sales"),
-            "net_income": net,
-            "eps_diluted": net / F.col("shares"),
-            "weighted_average_shares_out_diluted": F.col("shares"),
+        sums={
+            "total": "true",
+            "gross": "flag <> 'R'",
+            "accepted": "flag = 'A'",
+            "gains": "flag = 'A' AND discount <= 5",
+            "losses": "flag = 'R' AND tax = 8",
+        },
+        amounts={
+            "revenue": "total",
+            "cost_of_revenue": "total - gross",
+            "gross_profit": "gross",
+            "operating_income": "accepted",
+            "net_income": "gains - losses",
+            "ebitda": "NULL",
+            "eps_diluted": "(gains - losses) / lines",
+            "weighted_average_shares_out_diluted": "lines",
         },
     )
 
 
 def balance_sheets(spark: SparkSession, folder: str) -> DataFrame:
-    line, discount, tax = F.col("line"), F.col("discount"), F.col("tax")
-    rows = _yearly(
+    equity = "(low_discount - 2 * untaxed) * 5"
+    return _statements(
         spark,
         folder,
-        total=F.col("cents"),
-        current_assets=_where(line <= 3),
-        current_liabilities=_where(line >= 5),
-        low_discount=_where(discount < 5),
-        untaxed=_where(tax == 0),
-        taxed=_where(tax >= 6),
-        cash=_where(line == 1),
-        receivables=_where(line == 2),
-    )
-    equity = (F.col("low_discount") - F.col("untaxed") * 2) * 5
-    debt = F.col("taxed") * 3
-    return _amounts(
-        rows,
         schemas.BALANCE,
-        {
-            "total_assets": F.col("total") * 3,
-            "total_current_assets": F.col("current_assets"),
-            "cash_and_short_term_investments": F.col("cash"),
-            "net_receivables": F.col("receivables"),
-            "total_liabilities": F.col("total") * 3 - equity,
-            "total_current_liabilities": F.col("current_liabilities"),
+        sums={
+            "total": "true",
+            "current_assets": "line <= 3",
+            "current_liabilities": "line >= 5",
+            "low_discount": "discount < 5",
+            "untaxed": "tax = 0",
+            "taxed": "tax >= 6",
+            "cash": "line = 1",
+            "receivables": "line = 2",
+        },
+        amounts={
+            "total_assets": "total * 3",
+            "total_current_assets": "current_assets",
+            "cash_and_short_term_investments": "cash",
+            "net_receivables": "receivables",
+            "total_liabilities": f"total * 3 - {equity}",
+            "total_current_liabilities": "current_liabilities",
             "total_stockholders_equity": equity,
-            "total_debt": debt,
-            "net_debt": debt - F.col("cash"),
+            "total_debt": "taxed * 3",
+            "net_debt": "taxed * 3 - cash",
         },
     )
 
 
 def cash_flow_statements(spark: SparkSession, folder: str) -> DataFrame:
-    flag, line = F.col("flag"), F.col("line")
-    rows = _yearly(
+    free = "(inflow - outflow)"
+    return _statements(
         spark,
         folder,
-        inflow=_where((flag == "N") & (line <= 4)),
-        outflow=_where((flag == "R") & (line == 1)),
-        investment=_where(line == 7),
-    )
-    free = F.col("inflow") - F.col("outflow")
-    return _amounts(
-        rows,
         schemas.CASH_FLOW,
-        {
+        sums={
+            "inflow": "flag = 'N' AND line <= 4",
+            "outflow": "flag = 'R' AND line = 1",
+            "investment": "line = 7",
+        },
+        amounts={
             "free_cash_flow": free,
-            "operating_cash_flow": free + F.col("investment"),
-            "capital_expenditure": -F.col("investment"),
+            "operating_cash_flow": f"{free} + investment",
+            "capital_expenditure": "-investment",
         },
     )
 
@@ -229,52 +202,46 @@ def constituents(spark: SparkSession, folder: str) -> DataFrame:
         .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
         .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
     )
-    balance = F.floor("s_acctbal").cast("int")
-    return placed.select(
-        F.col("s_suppkey").cast("string").alias("Symbol"),
-        F.col("s_name").alias("Security"),
-        F.col("r_name").alias("GICS Sector"),
-        F.col("n_name").alias("GICS Sub-Industry"),
-        F.concat_ws(", ", "n_name", "r_name").alias("Headquarters Location"),
-        F.date_add(F.lit("1990-01-01").cast("date"), balance).cast("string").alias("Date added"),
-        F.lpad(F.col("s_suppkey").cast("string"), 10, "0").alias("CIK"),
-        (F.lit(1900) + F.col("s_nationkey")).cast("string").alias("Founded"),
+    return placed.selectExpr(
+        "CAST(s_suppkey AS STRING) AS Symbol",
+        "s_name AS Security",
+        "r_name AS `GICS Sector`",
+        "n_name AS `GICS Sub-Industry`",
+        "concat(n_name, ', ', r_name) AS `Headquarters Location`",
+        "CAST(date_add(DATE'1990-01-01', CAST(floor(s_acctbal) AS INT)) AS STRING) AS `Date added`",
+        "lpad(CAST(s_suppkey AS STRING), 10, '0') AS CIK",
+        "CAST(1900 + s_nationkey AS STRING) AS Founded",
         "s_acctbal",
     )
 
 
 def tickers_lookup(spark: SparkSession, folder: str) -> DataFrame:
     """Two snapshots of the index; suppliers in debt leave it before the second."""
+    first, second = (f"DATE'{day}'" for day in SNAPSHOT_DATES)
     named = constituents(spark, folder).withColumnsRenamed(schemas.CONSTITUENT_HEADERS)
-    first, second = (F.lit(d).cast("date") for d in SNAPSHOT_DATES)
-    days = F.when(F.col("s_acctbal") >= 0, F.array(first, second)).otherwise(F.array(first))
-    return named.select(
+    return named.selectExpr(
         "ticker",
         "security_name",
         "gics_sector",
         "gics_sub_industry",
         "headquarters_location",
-        F.col("date_added").cast("date").alias("date_added"),
+        "CAST(date_added AS DATE) AS date_added",
         "cik",
         "founded_year",
-        F.explode(days).alias("date"),
-        F.lit(None).cast("timestamp_ntz").alias("extracted_at"),
+        f"explode(CASE WHEN s_acctbal >= 0 THEN array({first}, {second}) ELSE array({first}) END) AS date",
+        "CAST(NULL AS TIMESTAMP_NTZ) AS extracted_at",
     )
 
 
 def article_feed(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as articles that mention two exchange-prefixed tickers; English ones come first."""
-    doc = F.col("doc_id")
-    day = F.when(F.col("lang") == "en", F.lit(NEWS_DATES[0])).otherwise(F.lit(NEWS_DATES[1]))
-    return table(spark, folder, "documents").select(
-        F.concat(day, F.lit(" 09:30:00")).alias("date"),
-        F.concat(
-            F.lit("NYSE:"), (doc % 10).cast("string"), F.lit(", NASDAQ:"), ((doc * 3) % 10).cast("string")
-        ).alias("tickers"),
-        F.concat(F.lit("Document "), doc.cast("string")).alias("title"),
-        F.col("text").alias("content"),
-        F.lit(None).cast("string").alias("image"),
-        F.concat(F.lit("doc/"), doc.cast("string")).alias("link"),
-        F.lit(None).cast("string").alias("author"),
-        F.col("source").alias("site"),
+    return table(spark, folder, "documents").selectExpr(
+        f"concat(CASE WHEN lang = 'en' THEN '{NEWS_DATES[0]}' ELSE '{NEWS_DATES[1]}' END, ' 09:30:00') AS date",
+        "concat('NYSE:', doc_id % 10, ', NASDAQ:', (doc_id * 3) % 10) AS tickers",
+        "concat('Document ', doc_id) AS title",
+        "text AS content",
+        "CAST(NULL AS STRING) AS image",
+        "concat('doc/', doc_id) AS link",
+        "CAST(NULL AS STRING) AS author",
+        "source AS site",
     )
