@@ -46,7 +46,7 @@ def _now() -> Column:
     return F.current_timestamp().cast("timestamp_ntz")
 
 
-def _shape(rows: DataFrame, table: T.StructType) -> DataFrame:
+def shape(rows: DataFrame, table: T.StructType) -> DataFrame:
     """Columns by name, in the order and types of a table."""
     return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in table])
 
@@ -243,7 +243,7 @@ def _statements(payloads: DataFrame, amounts: list[str], table: T.StructType) ->
     rows = records.select(
         "ticker", *[value.alias(name) for name, value in fields.items()], _now().alias("extracted_at")
     )
-    return _shape(rows, table)
+    return shape(rows, table)
 
 
 def income_statements(payloads: DataFrame) -> DataFrame:
@@ -268,7 +268,7 @@ def constituents(snapshot: DataFrame, run_date: Day) -> DataFrame:
             "extracted_at": _now(),
         }
     )
-    return _shape(rows, schemas.CONSTITUENTS)
+    return shape(rows, schemas.CONSTITUENTS)
 
 
 def reference_tickers(pages: DataFrame) -> DataFrame:

@@ -97,6 +97,8 @@ class Tables:
         Only the days the batch spans are read and written. The batch is staged first, because it
         is usually derived from the table it goes into.
         """
+        if partition is not None and partition not in keys:
+            raise ValueError(f"the keys must include the partition column {partition!r}")
         if not self.exists(table):
             self._write(batch, table, partition, "append")
             return True
