@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from quotemill.functions.scalars import as_date
 
+SHARES = 16  # parts of a hot ticker in a membership join
+
 # Names the membership table takes in the models.
 SNAPSHOT_NAMES = {
     "date": "as_of_date",
@@ -45,9 +47,24 @@ def universe(lookup: DataFrame, run_date: str | dt.date) -> DataFrame:
     )
 
 
-def in_universe(rows: DataFrame, members: DataFrame) -> DataFrame:
-    """Rows whose ticker is a member."""
-    return rows.join(members.select("ticker"), "ticker", "left_semi")
+def in_universe(rows: DataFrame, members: DataFrame, shares: int = SHARES) -> DataFrame:
+    """Rows whose ticker is a member.
+
+    One ticker may hold a large part of the rows. They are therefore spread over ``shares`` by a
+    hash of their other columns, and every share gets its own copy of the members, so no task
+    has to take a whole ticker. Adaptive execution cannot do this here: it only splits a join
+    whose sides both come straight out of a shuffle, and members are usually made distinct first.
+    """
+    others = [
+        name for name, kind in rows.dtypes if name != "ticker" and not kind.startswith(("map", "variant"))
+    ]
+    share = F.pmod(F.xxhash64(*others), F.lit(shares)) if others else F.lit(0).cast("bigint")
+    every = F.sequence(F.lit(0).cast("bigint"), F.lit(shares - 1).cast("bigint"))
+    copies = members.filter(F.col("ticker").isNotNull()).withColumn("_share", F.explode(every))
+    # One key column: with two, both sides might be partitioned by the ticker alone.
+    key = F.struct("ticker", "_share").alias("_key")
+    spread = rows.withColumn("_share", share).select("*", key)
+    return spread.join(copies.select(key), "_key", "left_semi").select(*rows.columns)
 
 
 def with_company(rows: DataFrame, companies: DataFrame) -> DataFrame:

@@ -21,6 +21,11 @@ from pyspark.sql import functions as F
 NO_DATE = "9999-12-31"  # rows without a date sort last and form their own piece
 MAX_PLAIN_ROWS = 1_000_000
 
+# Parts of a history are told apart by one struct column. With two columns, a join or window
+# could settle for rows partitioned by the key alone, and a long history would be in one task
+# after all. Structs also compare NULL fields as equal.
+PART = "_part"
+
 
 @dataclass(frozen=True)
 class Split:
@@ -108,14 +113,15 @@ def open_timeline(
     window = Window.partitionBy(key).orderBy(*sort)
     if earlier is None or not carried:
         return Timeline(df, window, [key])
-    oldest = F.min_by(F.struct(*first), F.struct(*[F.col(c) for c in order])) if first else F.lit(None)
+    # A single plain column to order by keeps this a hash aggregate, which needs no sort.
+    place = F.col(order[0]) if len(order) == 1 else F.struct(*order)
     before = earlier.groupBy(key).agg(
         F.lit(True).alias("_continues"),
-        oldest.alias("_oldest"),
+        *[F.min_by(c, place).alias(f"_first_{c}") for c in first],
         *[F.max(c).alias(f"_max_{c}") for c in running_max],
     )
-    before = before.withColumns({f"_first_{c}": F.col(f"_oldest.{c}") for c in first})
-    rows = _null_safe_join(df, before, [key], ["_continues", *carried])
+    before = before.withColumnRenamed(key, "_older_key")
+    rows = df.join(before, F.col(key).eqNullSafe(F.col("_older_key")), "left").drop("_older_key")
     rows = rows.withColumn("_continues", F.coalesce("_continues", F.lit(False)))
     return Timeline(rows, window, [key], carried=True, helpers=("_continues", *carried))
 
@@ -134,17 +140,17 @@ def _open_split(df, lookback, first, running_max, key, time, sort, split, carrie
         numbered.withColumn("_place", F.explode(places))
         .select(*df.columns, "_row", "_place._block", "_place._own")
         .withColumn("_continues", F.col("_block") > 0)
+        .withColumn(PART, F.struct(key, "_block"))
     )
     if carried:
-        summary = _block_summary(numbered, key, first, running_max)
-        placed = _null_safe_join(placed, summary, [key, "_block"], list(carried))
+        placed = placed.join(_block_summary(numbered, key, first, running_max), PART, "left")
     return Timeline(
         placed,
-        Window.partitionBy(key, "_block").orderBy("_row"),
-        [key, "_block"],
+        Window.partitionBy(PART).orderBy("_row"),
+        [PART],
         carried=bool(carried),
         copies=True,
-        helpers=("_row", "_block", "_own", "_continues", *carried),
+        helpers=(PART, "_row", "_block", "_own", "_continues", *carried),
     )
 
 
@@ -155,18 +161,18 @@ def _global_row_numbers(df: DataFrame, key: str, time: str, sort: list[Column],
     """
     pieces = df.withColumn(
         "_piece", F.coalesce(F.date_trunc(piece, F.col(time)).cast("date"), F.lit(NO_DATE).cast("date"))
-    )
+    ).withColumn(PART, F.struct(key, "_piece"))
     so_far = Window.partitionBy(key).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     before = (
         pieces.groupBy(key, "_piece")
         .agg(F.count(F.lit(1)).alias("_rows"))
-        .select(key, "_piece", F.coalesce(F.sum("_rows").over(so_far), F.lit(0)).alias("_before"))
+        .select(F.struct(key, "_piece").alias(PART), F.coalesce(F.sum("_rows").over(so_far), F.lit(0)).alias("_before"))
     )
-    inside = Window.partitionBy(key, "_piece").orderBy(*sort)
+    inside = Window.partitionBy(PART).orderBy(*sort)
     return (
-        _null_safe_join(pieces, before, [key, "_piece"], ["_before"])
+        pieces.join(before, PART, "left")
         .withColumn("_row", F.col("_before") + F.row_number().over(inside) - 1)
-        .drop("_piece", "_before")
+        .drop(PART, "_piece", "_before")
     )
 
 
@@ -178,17 +184,7 @@ def _block_summary(numbered: DataFrame, key: str, first: Sequence[str], running_
     )
     earlier = Window.partitionBy(key).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     return blocks.select(
-        key,
-        "_block",
+        F.struct(key, "_block").alias(PART),
         *[F.max(f"_first_{c}").over(earlier).alias(f"_first_{c}") for c in first],
         *[F.max(f"_max_{c}").over(earlier).alias(f"_max_{c}") for c in running_max],
     )
-
-
-def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], add: list[str]) -> DataFrame:
-    """Left join that also matches NULL keys; adds the ``add`` columns."""
-    renamed = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *add)
-    condition = F.lit(True)
-    for k in keys:
-        condition = condition & left[k].eqNullSafe(renamed[f"_r_{k}"])
-    return left.join(renamed, condition, "left").drop(*[f"_r_{k}" for k in keys])

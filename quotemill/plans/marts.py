@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -29,6 +29,12 @@ def staging(raw: Mapping[str, DataFrame], name: str, include_backfill: bool = Fa
     return rows.drop(DROPPED) if name in STAGED_WITHOUT_TIME else rows
 
 
+def create_views(raw: Mapping[str, DataFrame], names: Iterable[str], include_backfill: bool = False) -> None:
+    """Staging views for ``spark.sql``, named ``stg_<table>``."""
+    for name in names:
+        staging(raw, name, include_backfill).createOrReplaceTempView(f"stg_{name}")
+
+
 @dataclass(frozen=True)
 class Marts:
     """All models over a mapping of raw tables; each is planned when first asked for."""

@@ -196,3 +196,28 @@ def test_earlier_bars_complete_the_peak_and_first_close(spark):
     part = price_returns(recent, earlier=earlier).filter(F.col("date") >= F.lit(START + dt.timedelta(days=800)))
     for name in whole.columns[3:]:
         close_to(column(part, name), column(whole, name))
+
+
+def test_split_spreads_a_hot_ticker_over_tasks(spark):
+    """Most rows in one ticker: every step of a split keeps a task's share small."""
+    from quotemill.operators import timeline
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        hot = bars(spark, HOT=walk(16_000), A=walk(500))
+        split = Split(rows_per_block=500, piece="month")
+        sort = [F.col("date").asc_nulls_last()]
+        steps = [
+            timeline._global_row_numbers(hot, "ticker", "date", sort, "month"),
+            price_returns(hot, split),
+            indicators.macd(hot, split=Split(rows_per_block=900)),
+        ]
+        for step in steps:
+            sizes = [r["count"] for r in step.groupBy(F.spark_partition_id()).count().collect()]
+            assert sum(sizes) == 16_500 and max(sizes) < 4_000, sizes
+    finally:
+        for key in ("autoBroadcastJoinThreshold", "adaptive.coalescePartitions.enabled"):
+            spark.conf.unset(f"spark.sql.{key}")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")

@@ -178,3 +178,101 @@ def test_pattern_screens(spark):
     assert [r["ticker"] for r in screens.near_high(marts).collect()] == ["b"]
     with pytest.raises(ValueError):
         screens.rank_by_composite({}, "best")
+
+
+# -- plans --------------------------------------------------------------------
+
+
+@pytest.fixture
+def hot(spark):
+    """A third of all rows in one ticker."""
+    ticker = F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.col("id").cast("string"))
+    return spark.range(0, 60_000, 1, 8).select(ticker.alias("ticker"), F.sha2(F.col("id").cast("string"), 256).alias("text"))
+
+
+@pytest.fixture
+def small_thresholds(spark):
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {key: spark.conf.get(key, None) for key in conf}
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_membership_join_spreads_a_hot_ticker(spark, hot, small_thresholds):
+    members = hot.select("ticker").distinct()
+    joined = companies.in_universe(hot, members)
+    sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 60_000 and max(sizes) < 10_000
+    assert companies.in_universe(hot, members.filter("ticker = 'HOT'")).count() == 20_000
+    assert companies.in_universe(hot.select("ticker"), members).count() == 60_000
+
+
+def test_dimension_join_splits_a_hot_ticker(spark, hot, small_thresholds):
+    names = hot.filter("ticker <> 'HOT'").select("ticker").union(spark.createDataFrame([("HOT",)], "ticker string"))
+    joined = companies.with_company(hot, names.selectExpr("ticker", "'n' company_name", "'s' sector", "'i' industry"))
+    joined.collect()
+    assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+
+
+def shuffles(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_price_windows_share_one_shuffle(spark):
+    from quotemill.operators.indicators import macd, moving_averages
+    from quotemill.operators.returns import price_returns
+
+    prices = spark.createDataFrame([("a", D("2024-01-01"), 1.0)], "ticker string, date date, close double")
+    for result in (price_returns(prices), moving_averages(prices), macd(prices)):
+        assert shuffles(result) == 1
+
+
+def test_scores_need_one_shuffle_per_input(spark):
+    """Joins on ticker and day reuse the partitioning of the windows: no further shuffle."""
+    from quotemill.operators.composite import composite_scores
+    from quotemill.operators.indicators import technical_indicators
+    from quotemill.operators.scoring import technical_scores
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        prices = spark.createDataFrame([("a", D("2024-01-01"), 1.0)], "ticker string, date date, close double")
+        rsi = spark.createDataFrame([], "ticker string, date date, rsi_value double, window_size int, timespan string, series_type string")
+        macd = spark.createDataFrame([], "ticker string, date date, macd_value double, signal_value double, histogram_value double")
+        # The empty sides must not be optimized away.
+        technical = technical_scores(technical_indicators(prices, rsi.union(rsi.repartition(1)), macd.union(macd.repartition(1))))
+        assert shuffles(technical) <= 3
+        fundamental = spark.createDataFrame(
+            [("a", D("2023-12-31"), "2023", 1, 1, 1, 1, 1)],
+            "ticker string, date date, fiscal_year string, fundamentals_score int, profitability_score int, "
+            "growth_score int, financial_health_score int, cash_quality_score int",
+        )
+        assert shuffles(composite_scores(technical, fundamental)) == shuffles(technical) + 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_older_bars_are_hashed_not_sorted(spark):
+    from quotemill.operators.returns import price_returns
+
+    prices = spark.createDataFrame([("a", D("2024-01-01"), 1.0)], "ticker string, date date, close double")
+    plan = price_returns(prices, earlier=prices)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_staging_views(spark):
+    from quotemill.plans.marts import create_views
+
+    ddl = "ticker string, date date, close double, extracted_at timestamp_ntz"
+    raw = {"stock_prices": spark.createDataFrame([("a", D("2024-01-02"), 1.0, None)], ddl)}
+    create_views(raw, ["stock_prices"])
+    assert content(spark.sql("select * from stg_stock_prices")) == [("a", D("2024-01-02"), 1.0)]
