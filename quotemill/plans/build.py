@@ -198,15 +198,18 @@ def build(
     full_refresh: bool = False,
     check: bool = True,
     include_backfill: bool = False,
+    split: Split | None | str = "auto",
 ) -> None:
     """Build every model in order. A failed check stops the build before the next model.
 
     A model that has a date is built from its last day on, and merged by its keys; a missing
-    table, or ``full_refresh``, means a full build. Histories are split when one is too long for
-    a task, which takes one count per ticker to find out.
+    table, or ``full_refresh``, means a full build. With ``split="auto"`` histories are split
+    when one is too long for a task, which takes one count per ticker to find out; pass None
+    where bars are known to be daily.
     """
     source = Source(tables, include_backfill)
-    split = Split() if needs_split(source.staged("stock_prices").select("ticker")) else None
+    if split == "auto":
+        split = Split() if needs_split(source.staged("stock_prices").select("ticker")) else None
     for name, model in MODELS.items():
         _write(tables, source, model, split, full_refresh)
         if check:

@@ -10,13 +10,22 @@ from pyspark.sql import functions as F
 
 from quotemill import schemas
 from quotemill.functions.scalars import before_end_of_day
-from quotemill.operators import companies, composite, fundamentals, indicators, merge, quality, returns
+from quotemill.operators import (
+    companies,
+    composite,
+    fundamentals,
+    indicators,
+    merge,
+    quality,
+    returns,
+    scoring,
+)
 from quotemill.operators.semantic import MODELS, query
 from quotemill.operators.timeline import Split
 from quotemill.operators.topk import latest_k
 from quotemill.plans import incremental, screens
 from quotemill.plans.marts import Marts
-from quotemill.session import tune
+from quotemill.session import cut_lineage, tune
 from quotemill.sources import adapters, feeds
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -545,9 +554,10 @@ def incremental_technical_scores(spark, folder):
     up_to = F.col("date") <= F.lit(CUTOFF)
     new = incremental.new_technical_indicators(raw["stock_prices"], raw["rsi"], raw["macd"], since)
     keys = ["ticker", "date"]
-    table = merge.delete_insert(built.technical_indicators.filter(up_to), new, keys)
+    table = cut_lineage(merge.delete_insert(built.technical_indicators.filter(up_to), new, keys))
     scores = incremental.new_technical_scores(table, since)
-    return merge.delete_insert(built.technical_scores.filter(up_to), scores, keys)
+    known = scoring.technical_scores(table.filter(up_to))
+    return merge.delete_insert(known, scores, keys)
 
 
 # ---------------------------------------------------------------------------

@@ -46,6 +46,14 @@ def scratch_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """``df`` evaluated once into the checkpoint folder, for plans that use it several times."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(scratch_folder(df.sparkSession))
+    return df.checkpoint(eager=True)
+
+
 @contextmanager
 def staged(df: DataFrame) -> Iterator[DataFrame]:
     """``df`` evaluated once into a table in the scratch folder, for use within the block.

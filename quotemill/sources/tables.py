@@ -8,7 +8,7 @@ One writer per table is assumed.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +18,7 @@ from quotemill.operators.merge import date_bounds, delete_insert, in_range
 from quotemill.session import staged
 
 Day = str | dt.date
+NO_DAY = "__HIVE_DEFAULT_PARTITION__"  # Spark's folder name for rows without a date
 
 
 class Tables:
@@ -41,7 +42,10 @@ class Tables:
         return reader.parquet(self.path(table))
 
     def last_date(self, table: str, column: str) -> dt.date | None:
-        """Latest date in a table: one value, read from one column."""
+        """Latest date in a table: from its partition names, or else read from one column."""
+        days = [day for day, _ in self._days(table, column)]
+        if days:
+            return dt.date.fromisoformat(max(days))
         return self.read(table).agg(F.max(column)).first()[0]
 
     # -- writing ----------------------------------------------------------
@@ -147,10 +151,17 @@ class Tables:
         folder = jvm.org.apache.hadoop.fs.Path(self.path(table))
         return folder, folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
-    def _drop_days(self, table: str, partition: str, start: str, end: str, keep: set[str]) -> None:
-        """Delete the partition folders of a date range, apart from the days to keep."""
+    def _days(self, table: str, partition: str) -> Iterator[tuple[str, object]]:
+        """Dates and folders of the dated partitions."""
         folder, files = self._folder(table)
         for entry in files.listStatus(folder):
             name, _, day = entry.getPath().getName().partition("=")
-            if name == partition and start <= day <= end and day not in keep:
-                files.delete(entry.getPath(), True)
+            if name == partition and day != NO_DAY:
+                yield day, entry.getPath()
+
+    def _drop_days(self, table: str, partition: str, start: str, end: str, keep: set[str]) -> None:
+        """Delete the partitions of a date range, apart from the days to keep."""
+        _, files = self._folder(table)
+        for day, path in self._days(table, partition):
+            if start <= day <= end and day not in keep:
+                files.delete(path, True)

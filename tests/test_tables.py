@@ -106,6 +106,17 @@ def test_delete_insert_replaces_keys_only(spark, tables):
     ]
 
 
+def test_last_date(spark, tables, tmp_path):
+    assert tables.last_date("raw/t", "date") == D("2024-01-04")
+    tables.overwrite("raw/u", frame(spark, ("A", 1.0, "2024-01-01"), ("A", 1.0, None)))
+    assert tables.last_date("raw/u", "date") == D("2024-01-01")
+
+
+def test_delete_insert_needs_the_partition_in_its_keys(spark, tables):
+    with pytest.raises(ValueError):
+        tables.delete_insert("raw/t", frame(spark), ["ticker"], "date")
+
+
 def test_delete_insert_from_the_table_itself(spark, tables):
     doubled = tables.read("raw/t", SCHEMA).filter("date >= '2024-01-03'").withColumn("close", F.col("close") * 2)
     tables.delete_insert("raw/t", doubled, ["ticker", "date"], "date")
