@@ -152,6 +152,19 @@ by_technical_date = partial(ModelTable, keys=("ticker", "technical_date"), date=
 TICKER = not_null("ticker")
 JOIN_DAYS = incremental.JOIN_DAYS
 
+# The raw tables that have a staging view, all of which must have tickers.
+STAGED = (
+    "tickers_lookup",
+    "stock_prices",
+    "rsi",
+    "macd",
+    "news",
+    "articles",
+    "income_statements",
+    "balance_sheets",
+    "cash_flow_statements",
+)
+
 MODELS: dict[str, ModelTable] = {
     "daily_price_changes": daily(
         "int/daily_price_changes", _price_changes, _price_changes_since, checks=(TICKER,)
@@ -200,7 +213,9 @@ def build(
     include_backfill: bool = False,
     split: Split | None | str = "auto",
 ) -> None:
-    """Build every model in order. A failed check stops the build before the next model.
+    """Check the staged inputs, then build and check every model in order.
+
+    A failed check stops the build before the next model.
 
     A model that has a date is built from its last day on, and merged by its keys; a missing
     table, or ``full_refresh``, means a full build. With ``split="auto"`` histories are split
@@ -210,6 +225,11 @@ def build(
     source = Source(tables, include_backfill)
     if split == "auto":
         split = Split() if needs_split(source.staged("stock_prices").select("ticker")) else None
+    if check:
+        for name in STAGED:
+            if name in source:
+                violations, message = TICKER(source.staged(name))
+                quality.require_empty(violations, f"{name}: {message}")
     for name, model in MODELS.items():
         _write(tables, source, model, split, full_refresh)
         if check:

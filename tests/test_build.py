@@ -110,9 +110,9 @@ def test_failed_check_stops_the_build(spark, tmp_path):
     store(spark, tables, DAYS[30])
     bad = spark.createDataFrame([row(schemas.PRICES, date=DAYS[3], close=1.0)], schemas.PRICES)
     tables._write(bad, "raw/stock_prices", None, "append")
-    with pytest.raises(QualityError, match="daily_price_changes: ticker"):
+    with pytest.raises(QualityError, match="stock_prices: ticker"):
         build(tables)
-    assert not tables.exists(MODELS["price_returns"].path)
+    assert not tables.exists(MODELS["daily_price_changes"].path)
     warnings = []
     assert exposed(tables, warnings.append) == {} and len(warnings) == 5
 
