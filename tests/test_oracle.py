@@ -17,10 +17,10 @@ def connection():
 
 
 def test_every_query_has_reference_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(entry.REGISTRY) == set(entry.ORACLE_SQL)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(entry.REGISTRY))
 def test_query(spark, connection, name):
     df = entry.queries()[name](spark, FOLDER)
     assert difference(df, connection, entry.oracle_sql()[name]) is None
