@@ -48,7 +48,7 @@ SPELLINGS = (
     ("sublicense", "sub license"),
     ("utilization", "utilisation"),
     ("while", "whilst"),
-    ("wilful", "willful"),
+    ("willful", "wilful"),
 )
 
 
@@ -64,9 +64,9 @@ def canonical_lines(text: Column) -> Column:
     text = F.regexp_replace(text, rights, "")
     text = F.replace(text, F.lit("https://"), F.lit("http://"))
     text = F.regexp_replace(text, r"[^\p{L}\p{N}\n]+", " ")
-    for american, british in reversed(SPELLINGS):
+    for american, british in SPELLINGS:
         text = F.replace(text, F.lit(british), F.lit(american))
-    lines = F.transform(F.split(text, "\n"), F.trim)
+    lines = F.transform(F.split(text, "\n"), lambda line: F.trim(line))
     return F.filter(lines, lambda line: line != "")
 
 

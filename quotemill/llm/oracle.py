@@ -88,7 +88,7 @@ def _lines(text: str) -> str:
     form = rf"regexp_replace(lower(coalesce({text}, '')), '\r\n?', chr(10), 'g')"
     form = f"replace(regexp_replace({form}, '{rights}', '', 'g'), 'https://', 'http://')"
     form = rf"regexp_replace({form}, '[^\p{{L}}\p{{N}}\n]+', ' ', 'g')"
-    for american, british in reversed(SPELLINGS):
+    for american, british in SPELLINGS:
         form = f"replace({form}, '{british}', '{american}')"
     return f"list_filter(list_transform(string_split({form}, chr(10)), lambda x: trim(x)), lambda x: x <> '')"
 
