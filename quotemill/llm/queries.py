@@ -2,16 +2,35 @@
 
 from __future__ import annotations
 
+import uuid
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotemill.llm import chats, exact_search, hash_forest, licences, mixing, sharding
+from quotemill.llm import chats, exact_search, hash_forest, licences, mixing, packing, sharding, token_files
 from quotemill.llm.blocks import usable
-from quotemill.llm.staging import read_table
+from quotemill.llm.staging import read_table, shared_folder
 
 SHARDS = [f"shard-{n:03d}" for n in range(64)]
 
 
+def tokenizer_config(path: str = public_tokenizers.path("word_bpe_49k.json")) -> str:
+    with open(path, encoding="utf-8") as file:
+        return file.read()
+
+
+def pieces(docs: DataFrame) -> DataFrame:
+    """The digest columns of packed documents."""
+    packed = packing.pack(docs, tokenizer_config())
+    columns = ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset"]
+    return packed.select(*columns, F.crc32("ids").alias("ids_crc32"))
+
+
+def op1_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces(read_table(spark, sf_dir, "documents"))
+
+
 def op2_threshold_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = exact_search.whole_vectors(read_table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
     return exact_search.search(rows.filter(F.col("id") % 50 == 0), rows, k=5)
@@ -36,6 +55,13 @@ def op5_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hash_forest.search(rows.filter(F.col("id") % 20 == 0), rows, k=20)
 
 
+def op6_huffman_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_folder(spark)}/quotemill-llm/token-files-{uuid.uuid4().hex}"
+    token_files.write(read_table(spark, sf_dir, "documents"), path, tokenizer_config(), end_id=1)
+    read = token_files.read(spark, path)
+    return read.select(F.col("key").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op8_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(read_table(spark, sf_dir, "documents"), licences.known_licences(spark)).select(
         "doc_id", "digest", "licence", F.array_join("notices", ";").alias("notices")
@@ -64,10 +90,12 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_retrieval_packing,
         op2_threshold_search,
         op3_source_mix,
         op4_lookup_sharding,
         op5_prefix_forest,
+        op6_huffman_tokens,
         op8_licence_scan,
         op10_chat_format,
     )

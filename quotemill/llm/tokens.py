@@ -133,3 +133,26 @@ def encode(df: DataFrame, config: str, text: str, end_id: int | None, out: str =
                     done, at = [], i + 1
 
     return df.mapInArrow(batches, schema)
+
+
+def counts(df: DataFrame, vocabulary: int, ids: str = "ids", per_document: bool = False) -> np.ndarray:
+    """How often each id occurs in all rows, or in how many rows. Tasks sum first, and the result
+    has ``vocabulary`` numbers whatever the data."""
+    kind = id_type(vocabulary)
+
+    def batches(tables: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(vocabulary, np.int64)
+        for table in tables:
+            lists = [np.frombuffer(v.as_py(), kind) for v in table.column(0)]
+            if per_document:
+                lists = [np.unique(x) for x in lists]
+            if lists:
+                total += np.bincount(np.concatenate(lists), minlength=vocabulary)
+        used = np.nonzero(total)[0]
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["id", "n"])
+
+    found = df.select(ids).mapInArrow(batches, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    out = np.zeros(vocabulary, np.int64)
+    for row in found.collect():
+        out[row["id"]] = row["n"]
+    return out
