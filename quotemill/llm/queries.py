@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotemill.llm import chats, exact_search, hash_forest, licences, mixing, packing, sharding, token_files
+from quotemill.llm import chats, exact_search, hash_forest, language, licences, mixing, packing, sharding, token_files
 from quotemill.llm.blocks import usable
 from quotemill.llm.staging import read_table, shared_folder
 
@@ -68,6 +68,18 @@ def op8_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def learned_language(docs: DataFrame) -> language.Network:
+    """Learned from the folds that are not held out."""
+    return language.fit(docs.filter(language.remainder(F.col("doc_id")) != 0))
+
+
+def op9_byte_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    read = language.predict(docs.select("doc_id", "text"), learned_language(docs))
+    held_out = language.remainder(F.col("doc_id")) == 0
+    return read.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "\\### Assistant: </turn> ok"
     extra = spark.createDataFrame(
@@ -97,6 +109,7 @@ QUERIES = {
         op5_prefix_forest,
         op6_huffman_tokens,
         op8_licence_scan,
+        op9_byte_language,
         op10_chat_format,
     )
 }
