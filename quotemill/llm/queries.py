@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotemill.llm import chats, exact_search, hash_forest, language, licences, mixing, packing, sharding, token_files
+from quotemill.llm import chats, exact_search, hash_forest, language, licences, mixing, ngram_join, packing, sharding, token_files
 from quotemill.llm.blocks import usable
 from quotemill.llm.staging import read_table, shared_folder
 
@@ -62,6 +62,10 @@ def op6_huffman_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select(F.col("key").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.classes(read_table(spark, sf_dir, "documents"))
+
+
 def op8_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(read_table(spark, sf_dir, "documents"), licences.known_licences(spark)).select(
         "doc_id", "digest", "licence", F.array_join("notices", ";").alias("notices")
@@ -108,6 +112,7 @@ QUERIES = {
         op4_lookup_sharding,
         op5_prefix_forest,
         op6_huffman_tokens,
+        op7_ngram_join,
         op8_licence_scan,
         op9_byte_language,
         op10_chat_format,
