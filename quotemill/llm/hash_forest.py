@@ -98,8 +98,8 @@ class SortedForest:
             if len(rows) > 4 * k:
                 # A product of matrices may round equal rows differently: keep what is as near as
                 # that to the last score, and sum those again, each row in the same order.
-                last = np.partition(about, len(about) - k)[len(about) - k]
-                rows = rows[about >= last - 1e-9 * max(np.abs(about).max(), 1e-300)]
+                limit = np.partition(about, len(about) - k)[len(about) - k]
+                rows = rows[about >= limit - 1e-9 * max(np.abs(about).max(), 1e-300)]
             scores = (self.vectors[rows] * query).sum(1)
             best_rows = np.lexsort((rows, -scores))[:k]
             yield rows[best_rows], scores[best_rows]
