@@ -14,8 +14,8 @@ SMA_WINDOWS = {"sma_20": 20, "sma_50": 50, "sma_200": 200}
 RSI_WINDOW = 14
 MACD_WINDOWS = (12, 26, 9)
 
-PRICE_UNITS = 1_000_000  # prices are summed as whole millionths, which is exact and order-free
-RUN = 256  # rows folded with one scale factor in a decayed sum
+PRICE = "decimal(36,18)"  # prices are summed as decimals, which is exact and order-free
+RUN_DECAY = 1e-250  # how far weights fall within a run of rows that share one scale factor
 
 
 def moving_averages(
@@ -27,35 +27,38 @@ def moving_averages(
     """Simple moving averages over the last n rows; a shorter history averages what there is.
 
     A window average is the difference of two running totals, so the cost per row does not grow
-    with the window length. The totals are whole numbers: no cancellation error, and the same
-    result whatever the order of evaluation. Closes beyond six decimals are rounded to six.
+    with the window length. The totals are decimals: no cancellation error, and the same result
+    whatever the order of evaluation. Only the result is rounded.
     """
     windows = windows or SMA_WINDOWS
     line = open_timeline(
         prices.select("ticker", "date", "close"), lookback=max(windows.values()), split=split
     )
-    units = F.floor(F.col("close") * F.lit(float(PRICE_UNITS)) + F.lit(0.5))
     totals = (
-        line.rows.withColumn("_units", units)
-        .withColumn("_total", F.coalesce(F.sum("_units").over(line.history), F.lit(0)))
-        .withColumn("_count", F.count("_units").over(line.history))
+        line.rows.withColumn("_exact", F.col("close").try_cast(PRICE))
+        .withColumn("_total", F.coalesce(F.sum("_exact").over(line.history), F.lit(0)).cast(PRICE))
+        .withColumn("_count", F.count("_exact").over(line.history))
     )
     averages = {}
     for name, rows in windows.items():
-        total = F.col("_total") - F.coalesce(line.lag("_total", rows), F.lit(0))
+        total = (F.col("_total") - F.coalesce(line.lag("_total", rows), F.lit(0).cast(PRICE))).cast(PRICE)
         count = F.col("_count") - F.coalesce(line.lag("_count", rows), F.lit(0))
         averages[name] = _mean(total, count, digits)
-    done = totals.withColumns(averages).drop("_units", "_total", "_count")
+    done = totals.withColumns(averages).drop("_exact", "_total", "_count")
     return line.close(done)
 
 
 def _mean(total: Column, count: Column, digits: int | None) -> Column:
-    """Mean of a total in price units; rounding is half away from zero, in whole numbers."""
+    """Exact mean of a total; rounding is half away from zero, in whole numbers."""
+    count = F.nullif(count, F.lit(0))
     if digits is None:
-        return F.try_divide(total.cast("double"), count.cast("double") * F.lit(float(PRICE_UNITS)))
-    steps = F.nullif(count, F.lit(0)) * F.lit(PRICE_UNITS // 10**digits)
-    rounded = F.call_function("div", F.abs(total) * 2 + steps, steps * 2)
-    return F.signum(total.cast("double")) * rounded / F.lit(float(10**digits))
+        return F.try_divide(total.cast("double"), count.cast("double"))
+    size, steps = F.abs(total), F.lit(10**digits)
+    whole = F.call_function("div", size, count.cast("decimal(18,0)"))
+    rest = (size - (whole * count).cast("decimal(18,0)")).cast("decimal(27,18)")
+    twice = (rest * F.lit(2 * 10**digits).cast("decimal(9,0)")).cast("decimal(37,18)")
+    part = F.call_function("div", (twice + count.cast("decimal(18,0)")).cast("decimal(38,18)"), (count * 2).cast("decimal(18,0)"))
+    return F.signum(total).cast("double") * (whole * steps + part) / F.lit(float(10**digits))
 
 
 def technical_indicators(
@@ -88,54 +91,74 @@ def technical_indicators(
 # ---------------------------------------------------------------------------
 
 
-def ema_lookback(span: int) -> int:
-    """Rows after which older values weigh less than a double can show (2^-60)."""
-    return _decay_rows(1 - 2 / (span + 1))
+def numbered(line: Timeline) -> DataFrame:
+    """The timeline's own rows with ``_n``, their number in the whole history from 1, and
+    ``_at``, their place in the rows at hand from 0."""
+    if not line.copies:
+        rows = line.rows.withColumn("_n", line.row_number())
+        return rows.withColumn("_at", F.col("_n") - 1)
+    rows = line.rows.withColumn("_n", F.col("_row") + 1)
+    return rows.withColumn("_at", F.col("_row") - F.col("_block") * F.lit(line.rows_per_block))
 
 
-def _decay_rows(decay: float) -> int:
-    return 1 if decay <= 0 else math.ceil(60 * math.log(2) / -math.log(decay)) + 1
+def decayed_sum(df: DataFrame, keys: list[str], added: Column, decay: float, at: str = "_at") -> Column:
+    """``y[t] = added[t] + decay * y[t-1]`` along ``at``, from 0, in built-in window functions.
 
-
-def number_runs(line: Timeline) -> DataFrame:
-    """The timeline's rows with ``_n``, their number from 1, and ``_run``, the run they fall in."""
-    numbered = line.rows.withColumn("_n", line.row_number())
-    return numbered.withColumn("_run", F.floor((F.col("_n") - 1) / RUN))
-
-
-def decayed_sum(line: Timeline, df: DataFrame, added: str, name: str, decay: float) -> DataFrame:
-    """``y[t] = added[t] + decay * y[t-1]`` along numbered runs, in built-in window functions.
-
-    Within a run of rows the recursion is a running sum of ``added`` over powers of ``decay``.
-    Runs are short, so the powers stay in range; each run starts from the ends of the earlier
-    ones. Both windows read the same sort order.
+    Within a run of rows the recursion is a running sum of ``added`` over powers of ``decay``. A
+    run is as long as the powers stay in range, and starts from the ends of the two runs before
+    it: what lies further back weighs less than a double can hold. All windows are running ones
+    over one sort order, so the cost per row does not grow with the history.
     """
     if decay <= 0:
-        return df.withColumn(name, F.col(added))
-    keys = line.keys
-    inside = Window.partitionBy(*keys, "_run").orderBy("_n").rowsBetween(Window.unboundedPreceding, 0)
-    earlier = Window.partitionBy(*keys).orderBy("_run", "_n").rowsBetween(Window.unboundedPreceding, -1)
-    position = (F.col("_n") - 1) % RUN
-    own_part = F.sum(F.col(added) / F.col("_step")).over(inside) * F.col("_step")
-    run_ends = F.collect_list("_run_end").over(earlier)
-    carried = F.aggregate(run_ends, F.lit(0.0), lambda acc, end: end + acc * F.lit(decay**RUN))
-    return (
-        df.withColumn("_step", F.pow(F.lit(decay), position.cast("double")))
-        .withColumn("_own_part", own_part)
-        .withColumn("_run_end", F.when(position == RUN - 1, F.col("_own_part")))
-        .withColumn("_carried", carried)
-        .withColumn(name, F.col("_own_part") + F.col("_step") * F.lit(decay) * F.col("_carried"))
-        .drop("_step", "_own_part", "_run_end", "_carried")
+        return added
+    rows = max(2, math.floor(math.log(RUN_DECAY) / math.log(decay)))
+    run, place = F.floor(F.col(at) / rows), F.col(at) % rows
+    step = F.pow(F.lit(decay), place.cast("double"))
+    inside = Window.partitionBy(*keys, run).orderBy(at).rowsBetween(Window.unboundedPreceding, 0)
+    earlier = Window.partitionBy(*keys).orderBy(run, at).rowsBetween(Window.unboundedPreceding, -1)
+    own = F.sum(added / step).over(inside) * step
+    whole_run = F.lit(decay**rows)
+    end = F.when(place == rows - 1, own)
+    before = F.coalesce(F.last(end, ignorenulls=True).over(earlier), F.lit(0.0))
+    carried = F.last(F.when(place == rows - 1, own + whole_run * before), ignorenulls=True).over(earlier)
+    return own + step * F.lit(decay) * F.coalesce(carried, F.lit(0.0))
+
+
+def decayed_sums(line: Timeline, df: DataFrame, sums: dict[str, tuple[Column, float]]) -> DataFrame:
+    """``df`` with one decayed sum per name.
+
+    In a split history each block first sums from nothing; the state at the end of each block, one
+    row per block, is carried along the history as a decayed sum itself, and fades into the rows
+    of the next block. Nothing is cut off.
+    """
+    local = df.withColumns({name: decayed_sum(df, line.keys, *parts) for name, parts in sums.items()})
+    if not line.copies:
+        return local
+    part = line.keys[0]
+    size = line.rows_per_block
+    ends = local.filter(F.col("_at") == size - 1).select(
+        F.col(f"{part}.{line.key}").alias("_key"), "_block", *[F.col(n).alias(f"_end_{n}") for n in sums]
     )
+    states = {
+        f"_from_{n}": decayed_sum(ends, ["_key"], F.col(f"_end_{n}"), decay**size, at="_block")
+        for n, (_, decay) in sums.items()
+    }
+    carried = ends.select(
+        F.struct(F.col("_key").alias(line.key), (F.col("_block") + 1).alias("_block")).alias(part),
+        *[state.alias(n) for n, state in states.items()],
+    )
+    joined = local.join(carried, part, "left")
+    full = {
+        n: F.col(n)
+        + F.coalesce(F.col(f"_from_{n}"), F.lit(0.0)) * F.pow(F.lit(decay), (F.col("_at") + 1).cast("double"))
+        for n, (_, decay) in sums.items()
+    }
+    return joined.withColumns(full).drop(*states)
 
 
-def _ema(line: Timeline, df: DataFrame, source: str, name: str, span: int) -> DataFrame:
-    """Exponential moving average seeded with the first value."""
-    weight = 2 / (span + 1)
-    fed = df.withColumn(
-        "_fed", F.when(F.col("_n") == 1, F.col(source)).otherwise(F.col(source) * F.lit(weight))
-    )
-    return decayed_sum(line, fed, "_fed", name, 1 - weight).drop("_fed")
+def _ema_input(source: Column, weight: float) -> Column:
+    """Exponential moving averages are seeded with the first value."""
+    return F.when(F.col("_n") == 1, source).otherwise(source * F.lit(weight))
 
 
 def macd(
@@ -146,12 +169,16 @@ def macd(
     split: Split | None = None,
 ) -> DataFrame:
     """MACD line, signal line and histogram of the closes; rows without a close are left out."""
-    lookback = ema_lookback(max(short_window, long_window)) + ema_lookback(signal_window)
-    line = _close_timeline(prices, lookback, split)
-    df = _ema(line, number_runs(line), "close", "_short", short_window)
-    df = _ema(line, df, "close", "_long", long_window)
+    line = _close_timeline(prices, 0, split)
+    short, long, signal = (2 / (n + 1) for n in (short_window, long_window, signal_window))
+    close = F.col("close")
+    averages = {
+        "_short": (_ema_input(close, short), 1 - short),
+        "_long": (_ema_input(close, long), 1 - long),
+    }
+    df = decayed_sums(line, numbered(line), averages)
     df = df.withColumn("macd_value", F.col("_short") - F.col("_long"))
-    df = _ema(line, df, "macd_value", "signal_value", signal_window)
+    df = decayed_sums(line, df, {"signal_value": (_ema_input(F.col("macd_value"), signal), 1 - signal)})
     df = df.withColumn("histogram_value", F.col("macd_value") - F.col("signal_value"))
     return line.close(df).select(
         "ticker", "date", "macd_value", "signal_value", "histogram_value"
@@ -171,12 +198,10 @@ def rsi(
     """
     if smoothing not in ("wilder", "simple"):
         raise ValueError(f"unknown smoothing: {smoothing}")
-    decay = 1 - 1 / window
-    lookback = window + 1 if smoothing == "simple" else window + 1 + _decay_rows(decay)
-    line = _close_timeline(prices, lookback, split)
+    line = _close_timeline(prices, window + 1, split)
     change = F.col("close") - line.lag("close")
     df = (
-        number_runs(line)
+        numbered(line)
         .withColumn("_change", change)
         .withColumn("_gain", F.greatest(F.col("_change"), F.lit(0.0)))
         .withColumn("_loss", F.greatest(-F.col("_change"), F.lit(0.0)))
@@ -185,9 +210,12 @@ def rsi(
     df = df.withColumn("_mean_gain", F.avg("_gain").over(recent))
     df = df.withColumn("_mean_loss", F.avg("_loss").over(recent))
     if smoothing == "wilder":
-        for side in ("gain", "loss"):
-            df = df.withColumn("_fed", _wilder_input(f"_{side}", f"_mean_{side}", window))
-            df = decayed_sum(line, df.drop(f"_mean_{side}"), "_fed", f"_mean_{side}", decay)
+        if line.copies:
+            df = df.filter("_own")
+        fed = {side: _wilder_input(f"_{side}", f"_mean_{side}", window) for side in ("gain", "loss")}
+        df = df.withColumns({f"_fed_{side}": value for side, value in fed.items()}).drop("_mean_gain", "_mean_loss")
+        decay = 1 - 1 / window
+        df = decayed_sums(line, df, {f"_mean_{side}": (F.col(f"_fed_{side}"), decay) for side in fed})
     strength = F.try_divide(F.col("_mean_gain"), F.col("_mean_loss"))
     value = F.when(F.col("_mean_loss") == 0, F.lit(100.0)).otherwise(100 - 100 / (1 + strength))
     value = F.when((F.col("_mean_loss") == 0) & (F.col("_mean_gain") == 0), F.lit(50.0)).otherwise(value)

@@ -13,13 +13,12 @@ from a small per-block summary. No task then holds more than one block of any ti
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 NO_DATE = "9999-12-31"  # rows without a date sort last and form their own piece
-MAX_PLAIN_ROWS = 1_000_000
 
 # Parts of a history are told apart by one struct column. With two columns, a join or window
 # could settle for rows partitioned by the key alone, and a long history would be in one task
@@ -43,6 +42,8 @@ class Timeline:
     carried: bool = False  # rows may continue a history: see ``_continues``
     copies: bool = False  # rows include copies of earlier rows: see ``_own``
     helpers: tuple[str, ...] = ()
+    key: str = "ticker"
+    rows_per_block: int | None = None
 
     @property
     def history(self) -> WindowSpec:
@@ -76,12 +77,6 @@ class Timeline:
         return own.drop(*self.helpers)
 
 
-def needs_split(df: DataFrame, key: str = "ticker", limit: int = MAX_PLAIN_ROWS) -> bool:
-    """Whether some key has more than ``limit`` rows. One counting job, one row back."""
-    longest = df.groupBy(key).count().agg(F.max("count")).first()[0]
-    return (longest or 0) > limit
-
-
 def open_timeline(
     df: DataFrame,
     lookback: int,
@@ -104,26 +99,40 @@ def open_timeline(
     sort = [F.col(c).asc_nulls_last() for c in order]
     carried = tuple(f"_first_{c}" for c in first) + tuple(f"_max_{c}" for c in running_max)
     if split is not None:
-        if earlier is not None:
-            raise ValueError("a history is either split or continued, not both")
         if lookback > split.rows_per_block:
             raise ValueError(f"rows_per_block must be at least the lookback of {lookback} rows")
-        return _open_split(df, lookback, first, running_max, key, order[0], sort, split, carried)
+        line = _open_split(df, lookback, first, running_max, key, order[0], sort, split, carried)
+        return _continued(line, earlier, key, order, first, running_max) if earlier is not None and carried else line
 
     window = Window.partitionBy(key).orderBy(*sort)
     if earlier is None or not carried:
-        return Timeline(df, window, [key])
+        return Timeline(df, window, [key], key=key)
+    return _continued(Timeline(df, window, [key], key=key), earlier, key, order, first, running_max)
+
+
+def _continued(line: Timeline, earlier: DataFrame, key: str, order, first, running_max) -> Timeline:
+    """``line`` with what the older rows of each history hold for ``first`` and ``running_max``.
+
+    The older rows are one aggregate per key. In a split, a block also has what the blocks before
+    it hold, which counts where there is nothing older.
+    """
     # A single plain column to order by keeps this a hash aggregate, which needs no sort.
     place = F.col(order[0]) if len(order) == 1 else F.struct(*order)
-    before = earlier.groupBy(key).agg(
-        F.lit(True).alias("_continues"),
-        *[F.min_by(c, place).alias(f"_first_{c}") for c in first],
-        *[F.max(c).alias(f"_max_{c}") for c in running_max],
+    older = earlier.groupBy(key).agg(
+        F.lit(True).alias("_older"),
+        *[F.min_by(c, place).alias(f"_older_first_{c}") for c in first],
+        *[F.max(c).alias(f"_older_max_{c}") for c in running_max],
     )
-    before = before.withColumnRenamed(key, "_older_key")
-    rows = df.join(before, F.col(key).eqNullSafe(F.col("_older_key")), "left").drop("_older_key")
-    rows = rows.withColumn("_continues", F.coalesce("_continues", F.lit(False)))
-    return Timeline(rows, window, [key], carried=True, helpers=("_continues", *carried))
+    older = older.withColumnRenamed(key, "_older_key")
+    rows = line.rows.join(older, F.col(key).eqNullSafe(F.col("_older_key")), "left").drop("_older_key")
+    known = F.coalesce("_older", F.lit(False))
+    own = {c: F.col(c) if line.carried else F.lit(None) for c in [f"_first_{c}" for c in first] + [f"_max_{c}" for c in running_max]}
+    columns = {f"_first_{c}": F.when(known, F.col(f"_older_first_{c}")).otherwise(own[f"_first_{c}"]) for c in first}
+    columns |= {f"_max_{c}": F.greatest(F.col(f"_older_max_{c}"), own[f"_max_{c}"]) for c in running_max}
+    columns["_continues"] = known | F.col("_continues") if line.carried else known
+    rows = rows.withColumns(columns).drop(*[c for c in older.columns if c != "_older_key"])
+    helpers = tuple(dict.fromkeys((*line.helpers, "_continues", *own)))
+    return replace(line, rows=rows, carried=True, helpers=helpers)
 
 
 def _open_split(df, lookback, first, running_max, key, time, sort, split, carried) -> Timeline:
@@ -151,6 +160,8 @@ def _open_split(df, lookback, first, running_max, key, time, sort, split, carrie
         carried=bool(carried),
         copies=True,
         helpers=(PART, "_row", "_block", "_own", "_continues", *carried),
+        key=key,
+        rows_per_block=split.rows_per_block,
     )
 
 

@@ -15,7 +15,7 @@ from quotemill import schemas
 from quotemill.functions.scalars import as_date, days_before
 from quotemill.operators import composite, fundamentals, indicators, quality, returns, scoring
 from quotemill.operators.companies import companies_current, companies_snapshot
-from quotemill.operators.timeline import Split, needs_split
+from quotemill.operators.timeline import Split
 from quotemill.plans import incremental
 from quotemill.plans.marts import EXPOSED, staging
 from quotemill.sources.tables import Tables
@@ -84,7 +84,7 @@ def _price_changes(source, split):
 
 
 def _price_changes_since(source, split, since):
-    return incremental.new_price_changes(source.staged("stock_prices"), since)
+    return incremental.new_price_changes(source.staged("stock_prices"), since, split)
 
 
 def _price_returns(source, split):
@@ -92,9 +92,7 @@ def _price_returns(source, split):
 
 
 def _price_returns_since(source, split, since):
-    if split is not None:
-        return _from(_price_returns(source, split), "date", since)
-    return incremental.new_price_returns(source.staged("stock_prices"), since)
+    return incremental.new_price_returns(source.staged("stock_prices"), since, split)
 
 
 def _indicators(source, split):
@@ -104,7 +102,7 @@ def _indicators(source, split):
 
 def _indicators_since(source, split, since):
     feeds = (source.staged(name) for name in ("stock_prices", "rsi", "macd"))
-    return incremental.new_technical_indicators(*feeds, since)
+    return incremental.new_technical_indicators(*feeds, since, split)
 
 
 def _fundamentals(source, split):
@@ -121,7 +119,7 @@ def _technical_scores(source, split):
 
 
 def _technical_scores_since(source, split, since):
-    return incremental.new_technical_scores(source["technical_indicators"], since)
+    return incremental.new_technical_scores(source["technical_indicators"], since, split)
 
 
 def _fundamental_scores(source, split):
@@ -211,20 +209,17 @@ def build(
     full_refresh: bool = False,
     check: bool = True,
     include_backfill: bool = False,
-    split: Split | None | str = "auto",
+    split: Split | None = None,
 ) -> None:
     """Check the staged inputs, then build and check every model in order.
 
     A failed check stops the build before the next model.
 
     A model that has a date is built from its last day on, and merged by its keys; a missing
-    table, or ``full_refresh``, means a full build. With ``split="auto"`` histories are split
-    when one is too long for a task, which takes one count per ticker to find out; pass None
-    where bars are known to be daily.
+    table, or ``full_refresh``, means a full build. ``split`` says how to cut histories that are
+    too long for a task, in full and incremental builds alike; it never depends on the data.
     """
     source = Source(tables, include_backfill)
-    if split == "auto":
-        split = Split() if needs_split(source.staged("stock_prices").select("ticker")) else None
     if check:
         for name in STAGED:
             if name in source:

@@ -17,6 +17,7 @@ from quotemill.operators.indicators import technical_indicators
 from quotemill.operators.merge import recent_rows
 from quotemill.operators.returns import daily_price_changes, price_returns
 from quotemill.operators.scoring import technical_scores
+from quotemill.operators.timeline import Split
 
 WRITE_DAYS = 3
 
@@ -52,11 +53,11 @@ def _recent(df: DataFrame, since: dt.date, model: str) -> DataFrame:
     return recent_rows(df, since, span.rows, span.days)
 
 
-def new_price_changes(prices: DataFrame, since: dt.date) -> DataFrame:
-    return _since(daily_price_changes(_recent(prices, since, "daily_price_changes")), since)
+def new_price_changes(prices: DataFrame, since: dt.date, split: Split | None = None) -> DataFrame:
+    return _since(daily_price_changes(_recent(prices, since, "daily_price_changes"), split), since)
 
 
-def new_price_returns(prices: DataFrame, since: dt.date) -> DataFrame:
+def new_price_returns(prices: DataFrame, since: dt.date, split: Split | None = None) -> DataFrame:
     """Cumulative return and drawdown need the whole history, the rest a year of rows.
 
     The older bars are read for their first close and peak only, which is one aggregate per
@@ -65,15 +66,17 @@ def new_price_returns(prices: DataFrame, since: dt.date) -> DataFrame:
     recent = _recent(prices, since, "price_returns")
     near_start = as_date(days_before(since, LOOKBACKS["price_returns"].days))
     earlier = prices.filter(F.col("date") < near_start).select("ticker", "date", "close")
-    return _since(price_returns(recent, earlier=earlier), since)
+    return _since(price_returns(recent, split, earlier), since)
 
 
 def new_technical_indicators(
-    prices: DataFrame, rsi: DataFrame, macd: DataFrame, since: dt.date
+    prices: DataFrame, rsi: DataFrame, macd: DataFrame, since: dt.date, split: Split | None = None
 ) -> DataFrame:
     recent = _recent(prices, since, "technical_indicators")
-    return _since(technical_indicators(recent, _since(rsi, since), _since(macd, since)), since)
+    return _since(technical_indicators(recent, _since(rsi, since), _since(macd, since), split), since)
 
 
-def new_technical_scores(indicators: DataFrame, since: dt.date) -> DataFrame:
-    return _since(technical_scores(_recent(indicators, since, "technical_scores")), since)
+def new_technical_scores(
+    indicators: DataFrame, since: dt.date, split: Split | None = None
+) -> DataFrame:
+    return _since(technical_scores(_recent(indicators, since, "technical_scores"), split), since)

@@ -90,7 +90,7 @@ def _statements(mapping: Callable[[DataFrame], DataFrame]) -> Rows:
 BACKFILL_DAYS = 398
 RSI_DEFAULTS = {"window": 14, "limit": 1}
 MACD_DEFAULTS = {"short_window": 12, "long_window": 26, "signal_window": 9, "limit": 1}
-BACKFILL_POINTS = {"limit": 730}
+BACKFILL_POINTS = {"limit": None}  # what has landed is kept; the caller may ask for the newest k
 LISTS = ("tickers", "keywords")
 
 JOBS: dict[str, Job] = {
@@ -121,9 +121,9 @@ JOBS: dict[str, Job] = {
         "batch",
         MACD_DEFAULTS | BACKFILL_POINTS,
     ),
-    "sma": Job("raw/sma", "sma", schemas.INDICATOR_FEED, _indicator("sma"), "day", {"window": 30, "limit": 120}),
+    "sma": Job("raw/sma", "sma", schemas.INDICATOR_FEED, _indicator("sma"), "day", {"window": 30, "limit": None}),
     "news": Job(
-        "raw/news", "news", schemas.NEWS_FEED, _news, "day", {"limit_per_ticker": 10}, LISTS
+        "raw/news", "news", schemas.NEWS_FEED, _news, "day", {"limit_per_ticker": None}, LISTS
     ),
     "news_backfill": Job(
         "raw/news_backfill",
@@ -131,7 +131,7 @@ JOBS: dict[str, Job] = {
         schemas.NEWS_FEED,
         _news_range,
         "lookback",
-        {"lookback_days": BACKFILL_DAYS, "limit_per_ticker": 100},
+        {"lookback_days": BACKFILL_DAYS, "limit_per_ticker": None},
         LISTS,
     ),
     "income_statements": Job(

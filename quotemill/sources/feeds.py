@@ -90,12 +90,12 @@ def stock_prices_range(payloads: DataFrame) -> DataFrame:
 def _points(
     payloads: DataFrame,
     run_date: Day,
-    limit: int,
+    limit: int | None,
     values: dict[str, str],
     constants: dict[str, object],
     stamp_run_date: bool,
 ) -> DataFrame:
-    """The newest ``limit`` points per ticker up to the end of the run date."""
+    """The newest ``limit`` points per ticker up to the end of the run date; None takes all."""
     points = accepted(payloads).select("ticker", F.explode("results.values").alias("v"))
     typed = points.select(
         "ticker",
@@ -128,7 +128,7 @@ def indicator(
     name: str,
     window: int,
     timespan: str = "day",
-    limit: int = 120,
+    limit: int | None = None,
     stamp_run_date: bool = True,
 ) -> DataFrame:
     """Points of a one-value indicator (``sma`` or ``rsi``).
@@ -147,7 +147,7 @@ def macd(
     long_window: int = 26,
     signal_window: int = 9,
     timespan: str = "day",
-    limit: int = 1,
+    limit: int | None = None,
     stamp_run_date: bool = True,
 ) -> DataFrame:
     values = {"macd_value": "value", "signal_value": "signal", "histogram_value": "histogram"}
@@ -165,8 +165,8 @@ def macd(
 # ---------------------------------------------------------------------------
 
 
-def _news(payloads: DataFrame, wanted: Column, date: Column, limit: int) -> DataFrame:
-    """Articles of the wanted days, the newest ``limit`` per ticker, with the publisher flattened."""
+def _news(payloads: DataFrame, wanted: Column, date: Column, limit: int | None) -> DataFrame:
+    """Articles of the wanted days, or the newest ``limit`` of them per ticker, publisher flattened."""
     results = accepted(payloads).select("ticker", F.explode("results").alias("a"))
     published = results.withColumn("published_utc", iso_timestamp(F.col("a.published_utc")))
     flat = published.filter(wanted).select(
@@ -190,13 +190,13 @@ def _news(payloads: DataFrame, wanted: Column, date: Column, limit: int) -> Data
     return latest_k(flat, limit, newest=order, spread=["published_utc", "article_id"])
 
 
-def news(payloads: DataFrame, run_date: Day, limit_per_ticker: int = 10) -> DataFrame:
+def news(payloads: DataFrame, run_date: Day, limit_per_ticker: int | None = None) -> DataFrame:
     """One day's articles, stamped with that day. List fields are JSON text."""
     on_day = F.col("published_utc").cast("date") == as_date(run_date)
     return _news(payloads, on_day, as_date(run_date), limit_per_ticker)
 
 
-def news_range(payloads: DataFrame, start: Day, end: Day, limit_per_ticker: int = 100) -> DataFrame:
+def news_range(payloads: DataFrame, start: Day, end: Day, limit_per_ticker: int | None = None) -> DataFrame:
     """Articles from ``start`` to ``end``, dated by their time of publication."""
     day = F.col("published_utc").cast("date")
     return _news(payloads, day.between(as_date(start), as_date(end)), day, limit_per_ticker)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from quotemill import schemas
 from quotemill.operators import indicators
 from quotemill.operators.returns import daily_price_changes, price_returns
-from quotemill.operators.timeline import Split, needs_split
+from quotemill.operators.timeline import Split
 
 SCHEMA = schemas.flat("ticker string, date date, close double")
 START = dt.date(2020, 1, 1)
@@ -158,6 +158,29 @@ def test_rsi(spark, split):
     assert column(result, "rsi_value", "C") == [None] * 14 + [100.0]
 
 
+@pytest.mark.parametrize("split", [None, Split(rows_per_block=300, piece="year"), Split(rows_per_block=1024, piece="year")])
+def test_rsi_of_flat_histories(spark, split):
+    """Gain and loss keep their ratio while prices stand still, however long."""
+    values = walk(100) + [walk(100)[-1]] * 3900
+    result = indicators.rsi(bars(spark, A=values), split=split)
+    close_to(column(result, "rsi_value"), wilder(values, 14), 1e-9)
+
+
+def test_averages_of_tiny_prices(spark):
+    df = bars(spark, A=[1e-8, 2e-8, 3e-8], B=[0.125, 0.135, 1e9])
+    result = indicators.moving_averages(df, {"m": 3}).cache()
+    close_to(column(result, "m"), [1e-8, 1.5e-8, 2e-8], 1e-20)
+    assert column(indicators.moving_averages(df, {"m": 2}, digits=2), "m", "B") == [0.13, 0.13, 500000000.07]
+
+
+def test_time_of_recursive_averages_grows_with_the_rows(spark):
+    """No step gathers the rows before it: the plan has no list, and windows only run forwards."""
+    df = bars(spark, A=walk(50))
+    for result in (indicators.rsi(df), indicators.macd(df)):
+        plan = result._jdf.queryExecution().executedPlan().toString()
+        assert "collect_list" not in plan
+
+
 def test_rsi_of_unknown_smoothing(spark):
     with pytest.raises(ValueError):
         indicators.rsi(bars(spark, A=[1.0]), smoothing="none")
@@ -168,13 +191,23 @@ def test_split_blocks_stay_small_and_whole(spark):
     from quotemill.operators.timeline import open_timeline
 
     hot = bars(spark, A=walk(5000), B=walk(40), C=[1.0])
-    assert needs_split(hot, limit=1000) and not needs_split(hot, limit=5000)
     line = open_timeline(hot, lookback=100, split=Split(rows_per_block=400, piece="year"))
     sizes = line.rows.groupBy("ticker", "_block").count()
     assert sizes.agg(F.max("count")).first()[0] <= 500
     assert line.close(line.rows).count() == 5041
 
 
+def test_split_history_carried_on(spark):
+    values = walk(900)
+    df = bars(spark, A=values, B=walk(10, seed=3))
+    cut, last = F.lit(START + dt.timedelta(days=300)), F.lit(START + dt.timedelta(days=700))
+    recent, earlier = df.filter(F.col("date") >= cut), df.filter(F.col("date") < cut)
+    whole = price_returns(df).filter(F.col("date") >= last)
+    part = price_returns(recent, Split(rows_per_block=300), earlier).filter(F.col("date") >= last)
+    for name in whole.columns[3:]:
+        close_to(column(part, name), column(whole, name))
+
+
 def test_split_keeps_null_tickers_and_dates(spark):
     rows = [(None, START, 1.0), (None, START + dt.timedelta(days=1), 2.0), ("A", None, 3.0), ("A", START, 1.5)]
     df = spark.createDataFrame(rows, SCHEMA)
