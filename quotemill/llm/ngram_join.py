@@ -6,14 +6,16 @@ is the least overlap a link needs. Every document picks the ``m`` whose estimate
 longer prefix reads more postings, but only documents that share ``m`` of them are candidates. A
 pair must share the smaller ``m`` of the two before it is verified.
 
-What the result needs is classes, so pairs inside a class are not expanded:
+What the result needs is classes, so pairs are neither expanded nor verified one by one:
 
 1. Documents with equal shingle sets are one key.
-2. Postings of up to ``SMALL`` keys give all their pairs, with counts. Of longer ones, only
-   neighbours in order of size pair up at first.
-3. Every key's best candidates are verified, and links form classes.
-4. All other candidate pairs whose keys are in different classes, those of long postings included,
-   are counted, verified, and complete the classes.
+2. Postings of up to ``SMALL`` keys count all their pairs. Longer ones tie each key to the next in
+   order of size, which keeps together whatever could link there.
+3. Candidates and ties form regions. The sets of a region meet in one task, each moved once, and
+   all their overlaps are counted there; only links that join two classes come out.
+4. A region that is too large for a task is cut into blocks. First each block finds its classes,
+   and neighbouring blocks compare some members of their largest ones. Then every key outside the
+   region's largest class is held against all keys of the region, in blocks.
 
 The frequencies behind the order are counted over all documents in a table of fixed size. It only
 sorts and estimates: collisions cost time, never a link.
@@ -37,10 +39,15 @@ SLICES = 16
 #: Prefix entries of one posting partition, about.
 PART_ENTRIES = 1 << 20
 #: Prefix entries that a task holds before it hands them on.
-HELD_ENTRIES = 1 << 21
+HELD_ENTRIES = 1 << 19
 #: Bytes of text shingled at once.
-TEXT_BYTES = 1 << 22
+TEXT_BYTES = 1 << 20
 SMALL = 8
+#: Keys and shingles of one block of a region, and of the small regions that share a task.
+BLOCK_KEYS = 2_048
+BLOCK_SHINGLES = 1 << 20
+#: Members of a block's largest class that are held against those of the next block.
+ENVOYS = 32
 #: Keys whose sets are looked up by broadcast; beyond, by a shuffled join.
 BROADCAST_KEYS = 1_000_000
 
@@ -294,12 +301,8 @@ def _sized(n: np.ndarray, a: np.ndarray, b: np.ndarray, percent: int) -> np.ndar
     return 100 * np.minimum(n[a], n[b]) >= percent * np.maximum(n[a], n[b])
 
 
-PAIRS, NEIGHBOURS, LONG = 0, 1, 2
-
-
 def _matched(table: pa.Table, join: Join) -> pa.Table:
-    """Of one posting partition: counts of pairs (kinds PAIRS, NEIGHBOURS: a, b, matches, need) and
-    the entries of long postings (kind LONG: a is the shingle, b the key, matches the size)."""
+    """Pairs (a, b, matches, need) of one posting partition. Ties of long postings have need 0."""
 
     def joined(name: str, kind: str) -> np.ndarray:
         return np.frombuffer(b"".join(v.as_py() for v in table[name]), kind)
@@ -322,12 +325,10 @@ def _matched(table: pa.Table, join: Join) -> pa.Table:
     n = np.int64(len(key))
     parts = []
 
-    def count(kind: int, pairs: list[np.ndarray]) -> None:
-        if not pairs:
-            return
+    def count(pairs: list[np.ndarray], tie: bool) -> None:
         pair, often = np.unique(np.concatenate(pairs), return_counts=True)
         a, b = pair // n, pair % n
-        parts.append((np.full(len(a), kind), key[a], key[b], often, np.minimum(need[a], need[b])))
+        parts.append((key[a], key[b], often, np.minimum(need[a], need[b]) * (not tie)))
 
     def paired(x: np.ndarray, y: np.ndarray) -> np.ndarray:
         fit = _sized(size, x, y, join.percent)
@@ -340,16 +341,14 @@ def _matched(table: pa.Table, join: Join) -> pa.Table:
         for i in range(m if len(at) else 0):
             for j in range(i + 1, m):
                 small.append(paired(owner[at + i], owner[at + j]))
-    count(PAIRS, small)
+    if small:
+        count(small, tie=False)
     in_long = np.repeat(lengths > SMALL, lengths)
     long_token, long_owner = token[in_long], owner[in_long]
     if len(long_token):
         next_to = np.nonzero(long_token[1:] == long_token[:-1])[0]
-        count(NEIGHBOURS, [paired(long_owner[next_to], long_owner[next_to + 1])])
-        parts.append(
-            (np.full(len(long_token), LONG), long_token.view(np.int64), key[long_owner], size[long_owner], need[long_owner])
-        )
-    names = ("kind", "a", "b", "matches", "need")
+        count([paired(long_owner[next_to], long_owner[next_to + 1])], tie=True)
+    names = ("a", "b", "matches", "need")
     if not parts:
         parts = [tuple(np.zeros(0, np.int64) for _ in names)]
     return pa.table({c: pa.array(np.concatenate(x), pa.int64()) for c, x in zip(names, zip(*parts))})
@@ -359,7 +358,7 @@ def _matched(table: pa.Table, join: Join) -> pa.Table:
 
 
 def _shingled(docs: DataFrame, wanted: DataFrame, join: Join) -> DataFrame:
-    """(key, shingles) of the wanted (key, id) rows, from their texts."""
+    """``wanted`` (key, id and more) without the id, with the shingles of each key's text."""
     kind = docs.schema["id"].dataType.simpleString()
 
     def batches(tables: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -384,21 +383,141 @@ def _shingled(docs: DataFrame, wanted: DataFrame, join: Join) -> DataFrame:
                 yield made()
 
     sets = docs.mapInArrow(batches, f"id {kind}, key long, shingles array<long>")
-    wanted = wanted.select(F.col("key").alias("k"), F.col("id").alias("i"))
+    wanted = wanted.withColumnsRenamed({"key": "k", "id": "i"})
     if wanted.count() <= BROADCAST_KEYS:
         wanted = F.broadcast(wanted)
-    found = sets.join(wanted, (sets["key"] == wanted["k"]) & sets["id"].eqNullSafe(wanted["i"]), "left_semi")
-    return found.select("key", "shingles")
+    found = sets.join(wanted, (sets["key"] == wanted["k"]) & sets["id"].eqNullSafe(wanted["i"]))
+    return found.drop("id", "k", "i")
+
+
+def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of each left with each right set."""
+    flat = np.concatenate([*left, *right])
+    _, code, often = np.unique(flat, return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(left) + len(right)), [len(x) for x in (*left, *right)])
+    shared = np.nonzero(often > 1)[0]
+    dense = np.full(len(often), -1)
+    dense[shared] = np.arange(len(shared))
+    code = dense[code]
+    owner, code = owner[code >= 0], code[code >= 0]
+    order = np.argsort(code, kind="stable")
+    owner, code = owner[order], code[order]
+    counts = np.zeros((len(left), len(right)), np.float32)
+    step = 2048
+    edges = np.searchsorted(code, np.arange(0, len(shared) + step, step))
+    for at, (a, b) in enumerate(zip(edges, edges[1:])):
+        some = np.zeros((len(left) + len(right), step), np.float32)
+        some[owner[a:b], code[a:b] - at * step] = 1
+        counts += some[: len(left)] @ some[len(left) :].T
+    return counts
+
+
+def _joining(keys, sets, other_keys, other_sets, percent: int, classes: dict):
+    """Links between the two lists that join two classes; ``classes`` is a forest of parents."""
+
+    def find(k):
+        while classes.setdefault(k, k) != k:
+            classes[k] = classes[classes[k]]
+            k = classes[k]
+        return k
+
+    sizes, other_sizes = np.array([len(x) for x in sets]), np.array([len(x) for x in other_sets])
+    if len(sets) * len(other_sets) <= 64:
+        common = np.array([[len(np.intersect1d(x, y, assume_unique=True)) for y in other_sets] for x in sets])
+    else:
+        common = _overlaps(sets, other_sets)
+    union = sizes[:, None] + other_sizes[None, :] - common
+    for i, j in zip(*np.nonzero(common * 100 >= union * percent)):
+        a, b = find(keys[i]), find(other_keys[j])
+        if a != b:
+            classes[max(a, b)] = min(a, b)
+            yield keys[i], other_keys[j]
+
+
+def _units(table: pa.Table, by: str):
+    """(keys, sets) of each value of ``by``."""
+    table = table.combine_chunks()
+    unit = table[by].to_numpy()
+    order = np.argsort(unit, kind="stable")
+    keys, lists = table["key"].to_numpy(), table["shingles"]
+    for rows in np.split(order, np.nonzero(np.diff(unit[order]))[0] + 1):
+        if len(rows):
+            yield int(unit[rows[0]]), keys[rows].tolist(), [lists[int(i)].values.to_numpy() for i in rows]
+
+
+def _out(links) -> pa.Table:
+    links = list(links)
+    return pa.table({c: pa.array([x[i] for x in links], pa.int64()) for i, c in enumerate("ab")})
+
+
+def _within(sets: DataFrame, bins: int, join: Join) -> DataFrame:
+    """Links that join classes among the sets of each (region, block)."""
+
+    def kernel(table: pa.Table) -> pa.Table:
+        return _out(
+            link
+            for _, keys, mine in _units(table, "unit")
+            if len(keys) > 1
+            for link in _joining(keys, mine, keys, mine, join.percent, {})
+        )
 
+    unit = F.xxhash64("region", "block")
+    dealt = sets.select("key", "shingles", unit.alias("unit"), F.pmod(unit, F.lit(bins)).alias("bin"))
+    return dealt.groupBy("bin").applyInArrow(kernel, "a long, b long")
 
-def _linked(pairs: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
-    """The (a, b) of ``pairs`` whose sets are similar enough."""
-    one = sets.select(F.col("key").alias("a"), F.col("shingles").alias("left"))
-    other = sets.select(F.col("key").alias("b"), F.col("shingles").alias("right"))
-    both = pairs.select("a", "b").join(one, "a").join(other, "b")
-    common = F.size(F.array_intersect("left", "right"))
-    union = F.size("left") + F.size("right") - common
-    return both.filter(common * 100 >= union * join.percent).select("a", "b")
+
+def _against(outside: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
+    """Links between ``outside`` and ``sets`` of the same region, block by block."""
+
+    def kernel(few: pa.Table, many: pa.Table) -> pa.Table:
+        if not few.num_rows or not many.num_rows:
+            return _out([])
+        (_, keys, mine), (_, others, theirs) = next(_units(few, "region")), next(_units(many, "region"))
+        return _out(_joining(keys, mine, others, theirs, join.percent, {}))
+
+    blocks = sets.select("region", "block").distinct()
+    asked = outside.select("region", F.col("block").alias("chunk"), "key", "shingles").join(
+        blocks.select("region", F.col("block").alias("facing")), "region"
+    )
+    chunks = outside.select("region", F.col("block").alias("chunk")).distinct()
+    held = sets.select("region", F.col("block").alias("facing"), "key", "shingles").join(chunks, "region")
+    columns = ["region", "chunk", "facing"]
+    pairs = asked.groupBy(*columns).cogroup(held.groupBy(*columns))
+    return pairs.applyInArrow(lambda q, r: kernel(q, r), "a long, b long")
+
+
+def _region_links(sets: DataFrame, bins: int, join: Join) -> DataFrame:
+    """Links that complete the classes of all regions. ``sets`` is staged and has (region, block,
+    blocks, key, shingles)."""
+    links = stage(_within(sets, bins, join), "links")
+    large = sets.filter("blocks > 1")
+    if large.isEmpty():
+        return links
+    keys = large.select("region", "block", "blocks", "key")
+
+    def labelled(found: DataFrame) -> DataFrame:
+        roots = connected(found)
+        return stage(
+            keys.join(roots, "key", "left").withColumn("class", F.coalesce("root", "key")).drop("root"), "labels"
+        )
+
+    of_block = labelled(links)
+    sizes = of_block.groupBy("region", "block", "class").agg(F.count("*").alias("n"))
+    first = sizes.groupBy("region", "block").agg(F.max_by("class", F.struct("n", "class")).alias("class"))
+    members = of_block.join(first, ["region", "block", "class"])
+    some = Window.partitionBy("region", "block").orderBy(F.xxhash64("key"), "key")
+    envoys = members.withColumn("rank", F.row_number().over(some)).filter(F.col("rank") <= ENVOYS)
+    both = F.explode(F.array(F.col("block"), F.pmod(F.col("block") + 1, F.col("blocks"))))
+    envoys = envoys.select("key", both.alias("meet")).join(sets, "key")
+    meeting = envoys.select("region", F.col("meet").alias("block"), "key", "shingles")
+    links = stage(links.unionByName(_within(meeting, bins, join)), "links")
+
+    whole = labelled(links)
+    most = whole.groupBy("region", "class").agg(F.count("*").alias("n"))
+    most = most.groupBy("region").agg(F.max_by("class", F.struct("n", "class")).alias("most"))
+    outside = whole.join(most, "region").filter("class <> most").select("key")
+    outside = stage(large.join(outside, "key", "left_semi"), "outside", "uncompressed")
+    return links.unionByName(_against(outside, large, join))
 
 
 def connected(links: DataFrame) -> DataFrame:
@@ -433,14 +552,6 @@ def connected(links: DataFrame) -> DataFrame:
     return roots.unionByName(itself)
 
 
-def _labelled(pairs: DataFrame, roots: DataFrame, *columns: str) -> DataFrame:
-    """``pairs`` with the class of each of ``columns``, itself where it has no links."""
-    for c in columns:
-        table = roots.select(F.col("key").alias(c), F.col("root").alias(f"_{c}"))
-        pairs = pairs.join(table, c, "left").withColumn(f"{c}_root", F.coalesce(f"_{c}", c)).drop(f"_{c}")
-    return pairs
-
-
 def classes(docs: DataFrame, join: Join = Join(), key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_shingles, component_id) per row of ``docs``.
 
@@ -456,41 +567,21 @@ def classes(docs: DataFrame, join: Join = Join(), key: str = "doc_id", text: str
     entries = known.agg(F.sum("n")).first()[0] or 0
     parts = max(1, int(entries * (100 - join.percent) / 100) // PART_ENTRIES + 1)
     postings = _postings(rows, frequencies, parts, join)
-    schema = "kind long, a long, b long, matches long, need long"
-    matched = stage(postings.groupBy("part").applyInArrow(lambda t: _matched(t, join), schema), "matched", "zstd")
-
-    counted = matched.filter(F.col("kind") != LONG).groupBy("a", "b")
-    pairs = counted.agg(F.sum("matches").alias("matches"), F.min("need").alias("need"))
-    near = stage(pairs.filter(F.col("matches") >= F.col("need")), "near")
-    long = matched.filter(F.col("kind") == LONG)
-    wanted = near.select(F.col("a").alias("key")).union(near.select("b")).union(long.select("b")).distinct()
-    of_key = known.filter(F.col("key").isNotNull()).groupBy("key").agg(F.min("id").alias("id"))
-    sets = stage(_shingled(rows, stage(wanted.join(of_key, "key"), "wanted"), join), "sets", "uncompressed")
-
-    by_a = Window.partitionBy("a").orderBy(F.col("matches").desc(), "b")
-    by_b = Window.partitionBy("b").orderBy(F.col("matches").desc(), "a")
-    ranked = near.withColumn("ra", F.row_number().over(by_a)).withColumn("rb", F.row_number().over(by_b))
-    first = stage(ranked.filter("ra = 1 OR rb = 1").select("a", "b"), "best")
-    links = stage(_linked(first, sets, join), "links")
-    roots = stage(connected(links), "roots")
-
-    small = matched.filter(F.col("kind") == PAIRS).select("a", "b", "matches", "need")
-    small = _labelled(small, roots, "a", "b").filter("a_root <> b_root").select("a", "b", "matches", "need")
-    entry = _labelled(long.select(F.col("a").alias("token"), "b", F.col("matches").alias("n"), "need"), roots, "b")
-    mixed = entry.groupBy("token").agg(F.min("b_root").alias("lo"), F.max("b_root").alias("hi")).filter("lo < hi")
-    entry = stage(entry.join(mixed.select("token"), "token", "left_semi"), "mixed")
-    one = entry.select("token", F.col("b").alias("a"), F.col("n").alias("an"), F.col("need").alias("am"), F.col("b_root").alias("ar"))
-    two = entry.select("token", "b", F.col("n").alias("bn"), F.col("need").alias("bm"), F.col("b_root").alias("br"))
-    fit = (F.least("an", "bn") * 100 >= F.greatest("an", "bn") * join.percent) & (F.col("a") < F.col("b"))
-    across = one.join(two, "token").filter((F.col("ar") != F.col("br")) & fit)
-    across = across.select("a", "b", F.lit(1).cast("long").alias("matches"), F.least("am", "bm").alias("need"))
-    ordered = small.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "matches", "need")
-    rest = ordered.unionByName(across).groupBy("a", "b")
-    rest = rest.agg(F.sum("matches").alias("matches"), F.min("need").alias("need")).filter("matches >= need")
-    done = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = stage(rest.join(done, ["a", "b"], "left_anti").select("a", "b"), "rest")
-    more = _linked(rest, sets, join)
-    roots = stage(connected(links.unionByName(more)), "roots")
+    schema = "a long, b long, matches long, need long"
+    matched = postings.groupBy("part").applyInArrow(lambda t: _matched(t, join), schema)
+    pairs = matched.groupBy("a", "b").agg(F.sum("matches").alias("matches"), F.min("need").alias("need"))
+    regions = connected(pairs.filter(F.col("matches") >= F.col("need")).select("a", "b"))
+
+    of_key = known.filter(F.col("key").isNotNull()).groupBy("key").agg(F.min("id").alias("id"), F.first("n").alias("n"))
+    placed = stage(regions.join(of_key, "key").withColumnRenamed("root", "region"), "regions")
+    blocks = F.ceil(F.greatest(F.sum("n") / F.lit(BLOCK_SHINGLES), F.count("*") / F.lit(BLOCK_KEYS)))
+    sizes = placed.groupBy("region").agg(blocks.alias("blocks"))
+    wanted = placed.join(sizes, "region").select(
+        "key", "id", "region", "blocks", F.pmod(F.xxhash64("key"), F.col("blocks")).alias("block")
+    )
+    sets = stage(_shingled(rows, stage(wanted, "wanted"), join), "sets", "uncompressed")
+    bins = max(1, (placed.agg(F.sum("n")).first()[0] or 0) // BLOCK_SHINGLES + 1)
+    roots = stage(connected(_region_links(sets, bins, join)), "roots")
 
     members = stage(
         known.join(roots, "key", "left").select("id", "n", F.coalesce("root", "key").alias("class")), "members"

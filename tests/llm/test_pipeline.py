@@ -1,0 +1,78 @@
+"""The pipeline's stages, each on its own input, and the registered queries."""
+
+import os
+from collections import Counter
+
+import pytest
+from compare import connect, difference
+from docs import odd_rows, table
+from test_ngrams import plain_classes
+
+import corpus_pipeline
+from quotemill.llm.oracle import ORACLE_SQL
+from quotemill.llm.queries import QUERIES
+
+FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+needs_tables = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="driver tables not present")
+
+
+@pytest.fixture(scope="module")
+def connection():
+    return connect(FOLDER)
+
+
+@needs_tables
+@pytest.mark.parametrize("name", list(ORACLE_SQL))
+def test_queries_with_sql(spark, connection, name):
+    assert difference(QUERIES[name](spark, FOLDER), connection, ORACLE_SQL[name]) is None
+
+
+@needs_tables
+def test_join_query_equals_all_pairs(spark, connection):
+    rows = connection.execute("SELECT doc_id, text FROM documents").fetchall()
+    got = QUERIES["op7_ngram_join"](spark, FOLDER).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == plain_classes(rows)
+
+
+@needs_tables
+def test_language_query_on_the_held_out_fold(spark, connection):
+    langs = dict(connection.execute("SELECT doc_id, lang FROM documents").fetchall())
+    got = QUERIES["op9_byte_language"](spark, FOLDER).collect()
+    assert len(got) == len(langs)
+    held = [r for r in got if r["held_out"] and langs[r["doc_id"]]]
+    assert sum(r["lang_pred"] == langs[r["doc_id"]] for r in held) >= 0.9 * len(held)
+
+
+@needs_tables
+def test_stages(spark, connection):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    rows = {r["doc_id"]: r for r in docs.collect()}
+    steps = dict(corpus_pipeline.STAGES)
+    read = steps["language ID"](spark, docs, FOLDER).collect()
+    clean = [i for i, r in rows.items() if r["text"] and sum(c.isalpha() for c in r["text"]) > 30]
+    assert {r["doc_id"] for r in read} >= set(clean)
+    assert all(tuple(r) == tuple(rows[r["doc_id"]]) for r in read)
+
+    kept = steps["n-gram Jaccard join"](spark, docs, FOLDER).collect()
+    classes = plain_classes([(i, r["text"]) for i, r in rows.items()])
+    assert sorted(r["doc_id"] for r in kept) == sorted({c for _, c in classes.values()})
+
+    mixed = steps["mixing sources to target weights"](spark, docs, FOLDER)
+    assert mixed.columns == docs.columns
+    times = Counter(r["doc_id"] for r in mixed.collect())
+    query = {r["doc_id"]: r for r in QUERIES["op3_source_mix"](spark, FOLDER).collect()}
+    assert all(times[i] * r["size"] == r["taken"] for i, r in query.items())
+
+    packed = steps["packing"](spark, docs.limit(50), FOLDER)
+    assert packed.select("doc_id").distinct().count() == 50
+
+
+def test_stages_take_odd_rows(spark, tmp_path):
+    docs = table(spark, odd_rows(), clash=False)
+    folder = str(tmp_path)
+    docs.write.parquet(f"{folder}/documents.parquet")
+    for _, step in corpus_pipeline.STAGES[:-1]:
+        out = step(spark, docs, folder)
+        assert out.columns == docs.columns and out.count() > 0
+        assert step(spark, docs.limit(0), folder).count() == 0
+    assert corpus_pipeline.run(spark, folder).count() > 0
