@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import re
+import struct
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -20,11 +21,11 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer, pre_tokenizers
 
 #: Words kept by a worker before it forgets all; about 200 bytes each.
-WORDS_KEPT = 300_000
+WORDS_KEPT = 800_000
 #: Letters that are composed, have one lower-case letter and depend on no neighbour.
 PLAIN = re.compile("[\x21-\x7eÀ-įı-ſ]+")
 #: White space for Python, but not for the tokenizer.
-SEPARATORS = re.compile("[\x1c-\x1f]")
+SEPARATORS = ("\x1c", "\x1d", "\x1e", "\x1f")
 
 
 class _Memory(dict):
@@ -55,7 +56,7 @@ class Encoder:
             self.bytes = {code: level.pre_tokenize_str(chr(code))[0][0] for code in codes}
 
     def text(self, text: str) -> bytes:
-        if not self.pattern or SEPARATORS.search(text):
+        if not self.pattern or any(c in text for c in SEPARATORS):
             return self._whole(text)
         if len(self.words) > self.words_kept:
             self.words.clear()
@@ -64,16 +65,22 @@ class Encoder:
         return b"".join(map(self.words.__getitem__, text.split()))
 
     def _whole(self, text: str) -> bytes:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
+        return self.packed(self.library.encode(text, add_special_tokens=False).ids)
 
     def _word(self, word: str) -> bytes:
+        if word.isascii() and word.isalpha():
+            return self.runs[word.lower()]
         if PLAIN.fullmatch(word) and not any(t in word for t in self.added):
             return b"".join(map(self.runs.__getitem__, self.pattern.findall(word.lower())))
         return self._whole(word)
 
     def _run(self, run: str) -> bytes:
-        tokens = self.library.model.tokenize(run.translate(self.bytes))
-        return np.array([t.id for t in tokens], self.dtype).tobytes()
+        if not run.isascii():
+            run = run.translate(self.bytes)
+        return self.packed([t.id for t in self.library.model.tokenize(run)])
+
+    def packed(self, ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}{'H' if self.dtype == '<u2' else 'I'}", *ids)
 
 
 def id_type(vocabulary: int) -> str:
