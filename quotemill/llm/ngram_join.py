@@ -29,7 +29,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quotemill.llm.staging import stage
@@ -54,13 +54,15 @@ BROADCAST_KEYS = 1_000_000
 
 @dataclass(frozen=True)
 class Join:
-    """``percent``: least similarity. Costs are in units of reading one posting."""
+    """``percent``: least similarity. Costs are in units of reading one posting: handing on one
+    prefix entry, and holding one shingle of a candidate against the other's. ``chance``: how
+    many unrelated documents at least are expected to share a shingle, by passages they quote."""
 
     words: int = 5
     percent: int = 75
-    most_matches: int = 5
     emit_cost: float = 2.0
-    verify_cost: float = 100.0
+    verify_cost: float = 0.1
+    chance: float = 0.2
 
 
 # ---- shingles -------------------------------------------------------------------------------
@@ -230,16 +232,12 @@ def matches_and_prefix(frequency: np.ndarray, load: float, join: Join) -> tuple[
     """
     n = len(frequency)
     least = least_overlap(n, join.percent)
-    sums = np.cumsum(np.maximum(frequency - 1 - load, 0.0))
-    best = (1, n - least + 1)
-    lowest = np.inf
-    for m in range(1, min(join.most_matches, least) + 1):
-        length = n - least + m
-        read = sums[length - 1]
-        cost = read + join.emit_cost * length + join.verify_cost * read / m
-        if cost < lowest:
-            lowest, best = cost, (m, length)
-    return best
+    m = np.unique(np.minimum(np.maximum(1, np.round(1.3 ** np.arange(40))), max(least // 3, 1))).astype(np.int64)
+    length = n - least + m
+    read = np.cumsum(np.maximum(frequency - 1 - load, join.chance))[length - 1]
+    cost = read + join.emit_cost * length + join.verify_cost * n * read / m
+    best = int(np.argmin(cost))
+    return int(m[best]), int(length[best])
 
 
 def _postings(docs: DataFrame, table: np.ndarray, parts: int, join: Join) -> DataFrame:
@@ -450,6 +448,11 @@ def _out(links) -> pa.Table:
     return pa.table({c: pa.array([x[i] for x in links], pa.int64()) for i, c in enumerate("ab")})
 
 
+def _blocks(shingles: Column) -> Column:
+    """Blocks for a group of keys that have so many shingles."""
+    return F.ceil(F.greatest(shingles / F.lit(BLOCK_SHINGLES), F.count("*") / F.lit(BLOCK_KEYS)))
+
+
 def _within(sets: DataFrame, bins: int, join: Join) -> DataFrame:
     """Links that join classes among the sets of each (region, block)."""
 
@@ -475,11 +478,11 @@ def _against(outside: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
         (_, keys, mine), (_, others, theirs) = next(_units(few, "region")), next(_units(many, "region"))
         return _out(_joining(keys, mine, others, theirs, join.percent, {}))
 
-    blocks = sets.select("region", "block").distinct()
-    asked = outside.select("region", F.col("block").alias("chunk"), "key", "shingles").join(
-        blocks.select("region", F.col("block").alias("facing")), "region"
-    )
-    chunks = outside.select("region", F.col("block").alias("chunk")).distinct()
+    blocks = sets.select("region", F.col("block").alias("facing")).distinct()
+    counted = outside.groupBy("region").agg(_blocks(F.sum(F.size("shingles"))).alias("chunks"))
+    place = F.pmod(F.xxhash64("key"), F.col("chunks")).alias("chunk")
+    asked = outside.join(counted, "region").select("region", place, "key", "shingles").join(blocks, "region")
+    chunks = counted.select("region", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"))
     held = sets.select("region", F.col("block").alias("facing"), "key", "shingles").join(chunks, "region")
     columns = ["region", "chunk", "facing"]
     pairs = asked.groupBy(*columns).cogroup(held.groupBy(*columns))
@@ -574,8 +577,7 @@ def classes(docs: DataFrame, join: Join = Join(), key: str = "doc_id", text: str
 
     of_key = known.filter(F.col("key").isNotNull()).groupBy("key").agg(F.min("id").alias("id"), F.first("n").alias("n"))
     placed = stage(regions.join(of_key, "key").withColumnRenamed("root", "region"), "regions")
-    blocks = F.ceil(F.greatest(F.sum("n") / F.lit(BLOCK_SHINGLES), F.count("*") / F.lit(BLOCK_KEYS)))
-    sizes = placed.groupBy("region").agg(blocks.alias("blocks"))
+    sizes = placed.groupBy("region").agg(_blocks(F.sum("n")).alias("blocks"))
     wanted = placed.join(sizes, "region").select(
         "key", "id", "region", "blocks", F.pmod(F.xxhash64("key"), F.col("blocks")).alias("block")
     )

@@ -64,7 +64,7 @@ def corpus(seed, groups=12, hot=40):
     return [(i, t, None, None, None) for i, t in enumerate(texts)]
 
 
-@pytest.mark.parametrize("seed,join", [(1, Join()), (2, Join(verify_cost=1e6, emit_cost=0)), (3, Join(most_matches=1))])
+@pytest.mark.parametrize("seed,join", [(1, Join()), (2, Join(verify_cost=1e3, emit_cost=0)), (3, Join(verify_cost=0))])
 def test_classes_equal_all_pairs(spark, monkeypatch, seed, join):
     monkeypatch.setattr(ngram_join, "PART_ENTRIES", 700)
     monkeypatch.setattr(ngram_join, "SMALL", 4)
@@ -100,10 +100,10 @@ def test_shingle_sets_equal_plain_sets():
 
 def test_costly_prefixes_get_longer():
     rare = np.full(100, 2.0)
-    assert ngram_join.matches_and_prefix(rare, 1000.0, Join()) == (1, 26)
-    costly = np.sort(np.full(100, 500.0))
-    m, length = ngram_join.matches_and_prefix(costly, 0.0, Join())
-    assert m > 1 and length == 25 + m
+    m, length = ngram_join.matches_and_prefix(rare, 1000.0, Join())
+    costly, more = ngram_join.matches_and_prefix(np.full(100, 500.0), 0.0, Join(emit_cost=1000.0))
+    assert 1 < m < costly and length == 25 + m and more == 25 + costly
+    assert ngram_join.matches_and_prefix(rare, 1000.0, Join(verify_cost=0)) == (1, 26)
     assert ngram_join.matches_and_prefix(np.ones(1), 0.0, Join()) == (1, 1)
 
 
