@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quotemill.functions.scalars import as_date
 
-SHARES = 16  # parts of a hot ticker in a membership join
+BROADCAST_MEMBERS = 100_000  # members that every task may hold; beyond, the join is shuffled
 
 # Names the membership table takes in the models.
 SNAPSHOT_NAMES = {
@@ -47,24 +48,30 @@ def universe(lookup: DataFrame, run_date: str | dt.date) -> DataFrame:
     )
 
 
-def in_universe(rows: DataFrame, members: DataFrame, shares: int = SHARES) -> DataFrame:
+def in_universe(
+    rows: DataFrame, members: DataFrame, shares: int = 1, spread: Sequence[str] = ()
+) -> DataFrame:
     """Rows whose ticker is a member.
 
-    One ticker may hold a large part of the rows. They are therefore spread over ``shares`` by a
-    hash of their other columns, and every share gets its own copy of the members, so no task
-    has to take a whole ticker. Adaptive execution cannot do this here: it only splits a join
-    whose sides both come straight out of a shuffle, and members are usually made distinct first.
+    Members are counted. Few are broadcast, so the rows are not shuffled at all, whatever the
+    planner thinks of the plan behind the members. Beyond ``BROADCAST_MEMBERS`` both sides are
+    shuffled by ticker; ``shares`` then spreads each ticker by a hash of the narrow columns
+    ``spread``, and gives every share its own copy of the members, so no task takes a whole ticker.
     """
-    others = [
-        name for name, kind in rows.dtypes if name != "ticker" and not kind.startswith(("map", "variant"))
-    ]
-    share = F.pmod(F.xxhash64(*others), F.lit(shares)) if others else F.lit(0).cast("bigint")
+    if shares > 1 and not spread:
+        raise ValueError("name the columns that tell the shares apart")
+    known = members.filter(F.col("ticker").isNotNull()).select("ticker")
+    if known.limit(BROADCAST_MEMBERS + 1).count() <= BROADCAST_MEMBERS:
+        return rows.join(F.broadcast(known), "ticker", "left_semi")
+    if shares <= 1:
+        return rows.join(known, "ticker", "left_semi")
+    share = F.pmod(F.xxhash64(*spread), F.lit(shares))
     every = F.sequence(F.lit(0).cast("bigint"), F.lit(shares - 1).cast("bigint"))
-    copies = members.filter(F.col("ticker").isNotNull()).withColumn("_share", F.explode(every))
+    copies = known.withColumn("_share", F.explode(every))
     # One key column: with two, both sides might be partitioned by the ticker alone.
     key = F.struct("ticker", "_share").alias("_key")
-    spread = rows.withColumn("_share", share).select("*", key)
-    return spread.join(copies.select(key), "_key", "left_semi").select(*rows.columns)
+    shared = rows.withColumn("_share", share).select("*", key)
+    return shared.join(copies.select(key), "_key", "left_semi").select(*rows.columns)
 
 
 def with_company(rows: DataFrame, companies: DataFrame) -> DataFrame:

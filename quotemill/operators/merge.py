@@ -62,8 +62,9 @@ def recent_rows(
     """Rows from ``since`` on, with at least the ``rows`` rows before it of every key seen there.
 
     ``days`` calendar days usually hold that many rows, and only those partitions are read. Keys
-    that have fewer rows in them (holidays, thin trading) get their older rows as well; when
-    there is no such key the join is empty and the older partitions are not scanned.
+    that have fewer rows in them (holidays, thin trading) get their older rows as well. Whether
+    there are any is found out first, from the recent partitions; if not, the older partitions are
+    not in the plan.
     """
     near_start = as_date(days_before(since, days))
     near = df.filter(F.col(date) >= near_start)
@@ -74,5 +75,7 @@ def recent_rows(
         .filter(F.col("_active") & (F.col("_before") < rows))
         .select(key)
     )
+    if short.isEmpty():
+        return near
     older = df.filter(F.col(date) < near_start).join(short, key, "left_semi")
     return near.unionByName(older)

@@ -156,6 +156,49 @@ MODELS: dict[str, Model] = {
 }
 
 
+# What each model is about.
+ABOUT = {
+    "technical_scores": "trend, momentum, price action and MACD scores of a stock on a day",
+    "fundamental_scores": "profitability, growth, health and cash scores of a stock in a fiscal year",
+    "composite_scores": "technical and fundamental scores of a stock on a day, blended",
+    "industry_scores": "composite scores with the company, its sector and its industry",
+    "price_performance": "returns, volatility and drawdown of a stock on a day, with its company",
+}
+MEANINGS = {
+    "avg_": "mean of {}",
+    "max_": "largest {}",
+    "min_": "smallest {}",
+    "std_": "sample standard deviation of {}",
+    "latest_": "largest {} of the rows at hand",
+    "positive_": "share of rows with a positive {}",
+}
+
+
+def describe(model: str | None = None) -> list[dict[str, str]]:
+    """What can be asked for: a row per dimension and measure of one model, or of all."""
+    if model is not None and model not in MODELS:
+        raise ValueError(f"unknown model {model!r}; known: {sorted(MODELS)}")
+    rows = []
+    for name in [model] if model else MODELS:
+        spec = MODELS[name]
+        for dimension in spec.dimensions:
+            kind = "time dimension" if dimension == spec.time_dimension else "dimension"
+            rows.append({"model": name, "about": ABOUT[name], "name": dimension, "kind": kind, "meaning": dimension})
+        for measure in spec.measures:
+            rows.append(
+                {"model": name, "about": ABOUT[name], "name": measure, "kind": "measure", "meaning": _meaning(measure)}
+            )
+    return rows
+
+
+def _meaning(measure: str) -> str:
+    if measure.endswith("_count"):
+        counted = measure.removesuffix("_count")
+        return "number of rows" if counted == "observation" else f"number of different values of {counted}"
+    prefix = next(p for p in MEANINGS if measure.startswith(p))
+    return MEANINGS[prefix].format(measure.removeprefix(prefix).replace("_", " "))
+
+
 def latest_rows(table: DataFrame, date: str, not_after: str | None = None) -> DataFrame:
     """Rows of the last date in the table, or of the last date up to ``not_after``.
 

@@ -6,7 +6,7 @@ Prices are whole cents and ratios whole millionths here, so rounding is exact ar
 from __future__ import annotations
 
 from quotemill.operators.fundamentals import BALANCE_COLUMNS, CASH_FLOW_COLUMNS
-from quotemill.plans.registry import CUTOFF, RUN_DATE, SCREEN_DATE
+from quotemill.plans.registry import MONTH, MONTHS, RUN_DATE
 from quotemill.sources.adapters import NEWS_DATES, SNAPSHOT_DATES
 
 CTES: dict[str, tuple[list[str], str]] = {}
@@ -164,12 +164,12 @@ walk(ticker, n, short, long, signal) AS (
             - (w.long + (x.close - w.long) * (2 / 27e0)) - w.signal) * (2 / 10e0)
     FROM walk w JOIN numbered x ON x.ticker = w.ticker AND x.n = w.n + 1
 )
-SELECT x.ticker, x.date, round(w.short - w.long, 3) AS macd_value, round(w.signal, 3) AS signal_value,
-    round(w.short - w.long - w.signal, 3) AS histogram_value
+SELECT x.ticker, x.date, round(w.short - w.long, 6) AS macd_value, round(w.signal, 6) AS signal_value,
+    round(w.short - w.long - w.signal, 6) AS histogram_value
 FROM walk w JOIN numbered x ON x.ticker = w.ticker AND x.n = w.n"""
 
 STRENGTH = """CASE WHEN n > 14 THEN CASE WHEN loss = 0 AND gain = 0 THEN 50 WHEN loss = 0 THEN 100
-    ELSE round(100 - 100 / (1 + gain / loss), 3) END END AS rsi_value"""
+    ELSE round(100 - 100 / (1 + gain / loss), 9) END END AS rsi_value"""
 
 RSI_SQL = select("", "numbered").replace("WITH ", "WITH RECURSIVE ", 1).rstrip() + f""",
 seed AS (
@@ -412,7 +412,7 @@ PRICE = f"""{means("daily_return", "cumulative_return", "rolling_30d_return", "r
 
 
 def latest(table: str, column: str) -> str:
-    return f"{column} = (SELECT max({column}) FROM {table} WHERE {column} <= DATE '{SCREEN_DATE}')"
+    return f"{column} = (SELECT max({column}) FROM {table})"
 
 
 # -- feeds -------------------------------------------------------------------
@@ -442,7 +442,12 @@ CONSTITUENT_COLUMNS = f"""ticker, company_name AS security_name, sector AS gics_
     industry AS gics_sub_industry, location AS headquarters_location, date_added, cik, founded_year,
     DATE '{RUN_DATE}' AS date"""
 
-SINCE = f"DATE '{CUTOFF}' - 3"
+cte(
+    "monthly",
+    """SELECT ticker, CAST(date_trunc('month', date) AS DATE) AS date, CAST(sum(volume) AS BIGINT) AS volume
+    FROM bars GROUP BY 1, 2""",
+    "bars",
+)
 
 
 def _queries() -> dict[str, str]:
@@ -461,11 +466,42 @@ def _queries() -> dict[str, str]:
         "price_returns": select(returns, "returns"),
         "price_returns_split": select(returns, "returns"),
         "incremental_price_returns": select(returns, "returns"),
+        "incremental_daily_changes": bars(
+            """SELECT ticker, date, close, lag(close) OVER w AS previous_day_close,
+                (close_cents - lag(close_cents) OVER w) / 1e2 AS price_change
+            FROM bars WINDOW w AS (PARTITION BY ticker ORDER BY date)"""
+        ),
+        "incremental_indicators": select(
+            """SELECT *, 14 AS rsi_window_size, 'day' AS rsi_timespan, 'close' AS rsi_series_type
+            FROM technical""",
+            "technical",
+        ),
+        "incremental_composite": select("SELECT * FROM composite", "composite"),
+        "incremental_industry": select("SELECT * FROM industry", "industry"),
+        "incremental_performance": select(
+            f"SELECT {RETURN_COLUMNS}, company_name, sector, industry FROM performance", "performance"
+        ),
+        "table_replace_day": select(
+            f"""SELECT ticker, date, volume, CASE WHEN date = DATE '{MONTH}' THEN 2 ELSE 1 END AS version
+            FROM monthly WHERE volume >= 60 OR date <> DATE '{MONTH}'""",
+            "monthly",
+        ),
+        "table_replace_range": select(
+            f"""SELECT ticker, date, volume, CASE WHEN date = DATE '{MONTHS[1]}' THEN 2 ELSE 1 END AS version
+            FROM monthly WHERE date < DATE '{MONTHS[0]}' OR date >= DATE '{MONTHS[1]}'""",
+            "monthly",
+        ),
+        "table_delete_insert": select(
+            "SELECT ticker, date, volume, CASE WHEN volume >= 60 THEN 2 ELSE 1 END AS version FROM monthly", "monthly"
+        ),
+        "table_full_refresh": select("SELECT ticker, date, volume, 2 AS version FROM monthly", "monthly"),
+        "table_variants": "SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events",
         "rolling_volatility": select(f"SELECT ticker, date, {volatility} FROM returns", "returns"),
         "running_drawdown": select("SELECT ticker, date, running_max_price, drawdown_pct FROM returns", "returns"),
         "sma_indicators": select("SELECT * FROM averages", "averages"),
         "sma_split": select("SELECT ticker, date, close, sma_20, sma_50, sma_200 FROM averages", "averages"),
         "rsi": RSI_SQL,
+        "rsi_split": RSI_SQL,
         "rsi_simple": select(f"SELECT ticker, date, {STRENGTH} FROM simple_strength", "simple_strength"),
         "macd": MACD_SQL,
         "macd_split": MACD_SQL,
@@ -520,7 +556,7 @@ def _queries() -> dict[str, str]:
             "stories",
         ),
         "feed_news_range": select(
-            newest(STORY_COLUMNS, "stories", "published_utc DESC, article_id", 100), "stories"
+            f"SELECT {STORY_COLUMNS} FROM stories", "stories"
         ),
         "news_ticker_explode": select(
             f"""SELECT m.ticker, 'Document ' || doc_id AS title, DATE '{NEWS_DATES[0]}' AS date, text AS content,
@@ -547,14 +583,8 @@ def _queries() -> dict[str, str]:
             "points",
         ),
         "feed_indicator_range": select(
-            newest(
-                """ticker, CAST(date AS TIMESTAMP) AS timestamp, close AS sma_value, 30 AS window_size,
-                'day' AS timespan, 'close' AS series_type, date""",
-                "bars",
-                "date DESC",
-                730,
-                END_OF_RUN,
-            ),
+            """SELECT ticker, CAST(date AS TIMESTAMP) AS timestamp, close AS sma_value, 30 AS window_size,
+                'day' AS timespan, 'close' AS series_type, date FROM bars""",
             "bars",
         ),
         "feed_macd": select(
@@ -584,6 +614,8 @@ def _queries() -> dict[str, str]:
         "feed_constituents": select(
             f"SELECT {CONSTITUENT_COLUMNS} FROM lookup WHERE as_of_date = DATE '{SNAPSHOT_DATES[0]}'", "lookup"
         ),
+        "feed_rejects": """SELECT ['status', 'empty', 'broken'][1 + s_suppkey % 7] AS reason, count(*) AS "lines"
+            FROM supplier WHERE s_suppkey % 7 < 3 GROUP BY 1""",
         "feed_reference": "SELECT CAST(s_suppkey AS VARCHAR) AS ticker, s_name AS name, true AS active FROM supplier",
         "delete_insert_merge": bars(
             """SELECT ticker, date, close, CASE WHEN date >= DATE '2000-12-01' THEN 2 ELSE 1 END AS version
@@ -675,7 +707,7 @@ def _queries() -> dict[str, str]:
         ),
         "g9_near_high": select(
             f"""SELECT ticker, company_name, sector, date, close, drawdown_pct FROM performance
-            WHERE {latest("performance", "date")} AND drawdown_pct >= -0.5""",
+            WHERE {latest("performance", "date")} AND drawdown_pct >= -0.9""",
             "performance",
         ),
         "g10_most_volatile": select(
@@ -725,7 +757,7 @@ def _queries() -> dict[str, str]:
         ),
         "q_fundamentals_range": select(
             """SELECT ticker, date, fundamentals_score FROM fundamental_scores
-            WHERE fundamentals_score IS NULL OR fundamentals_score NOT BETWEEN 0 AND 100""",
+            WHERE fundamentals_score IS NULL OR fundamentals_score NOT BETWEEN 30 AND 60""",
             "fundamental_scores",
         ),
     }

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quotemill import schemas
-from quotemill.functions.scalars import before_end_of_day
+from quotemill.functions.scalars import before_end_of_day, days_before
 from quotemill.operators import (
     companies,
     composite,
@@ -25,13 +27,14 @@ from quotemill.operators.timeline import Split
 from quotemill.operators.topk import latest_k
 from quotemill.plans import incremental, screens
 from quotemill.plans.marts import Marts
-from quotemill.session import cut_lineage, tune
+from quotemill.session import scratch_folder, tune
 from quotemill.sources import adapters, feeds
+from quotemill.sources.tables import Tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 RUN_DATE = "2000-06-30"
-SCREEN_DATE = "2000-06-30"
+LAST_DATE = "9999-12-31"
 CUTOFF = dt.date(2001, 6, 30)
 SMALL_BLOCKS = Split(rows_per_block=512, piece="month")
 
@@ -135,25 +138,33 @@ def sma_split(spark, folder):
 
 @registered
 def rsi(spark, folder):
-    return rounded(indicators.rsi(adapters.stock_prices(spark, folder)), 3, "rsi_value")
+    return rounded(indicators.rsi(adapters.stock_prices(spark, folder)), 9, "rsi_value")
 
 
 @registered
 def rsi_simple(spark, folder):
     values = indicators.rsi(adapters.stock_prices(spark, folder), smoothing="simple")
-    return rounded(values, 3, "rsi_value")
+    return rounded(values, 9, "rsi_value")
 
 
 @registered
 def macd(spark, folder):
     values = indicators.macd(adapters.stock_prices(spark, folder))
-    return rounded(values, 3, "macd_value", "signal_value", "histogram_value")
+    return rounded(values, 6, "macd_value", "signal_value", "histogram_value")
+
+
+YEAR_BLOCKS = Split(rows_per_block=128, piece="year")
+
+
+@registered
+def rsi_split(spark, folder):
+    return rounded(indicators.rsi(adapters.stock_prices(spark, folder), split=YEAR_BLOCKS), 9, "rsi_value")
 
 
 @registered
 def macd_split(spark, folder):
-    values = indicators.macd(adapters.stock_prices(spark, folder), split=Split(rows_per_block=1024, piece="year"))
-    return rounded(values, 3, "macd_value", "signal_value", "histogram_value")
+    values = indicators.macd(adapters.stock_prices(spark, folder), split=YEAR_BLOCKS)
+    return rounded(values, 6, "macd_value", "signal_value", "histogram_value")
 
 
 @registered
@@ -327,15 +338,21 @@ NEWS_COLUMNS = """
 """.split()
 
 
+def _landed(spark: SparkSession) -> str:
+    return f"{scratch_folder(spark)}/quotemill-feeds/{uuid.uuid4().hex}"
+
+
 def _through_json(payloads: DataFrame, schema) -> DataFrame:
-    """Payloads as they read back from JSON text."""
-    text = payloads.select(F.to_json(F.struct(*payloads.columns)).alias("line"))
-    return text.select(F.from_json("line", schema).alias("payload")).select("payload.*")
+    """Payloads as they read back from a landed file of JSON lines."""
+    path = _landed(payloads.sparkSession)
+    payloads.select(F.to_json(F.struct(*payloads.columns)).alias("line")).write.text(path)
+    return feeds.read_feed(payloads.sparkSession, path, schema)
 
 
 @registered
 def feed_news(spark, folder):
-    return feeds.news(_news_payloads(spark, folder), adapters.NEWS_DATES[0]).select(*NEWS_COLUMNS)
+    rows = feeds.news(_news_payloads(spark, folder), adapters.NEWS_DATES[0], limit_per_ticker=10)
+    return rows.select(*NEWS_COLUMNS)
 
 
 @registered
@@ -423,7 +440,7 @@ def feed_indicator_range(spark, folder):
     point = F.struct(_millis("date").alias("timestamp"), F.col("close").alias("value"))
     pages = _monthly_pages(adapters.stock_prices(spark, folder), point, nested=True)
     payloads = _through_json(pages, schemas.INDICATOR_FEED)
-    rows = feeds.indicator(payloads, RUN_DATE, "sma", 30, limit=730, stamp_run_date=False)
+    rows = feeds.indicator(payloads, LAST_DATE, "sma", 30, stamp_run_date=False)
     return rows.drop("extracted_at")
 
 
@@ -478,8 +495,27 @@ def feed_cash_flow(spark, folder):
 
 @registered
 def feed_constituents(spark, folder):
-    snapshot = adapters.constituents(spark, folder).drop("s_acctbal")
-    return feeds.constituents(snapshot, RUN_DATE).drop("extracted_at")
+    path = _landed(spark)
+    adapters.constituents(spark, folder).drop("s_acctbal").write.option("header", True).csv(path)
+    return feeds.constituents(feeds.read_constituents(spark, path), RUN_DATE).drop("extracted_at")
+
+
+@registered
+def feed_rejects(spark, folder):
+    """Landed lines that bring no rows, by reason: one kind of damage per remainder of the supplier key."""
+    supplier = F.col("s_suppkey")
+    item = F.struct(F.lit(1.0).alias("c"), F.lit(0).cast("bigint").alias("t"))
+    payload = F.struct(
+        supplier.cast("string").alias("ticker"),
+        F.when(supplier % 7 == 0, "ERROR").otherwise("OK").alias("status"),
+        F.when(supplier % 7 == 1, F.array().cast("array<struct<c:double,t:bigint>>")).otherwise(F.array(item)).alias("results"),
+    )
+    line = F.to_json(payload)
+    line = F.when(supplier % 7 == 2, F.substring(line, F.lit(1), F.length(line) - 1)).otherwise(line)
+    path = _landed(spark)
+    adapters.table(spark, folder, "supplier").select(line.alias("line")).write.text(path)
+    lines = feeds.read_rejects(spark, path, schemas.PRICE_FEED)
+    return lines.groupBy("reason").agg(F.count("*").alias("lines"))
 
 
 @registered
@@ -536,28 +572,160 @@ def overwrite_partition(spark, folder):
     return merge.replace_day(_versioned(bars, 1), batch, day)
 
 
+# -- tables that are written and read back -----------------------------------
+
+MONTH = "2000-06-01"
+MONTHS = ("2000-01-01", "2000-06-01")
+
+
+def _warehouse(spark: SparkSession) -> Tables:
+    return Tables(spark, f"{scratch_folder(spark)}/quotemill-tables/{uuid.uuid4().hex}")
+
+
+def _monthly(spark, folder, version: int) -> DataFrame:
+    """Shares traded per ticker and month, dated by the month's first day."""
+    lines = adapters.stock_prices(spark, folder)
+    monthly = lines.groupBy("ticker", F.trunc("date", "month").alias("date"))
+    return monthly.agg(F.sum("volume").alias("volume")).withColumn("version", F.lit(version))
+
+
+def _with_monthly_table(spark, folder) -> Tables:
+    tables = _warehouse(spark)
+    tables.create("raw/volumes", T.StructType.fromDDL("ticker string, volume bigint, version int, date date"), "date")
+    tables.replace_range("raw/volumes", _monthly(spark, folder, 1))
+    return tables
+
+
+@registered
+def table_replace_day(spark, folder):
+    tables = _with_monthly_table(spark, folder)
+    batch = _monthly(spark, folder, 2).filter((F.col("volume") >= 60) & merge.in_range("date", MONTH, MONTH))
+    tables.replace_day("raw/volumes", batch, MONTH)
+    return tables.read("raw/volumes")
+
+
+@registered
+def table_replace_range(spark, folder):
+    """Only the last month of the range has rows in the batch: the others end up empty."""
+    tables = _with_monthly_table(spark, folder)
+    batch = _monthly(spark, folder, 2).filter(merge.in_range("date", MONTHS[1], MONTHS[1]))
+    tables.replace_range("raw/volumes", batch, *MONTHS)
+    return tables.read("raw/volumes")
+
+
+@registered
+def table_delete_insert(spark, folder):
+    tables = _with_monthly_table(spark, folder)
+    batch = _monthly(spark, folder, 2).filter(F.col("volume") >= 60)
+    tables.delete_insert("raw/volumes", batch, ["ticker", "date"], "date")
+    return tables.read("raw/volumes")
+
+
+@registered
+def table_full_refresh(spark, folder):
+    """A table replaced by one derived from it."""
+    tables = _warehouse(spark)
+    tables.overwrite("marts/volumes", _monthly(spark, folder, 1))
+    again = tables.read("marts/volumes").withColumn("version", F.col("version") + 1)
+    tables.overwrite("marts/volumes", again)
+    return tables.read("marts/volumes")
+
+
+@registered
+def table_variants(spark, folder):
+    tables = _warehouse(spark)
+    events = adapters.table(spark, folder, "events").select("event_id", "props")
+    tables.overwrite("raw/events", feeds.with_variants(events, "props"))
+    stored = tables.read("raw/events")
+    return stored.select("event_id", F.variant_get("props", "$.k", "int").alias("k"))
+
+
+# -- incremental runs: from the last day of the target on --------------------
+
+
+def _carried_on(target: DataFrame, date: str, days: int, batch_since, keys=("ticker", "date")) -> DataFrame:
+    """``target`` after an incremental run that starts ``days`` before the last day it holds."""
+    last = target.agg(F.max(date)).first()[0]
+    if last is None:
+        return target
+    return merge.delete_insert(target, batch_since(days_before(last, days)), list(keys))
+
+
+def _known(df: DataFrame, date: str = "date") -> DataFrame:
+    """What a table held on the day of the cutoff."""
+    return df.filter(F.col(date) <= F.lit(CUTOFF))
+
+
+@registered
+def incremental_daily_changes(spark, folder):
+    bars = adapters.stock_prices(spark, folder)
+    target = returns.daily_price_changes(_known(bars))
+    new = lambda since: incremental.new_price_changes(bars, since)
+    return rounded(_carried_on(target, "date", incremental.WRITE_DAYS, new), 2, "price_change")
+
+
 @registered
 def incremental_price_returns(spark, folder):
     """Returns built up to a day, then carried on to the last one by an incremental run."""
     bars = adapters.stock_prices(spark, folder)
-    known = bars.filter(F.col("date") <= F.lit(CUTOFF))
-    since = incremental.write_start(CUTOFF)
-    batch = incremental.new_price_returns(bars, since)
-    merged = merge.delete_insert(returns.price_returns(known), batch, ["ticker", "date"])
-    return rounded(merged, 6, "rolling_30d_volatility")
+    target = returns.price_returns(_known(bars))
+    new = lambda since: incremental.new_price_returns(bars, since)
+    return rounded(_carried_on(target, "date", incremental.WRITE_DAYS, new), 6, "rolling_30d_volatility")
+
+
+@registered
+def incremental_indicators(spark, folder):
+    built = marts(spark, folder)
+    feeds_ = (built.raw["stock_prices"], built.raw["rsi"], built.raw["macd"])
+    target = indicators.technical_indicators(*[_known(f) for f in feeds_])
+    new = lambda since: incremental.new_technical_indicators(*feeds_, since)
+    return _carried_on(target, "date", incremental.WRITE_DAYS, new)
 
 
 @registered
 def incremental_technical_scores(spark, folder):
+    table = marts(spark, folder).technical_indicators
+    target = scoring.technical_scores(_known(table))
+    new = lambda since: incremental.new_technical_scores(table, since)
+    return _carried_on(target, "date", incremental.WRITE_DAYS, new)
+
+
+def _since(df: DataFrame, date: str, since) -> DataFrame:
+    return df.filter(F.col(date) >= F.lit(since))
+
+
+@registered
+def incremental_composite(spark, folder):
+    built = marts(spark, folder)
+    technical, fundamental = built.technical_scores, built.fundamental_scores
+    target = composite.composite_scores(_known(technical), fundamental)
+    new = lambda since: composite.composite_scores(_since(technical, "date", since), fundamental)
+    rows = _carried_on(
+        target, "technical_date", incremental.JOIN_DAYS["composite_scores"], new, ("ticker", "technical_date")
+    )
+    return cast(rows, "double", *composite.WEIGHTS)
+
+
+@registered
+def incremental_industry(spark, folder):
+    built = marts(spark, folder)
+    scores, companies_ = built.composite_scores, built.companies_current
+    target = composite.industry_scores(_known(scores, "technical_date"), companies_)
+    new = lambda since: composite.industry_scores(_since(scores, "technical_date", since), companies_)
+    rows = _carried_on(
+        target, "technical_date", incremental.JOIN_DAYS["industry_scores"], new, ("ticker", "technical_date")
+    )
+    return cast(rows, "double", *composite.WEIGHTS)
+
+
+@registered
+def incremental_performance(spark, folder):
     built = marts(spark, folder)
-    raw, since = built.raw, incremental.write_start(CUTOFF)
-    up_to = F.col("date") <= F.lit(CUTOFF)
-    new = incremental.new_technical_indicators(raw["stock_prices"], raw["rsi"], raw["macd"], since)
-    keys = ["ticker", "date"]
-    table = cut_lineage(merge.delete_insert(built.technical_indicators.filter(up_to), new, keys))
-    scores = incremental.new_technical_scores(table, since)
-    known = scoring.technical_scores(table.filter(up_to))
-    return merge.delete_insert(known, scores, keys)
+    rows, companies_ = built.price_returns, built.companies_current
+    target = composite.price_performance(_known(rows), companies_)
+    new = lambda since: composite.price_performance(_since(rows, "date", since), companies_)
+    carried = _carried_on(target, "date", incremental.JOIN_DAYS["price_performance"], new)
+    return rounded(carried, 6, "rolling_30d_volatility")
 
 
 # ---------------------------------------------------------------------------
@@ -630,7 +798,7 @@ def g2_ticker_performance(spark, folder):
 
 @registered
 def g3_best_in_sector(spark, folder):
-    rows = screens.best_in_sector(_exposed(spark, folder), "ASIA", not_after=SCREEN_DATE)
+    rows = screens.best_in_sector(_exposed(spark, folder), "ASIA")
     return cast(rows, "double", "composite_score_equal")
 
 
@@ -641,7 +809,7 @@ def g4_strong_fundamentals(spark, folder):
 
 @registered
 def g5_momentum_leaders(spark, folder):
-    return screens.momentum_leaders(_exposed(spark, folder), not_after=SCREEN_DATE)
+    return screens.momentum_leaders(_exposed(spark, folder))
 
 
 @registered
@@ -657,13 +825,13 @@ def g7_sector_rotation(spark, folder):
 
 @registered
 def g8_rank_by_composite(spark, folder):
-    rows = screens.rank_by_composite(_exposed(spark, folder), not_after=SCREEN_DATE)
+    rows = screens.rank_by_composite(_exposed(spark, folder))
     return cast(rows, "double", "composite_score_technical_bias")
 
 
 @registered
 def g9_near_high(spark, folder):
-    return screens.near_high(_exposed(spark, folder), within=0.5, not_after=SCREEN_DATE)
+    return screens.near_high(_exposed(spark, folder), within=0.9)
 
 
 @registered
@@ -729,4 +897,6 @@ def q_score_range(spark, folder):
 
 @registered
 def q_fundamentals_range(spark, folder):
-    return quality.score_out_of_range(marts(spark, folder).fundamental_scores, "fundamentals_score")
+    """Fundamental scores outside 30 to 60, to have something to find."""
+    rows = marts(spark, folder).fundamental_scores
+    return quality.score_out_of_range(rows, "fundamentals_score", low=30, high=60)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -37,12 +36,10 @@ def build_session(app_name: str = "quotemill", master: str | None = None, **conf
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one only where none is named, as in tests."""
+    """The folder all executors share, as ``spark.checkpoint.dir`` names it."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder is None:
-        folder = tempfile.mkdtemp(prefix="quotemill-")
-        spark.sparkContext.setCheckpointDir(folder)
-        folder = spark.sparkContext.getCheckpointDir()
+        raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
     return folder.rstrip("/")
 
 
@@ -55,13 +52,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 @contextmanager
-def staged(df: DataFrame) -> Iterator[DataFrame]:
-    """``df`` evaluated once into a table in the scratch folder, for use within the block.
+def staged(df: DataFrame, folder: str | None = None) -> Iterator[DataFrame]:
+    """``df`` evaluated once into a table in a shared folder, for use within the block.
 
     The table cuts the lineage, survives lost executors and lets later steps read single columns.
     """
     spark = df.sparkSession
-    path = f"{scratch_folder(spark)}/quotemill-stage/{uuid.uuid4().hex}"
+    path = f"{folder or scratch_folder(spark)}/quotemill-stage/{uuid.uuid4().hex}"
     df.write.parquet(path)
     try:
         yield spark.read.schema(df.schema).parquet(path)

@@ -2,7 +2,8 @@
 
 Each function takes the payloads of one feed as a DataFrame, as :func:`read_feed` returns them,
 and maps them to the columns of its raw table. A payload is what one request for one ticker
-returned, with the ticker added. Broken lines read as NULL payloads and drop out.
+returned, with the ticker added. Lines that bring no rows drop out; :func:`read_rejects` has them,
+each with the reason.
 """
 
 from __future__ import annotations
@@ -34,6 +35,34 @@ def read_feed(spark: SparkSession, path: str, schema: T.StructType | str) -> Dat
     return spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)
 
 
+def rejects(lines: DataFrame, schema: T.StructType | str) -> DataFrame:
+    """(line, reason) of the ``line`` texts that bring no rows.
+
+    ``broken``: not the JSON of a payload. ``status``: the provider reported a failure. ``empty``:
+    no results.
+    """
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    kept = T.StructType([*schema.fields, T.StructField("_broken", T.StringType())])
+    parsed = lines.select(
+        "line", F.from_json("line", kept, {"columnNameOfCorruptRecord": "_broken"}).alias("p")
+    )
+    results = F.col("p.results")
+    if isinstance(schema["results"].dataType, T.StructType):
+        results = results["values"]
+    failed = F.coalesce(F.col("p.status") != "OK", F.lit(True)) if "status" in schema.names else F.lit(False)
+    reason = (
+        F.when(F.col("p").isNull() | F.col("p._broken").isNotNull(), "broken")
+        .when(failed, "status")
+        .when(F.coalesce(F.size(results), F.lit(-1)) <= 0, "empty")
+    )
+    return parsed.select("line", reason.alias("reason")).filter(F.col("reason").isNotNull())
+
+
+def read_rejects(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    return rejects(spark.read.text(path).withColumnRenamed("value", "line"), schema)
+
+
 def read_constituents(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.CONSTITUENT_FEED).option("header", True).csv(path)
 
@@ -64,7 +93,7 @@ def _bars(payloads: DataFrame, date: Column) -> DataFrame:
         F.col("r.h").alias("high"),
         F.col("r.l").alias("low"),
         F.col("r.c").alias("close"),
-        F.col("r.v").cast("bigint").alias("volume"),
+        F.col("r.v").try_cast("bigint").alias("volume"),
         F.col("r.vw").alias("vwap"),
         F.col("r.n").alias("transactions"),
         date.alias("date"),
@@ -203,8 +232,8 @@ def news_range(payloads: DataFrame, start: Day, end: Day, limit_per_ticker: int
 
 
 def with_variants(rows: DataFrame, *columns: str) -> DataFrame:
-    """JSON text columns parsed into variants."""
-    return rows.withColumns({c: F.parse_json(F.col(c)) for c in columns})
+    """JSON text columns parsed into variants; NULL where a text is no JSON."""
+    return rows.withColumns({c: F.try_parse_json(F.col(c)) for c in columns})
 
 
 def articles(feed: DataFrame, run_date: Day, members: DataFrame) -> DataFrame:

@@ -1,7 +1,10 @@
 """Parquet tables of the warehouse layers, partitioned by date where they are written daily.
 
-Writes touch the partitions they change and no others. Spark stages the new files and swaps
-the partitions when the job commits, so lost executors and retried tasks leave no partial data.
+Writes touch the partitions they change and no others. A batch is staged under the tables' own
+root, then one job writes all partitions it changes; Spark swaps them when the job commits, so lost
+executors and retried tasks leave no partial data. Only then are emptied days deleted, which a
+rerun of the same write would finish. A table that is replaced as a whole is complete beside the
+old one before the two are renamed; a rename that was cut short is finished by the next access.
 One writer per table is assumed.
 """
 
@@ -10,7 +13,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,6 +21,7 @@ from quotemill.operators.merge import date_bounds, delete_insert, in_range
 from quotemill.session import staged
 
 Day = str | dt.date
+NEXT, OLD = "_next", "_old"  # folders of tables on their way in and out
 NO_DAY = "__HIVE_DEFAULT_PARTITION__"  # Spark's folder name for rows without a date
 
 
@@ -34,10 +38,11 @@ class Tables:
     # -- reading ----------------------------------------------------------
 
     def exists(self, table: str) -> bool:
-        folder, files = self._folder(table)
-        return files.exists(folder)
+        self._finish_swap(table)
+        return self._there(table)
 
     def read(self, table: str, schema: T.StructType | None = None) -> DataFrame:
+        self._finish_swap(table)
         reader = self.spark.read if schema is None else self.spark.read.schema(schema)
         return reader.parquet(self.path(table))
 
@@ -56,8 +61,14 @@ class Tables:
             self._write(self.spark.createDataFrame([], schema), table, partition, "append")
 
     def overwrite(self, table: str, rows: DataFrame, partition: str | None = None) -> None:
-        """Replace the whole table."""
-        self._write(rows, table, partition, "overwrite", dynamic=False)
+        """Replace the whole table, which ``rows`` may be derived from."""
+        self._finish_swap(table)
+        coming = f"{NEXT}/{table}"
+        self._write(rows, coming, partition, "overwrite")
+        if self._there(table):
+            self._rename(table, f"{OLD}/{table}")
+        self._rename(coming, table)
+        self._delete(f"{OLD}/{table}")
 
     def replace_day(self, table: str, batch: DataFrame, day: Day, partition: str = "date") -> bool:
         """Replace the rows of one day by a batch. An empty batch changes nothing."""
@@ -76,21 +87,23 @@ class Tables:
         Days of the range without rows in the batch end up empty. Rows of the batch outside the
         range, or without a date, are added to what is there. An empty batch changes nothing.
         """
-        with staged(batch) as rows:
+        with staged(batch, self.root) as rows:
             if rows.isEmpty():
                 return False
             if start is None or end is None:
                 start, end = date_bounds(rows, partition)
-                if start is None:  # no dated rows at all: nothing to delete
-                    self._write(rows, table, partition, "append")
-                    return True
-            inside = in_range(partition, start, end)
-            covered = {row[0] for row in rows.filter(inside).select(partition).distinct().collect()}
-            self._write(rows.filter(inside), table, partition, "overwrite", dynamic=True)
-            outside = rows.filter(~inside)
-            if not outside.isEmpty():
-                self._write(outside, table, partition, "append")
-            self._drop_days(table, partition, str(start), str(end), {str(day) for day in covered})
+            inside = in_range(partition, start, end) if start is not None else F.lit(False)
+            days = [row[0] for row in rows.select(partition).distinct().collect()]
+            written = rows
+            if self.exists(table):
+                # Days that only get rows added are written together with what they hold.
+                added = [day for day in days if day is None or start is None or not str(start) <= str(day) <= str(end)]
+                if added:
+                    held = self.read(table, rows.schema).filter(self._on_days(partition, added))
+                    written = rows.unionByName(held.filter(~inside))
+            self._write(written, table, partition, "overwrite", dynamic=True)
+            if start is not None:
+                self._drop_days(table, partition, str(start), str(end), {str(day) for day in days})
         return True
 
     def delete_insert(
@@ -106,21 +119,22 @@ class Tables:
         if not self.exists(table):
             self._write(batch, table, partition, "append")
             return True
-        with staged(batch) as rows:
+        if partition is None:
+            with staged(batch, self.root) as rows:
+                if rows.isEmpty():
+                    return False
+                self.overwrite(table, delete_insert(self.read(table), rows, keys))
+            return True
+        with staged(batch, self.root) as rows:
             if rows.isEmpty():
                 return False
-            if partition is None:
-                with staged(delete_insert(self.read(table), rows, keys)) as merged:
-                    self.overwrite(table, merged)
-                return True
             low, high = date_bounds(rows, partition)
-            span = in_range(partition, low, high)
-            existing = self.read(table).filter(span)
-            merged = delete_insert(existing, rows.filter(span), keys)
+            span = in_range(partition, low, high) if low is not None else F.lit(False)
+            undated = F.col(partition).isNull()
+            if not rows.filter(undated).isEmpty():
+                span = span | undated  # what has no date matches no key, and is written back
+            merged = delete_insert(self.read(table).filter(span), rows, keys)
             self._write(merged, table, partition, "overwrite", dynamic=True)
-            undated = rows.filter(F.col(partition).isNull())
-            if not undated.isEmpty():
-                self._write(undated, table, partition, "append")
         return True
 
     def _write(
@@ -146,6 +160,36 @@ class Tables:
 
     # -- folders ----------------------------------------------------------
 
+    def _there(self, table: str) -> bool:
+        folder, files = self._folder(table)
+        return files.exists(folder)
+
+    def _rename(self, table: str, to: str) -> None:
+        folder, files = self._folder(table)
+        target, _ = self._folder(to)
+        files.mkdirs(target.getParent())
+        if not files.rename(folder, target):
+            raise OSError(f"could not rename {folder} to {target}")
+
+    def _delete(self, table: str) -> None:
+        folder, files = self._folder(table)
+        files.delete(folder, True)
+
+    def _finish_swap(self, table: str) -> None:
+        """After a swap that was cut short: the new table if it is complete, or else the old one."""
+        old, coming = f"{OLD}/{table}", f"{NEXT}/{table}"
+        if not self._there(old):
+            return
+        if not self._there(table):
+            complete = self._there(f"{coming}/_SUCCESS")
+            self._rename(coming if complete else old, table)
+        self._delete(old)
+
+    @staticmethod
+    def _on_days(partition: str, days: Sequence[dt.date | None]) -> Column:
+        named = F.col(partition).isin([day for day in days if day is not None])
+        return F.coalesce(named, F.lit(False)) | (F.col(partition).isNull() if None in days else F.lit(False))
+
     def _folder(self, table: str):
         jvm = self.spark._jvm
         folder = jvm.org.apache.hadoop.fs.Path(self.path(table))

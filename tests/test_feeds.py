@@ -276,3 +276,28 @@ def test_every_job_has_a_raw_table():
     assert {job.table.removeprefix("raw/") for job in JOBS.values()} | {"tickers_lookup", "articles"} == set(
         schemas.RAW_TABLES
     )
+
+
+def test_lines_without_rows_are_rejected_with_a_reason(spark, tmp_path):
+    from quotemill import schemas
+
+    lines = [
+        '{"ticker":"A","status":"OK","results":[{"c":1.0,"v":1e300,"t":0}]}',
+        '{"ticker":"B","status":"OK","results":[{"c":1.0',
+        "nonsense",
+        '{"ticker":"C","status":"ERROR"}',
+        '{"ticker":"D","status":"OK","results":[]}',
+        '{"ticker":"E","status":"OK"}',
+    ]
+    path = str(tmp_path / "feed")
+    spark.createDataFrame([(x,) for x in lines], "line string").coalesce(1).write.text(path)
+    reasons = {r["line"]: r["reason"] for r in feeds.read_rejects(spark, path, schemas.PRICE_FEED).collect()}
+    assert reasons == dict(zip(lines[1:], ["broken", "broken", "status", "empty", "empty"]))
+    rows = feeds.stock_prices_range(feeds.read_feed(spark, path, schemas.PRICE_FEED)).collect()
+    assert [(r["ticker"], r["volume"]) for r in rows] == [("A", None)]
+
+
+def test_text_that_is_no_json_gives_no_variant(spark):
+    rows = spark.createDataFrame([('["a"]',), ("[",), (None,)], "keywords string")
+    got = feeds.with_variants(rows, "keywords").select(F.to_json("keywords").alias("k")).collect()
+    assert [r["k"] for r in got] == ['["a"]', None, None]

@@ -208,9 +208,17 @@ def small_thresholds(spark):
         spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
-def test_membership_join_spreads_a_hot_ticker(spark, hot, small_thresholds):
+def test_membership_join_of_few_members_shuffles_nothing(spark, hot, small_thresholds):
     members = hot.select("ticker").distinct()
-    joined = companies.in_universe(hot, members)
+    assert shuffles(companies.in_universe(hot, members)) == 1  # of the members themselves
+
+
+def test_membership_join_spreads_a_hot_ticker(spark, hot, small_thresholds, monkeypatch):
+    members = hot.select("ticker").distinct()
+    monkeypatch.setattr(companies, "BROADCAST_MEMBERS", 0)
+    with pytest.raises(ValueError):
+        companies.in_universe(hot, members, shares=16)
+    joined = companies.in_universe(hot, members, shares=16, spread=[c for c in hot.columns if c != "ticker"])
     sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
     assert sum(sizes) == 60_000 and max(sizes) < 10_000
     assert companies.in_universe(hot, members.filter("ticker = 'HOT'")).count() == 20_000
@@ -276,3 +284,16 @@ def test_staging_views(spark):
     raw = {"stock_prices": spark.createDataFrame([("a", D("2024-01-02"), 1.0, None)], ddl)}
     create_views(raw, ["stock_prices"])
     assert content(spark.sql("select * from stg_stock_prices")) == [("a", D("2024-01-02"), 1.0)]
+
+
+def test_every_model_is_described():
+    from quotemill.operators.semantic import MODELS, describe
+
+    rows = describe()
+    assert {r["model"] for r in rows} == set(MODELS)
+    named = {(r["model"], r["name"]) for r in rows}
+    assert named == {(m, n) for m, spec in MODELS.items() for n in (*spec.dimensions, *spec.measures)}
+    assert all(r["meaning"] and r["about"] for r in rows)
+    assert describe("technical_scores") == [r for r in rows if r["model"] == "technical_scores"]
+    with pytest.raises(ValueError):
+        describe("none")

@@ -131,10 +131,39 @@ def test_delete_insert_without_partitions(spark, tmp_path):
     assert content(tables) == [("A", 1.0, "2024-01-01"), ("B", 3.0, "2024-01-01")]
 
 
-def test_staging_leaves_no_files_behind(spark, tables, tmp_path):
-    from quotemill.session import scratch_folder
+def test_undated_rows_are_kept_and_added(spark, tables):
+    tables.delete_insert("raw/t", frame(spark, ("C", 1.0, None), ("B", 20.0, "2024-01-02")), ["ticker", "date"], "date")
+    assert [r for r in content(tables) if r[2] is None] == [("A", 5.0, None), ("C", 1.0, None)]
+    tables.replace_range("raw/t", frame(spark, ("D", 1.0, None)))
+    assert [r[0] for r in content(tables) if r[2] is None] == ["A", "C", "D"]
+    assert len(content(tables)) == 7
+
 
+def test_a_write_that_fails_leaves_the_old_table(spark, tables, tmp_path):
+    before = content(tables)
+    broken = frame(spark, ("A", 1.0, "2024-01-01")).withColumn("close", F.raise_error(F.lit("broken")).cast("double"))
+    for write in (
+        lambda: tables.overwrite("raw/t", broken, "date"),
+        lambda: tables.replace_range("raw/t", broken, "2024-01-01", "2024-01-03"),
+        lambda: tables.delete_insert("raw/t", broken, ["ticker", "date"], "date"),
+    ):
+        with pytest.raises(Exception, match="broken"):
+            write()
+        assert content(tables) == before
+
+
+@pytest.mark.parametrize("complete", [True, False])
+def test_a_swap_that_was_cut_short_is_finished(spark, tables, complete):
+    before = content(tables)
+    tables._write(frame(spark, ("Z", 1.0, "2024-05-01")), "_next/raw/t", "date", "overwrite")
+    if not complete:
+        tables._delete("_next/raw/t/_SUCCESS")
+    tables._rename("raw/t", "_old/raw/t")
+    assert content(tables) == ([("Z", 1.0, "2024-05-01")] if complete else before)
+    assert not tables._there("_old/raw/t")
+
+
+def test_staging_leaves_no_files_behind(spark, tables, tmp_path):
     tables.replace_day("raw/t", frame(spark, ("C", 9.0, "2024-01-02")), "2024-01-02")
-    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_folder(spark) + "/quotemill-stage")
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    assert not files.exists(path) or len(files.listStatus(path)) == 0
+    staged = tmp_path / "quotemill-stage"
+    assert not staged.exists() or not [f for f in staged.iterdir() if f.is_dir()]
