@@ -11,7 +11,7 @@ What the result needs is classes, so pairs are neither expanded nor verified one
 1. Documents with equal shingle sets are one key.
 2. Postings of up to ``SMALL`` keys count all their pairs. Longer ones tie each key to the next in
    order of size, which keeps together whatever could link there.
-3. Candidates and ties form regions. The sets of a region meet in one task, each moved once, and
+3. Ties form regions, and so do candidates among short postings. The sets of a region meet in one task, each moved once, and
    all their overlaps are counted there; only links that join two classes come out.
 4. A region that is too large for a task is cut into blocks. First each block finds its classes,
    and neighbouring blocks compare some members of their largest ones. Then every key outside the
@@ -43,9 +43,10 @@ HELD_ENTRIES = 1 << 19
 #: Bytes of text shingled at once.
 TEXT_BYTES = 1 << 20
 SMALL = 8
-#: Keys and shingles of one block of a region, and of the small regions that share a task.
+#: Keys and shingles of one block of a region, and shingles of the small regions that share a task.
 BLOCK_KEYS = 2_048
-BLOCK_SHINGLES = 1 << 20
+BLOCK_SHINGLES = 1 << 21
+BIN_SHINGLES = 1 << 20
 #: Members of a block's largest class that are held against those of the next block.
 ENVOYS = 32
 #: Keys whose sets are looked up by broadcast; beyond, by a shuffled join.
@@ -407,7 +408,7 @@ def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
         some = np.zeros((len(left) + len(right), step), np.float32)
         some[owner[a:b], code[a:b] - at * step] = 1
         counts += some[: len(left)] @ some[len(left) :].T
-    return counts
+    return counts.astype(np.int64)
 
 
 def _joining(keys, sets, other_keys, other_sets, percent: int, classes: dict):
@@ -499,6 +500,7 @@ def _region_links(sets: DataFrame, bins: int, join: Join) -> DataFrame:
     keys = large.select("region", "block", "blocks", "key")
 
     def labelled(found: DataFrame) -> DataFrame:
+        """The class of each (region, key); a key may be in a region of ties and in one of pairs."""
         roots = connected(found)
         return stage(
             keys.join(roots, "key", "left").withColumn("class", F.coalesce("root", "key")).drop("root"), "labels"
@@ -511,15 +513,15 @@ def _region_links(sets: DataFrame, bins: int, join: Join) -> DataFrame:
     some = Window.partitionBy("region", "block").orderBy(F.xxhash64("key"), "key")
     envoys = members.withColumn("rank", F.row_number().over(some)).filter(F.col("rank") <= ENVOYS)
     both = F.explode(F.array(F.col("block"), F.pmod(F.col("block") + 1, F.col("blocks"))))
-    envoys = envoys.select("key", both.alias("meet")).join(sets, "key")
+    envoys = envoys.select("region", "key", both.alias("meet")).join(sets, ["region", "key"])
     meeting = envoys.select("region", F.col("meet").alias("block"), "key", "shingles")
     links = stage(links.unionByName(_within(meeting, bins, join)), "links")
 
     whole = labelled(links)
     most = whole.groupBy("region", "class").agg(F.count("*").alias("n"))
     most = most.groupBy("region").agg(F.max_by("class", F.struct("n", "class")).alias("most"))
-    outside = whole.join(most, "region").filter("class <> most").select("key")
-    outside = stage(large.join(outside, "key", "left_semi"), "outside", "uncompressed")
+    outside = whole.join(most, "region").filter("class <> most").select("region", "key")
+    outside = stage(large.join(outside, ["region", "key"], "left_semi"), "outside", "uncompressed")
     return links.unionByName(_against(outside, large, join))
 
 
@@ -571,18 +573,24 @@ def classes(docs: DataFrame, join: Join = Join(), key: str = "doc_id", text: str
     parts = max(1, int(entries * (100 - join.percent) / 100) // PART_ENTRIES + 1)
     postings = _postings(rows, frequencies, parts, join)
     schema = "a long, b long, matches long, need long"
-    matched = postings.groupBy("part").applyInArrow(lambda t: _matched(t, join), schema)
-    pairs = matched.groupBy("a", "b").agg(F.sum("matches").alias("matches"), F.min("need").alias("need"))
-    regions = connected(pairs.filter(F.col("matches") >= F.col("need")).select("a", "b"))
+    matched = stage(postings.groupBy("part").applyInArrow(lambda t: _matched(t, join), schema), "matched")
+    counted = matched.filter("need > 0").groupBy("a", "b")
+    pairs = counted.agg(F.sum("matches").alias("matches"), F.min("need").alias("need")).filter("matches >= need")
+    # A pair that shares a long posting is in one region of ties, whatever else it shares; any
+    # other pair has all its matches in short ones. So ties and pairs need no common regions.
+    ties = connected(matched.filter("need = 0").select("a", "b").distinct())
+    regions = ties.select("key", F.xxhash64(F.lit("ties"), "root").alias("region")).unionByName(
+        connected(pairs.select("a", "b")).select("key", F.xxhash64(F.lit("pairs"), "root").alias("region"))
+    )
 
     of_key = known.filter(F.col("key").isNotNull()).groupBy("key").agg(F.min("id").alias("id"), F.first("n").alias("n"))
-    placed = stage(regions.join(of_key, "key").withColumnRenamed("root", "region"), "regions")
+    placed = stage(regions.join(of_key, "key"), "regions")
     sizes = placed.groupBy("region").agg(_blocks(F.sum("n")).alias("blocks"))
     wanted = placed.join(sizes, "region").select(
         "key", "id", "region", "blocks", F.pmod(F.xxhash64("key"), F.col("blocks")).alias("block")
     )
     sets = stage(_shingled(rows, stage(wanted, "wanted"), join), "sets", "uncompressed")
-    bins = max(1, (placed.agg(F.sum("n")).first()[0] or 0) // BLOCK_SHINGLES + 1)
+    bins = max(1, (placed.agg(F.sum("n")).first()[0] or 0) // BIN_SHINGLES + 1)
     roots = stage(connected(_region_links(sets, bins, join)), "roots")
 
     members = stage(

@@ -97,8 +97,8 @@ def test_windows_take_the_best_neighbours():
     likes = {0: [0, 1, 9, 5, 0], 1: [0, 0, 0, 0, 0], 3: [0, 1, 0, 0, 0]}
     ranked = lambda i: np.array(likes.get(i, [0] * 5), float)
     got = list(packing.fill_windows(np.array([4, 5, 3, 9, 2]), ranked, 10))
-    # 2 is the best neighbour of 0; 3 doesn't fit in what is left, so 1 isn't cut: it doesn't fit
-    # either, 4 does; then the best that is left is cut, and opens the next window.
+    # After 0 its best neighbour 2, then 4, as neither 3 nor 1 fits whole any more. Nothing fits the
+    # last place, so 3, the best that is left, is cut and opens the next window; so is 1.
     assert got == [(0, 0, 4, 0, 0), (2, 0, 3, 0, 4), (4, 0, 2, 0, 7), (3, 0, 1, 0, 9), (3, 1, 8, 1, 0), (1, 0, 2, 1, 8), (1, 2, 3, 2, 0)]
 
 
