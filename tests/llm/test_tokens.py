@@ -78,6 +78,46 @@ def test_pieces_cover_each_document_once(spark):
     assert packing.pack(table(spark, []), CONFIG).count() == 0
 
 
+def test_neighbours_come_from_the_whole_corpus(spark, monkeypatch):
+    monkeypatch.setattr(packing, "BLOCK_IDS", 1000)
+    words = "stone river cloud maple garden window silver mountain letter bridge castle forest".split()
+    rng = np.random.default_rng(3)
+    vocabulary = [f"{a} {b}" for a in words for b in words]
+    rows = []
+    for pair in range(120):
+        own = " ".join(rng.choice(vocabulary, 6)) + f" {pair * 7919} " * 6
+        rows += [(pair, own, "en", "web", 0), (500 + pair, own + " the", "en", "web", 0)]
+    rows = [rows[i] for i in rng.permutation(len(rows))]
+    got = packing.pack(table(spark, rows), CONFIG, packing.Packing(window=128, shard_tokens=512)).collect()
+    windows = defaultdict(set)
+    for p in got:
+        windows[p["doc_id"]].add(p["sequence_id"])
+    total = sum(p["length"] for p in got)
+    assert total > 12 * 512
+    together = sum(bool(windows[pair] & windows[500 + pair]) for pair in range(120))
+    assert together >= 80
+    fill = defaultdict(int)
+    for p in got:
+        fill[p["sequence_id"]] += p["length"]
+    assert sum(f < 128 for f in fill.values()) <= 1 and max(fill.values()) == 128
+
+
+def test_blocks_score_as_the_index():
+    rng = np.random.default_rng(4)
+    items = [rng.integers(0, 300, rng.integers(1, 60)) for _ in range(90)]
+    idf = rng.random(300) + 0.1
+    index = packing.Index(items, idf, 25.0, 1.2, 0.75)
+    found = [np.unique(x, return_counts=True) for x in items]
+    block = packing.Block(
+        np.arange(90), np.array([len(x) for x in items]), np.concatenate([t for t, _ in found]),
+        np.concatenate([c for _, c in found]), np.array([len(t) for t, _ in found]), idf, 25.0, packing.Packing(),
+    )
+    got = block.scores([t for t, _ in found])
+    assert len(block.item) and len(block.dense)
+    for q in range(90):
+        assert np.allclose(got[q], index.scores(q), rtol=1e-4)
+
+
 def test_index_scores_are_bm25():
     rng = np.random.default_rng(1)
     items = [rng.integers(0, 30, rng.integers(1, 60)).astype("<u2") for _ in range(20)]
