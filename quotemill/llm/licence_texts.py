@@ -3,6 +3,9 @@
 Fixed values: public licence texts, without their copyright lines, which no digest counts.
 """
 
+import os
+import re
+
 MIT = """
 Permission is hereby granted, free of charge, to any person obtaining a copy of this software and
 associated documentation files (the "Software"), to deal in the Software without restriction,
@@ -128,3 +131,38 @@ KNOWN = {
     "MIT line": "Released under the MIT License.",
     "Zlib": ZLIB,
 }
+
+#: Titles that short texts are published under.
+TITLES = {
+    "0BSD": ("BSD Zero Clause License", "Zero-Clause BSD", "Zero-Clause BSD License"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "The 2-Clause BSD License", "The BSD 2-Clause License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "The 3-Clause BSD License", "The BSD 3-Clause License"),
+    "ISC": ("ISC License", "The ISC License", "ISC License (ISC)"),
+    "MIT": ("The MIT License", "The MIT License (MIT)", "MIT License (MIT)"),
+    "Zlib": ("zlib License", "The zlib License", "The zlib/libpng License"),
+}
+#: Whole texts as published, a file for each licence.
+FOLDER = os.path.join(os.path.dirname(os.path.abspath(__file__)), "licences_published")
+#: Titles of published texts that have none of their own.
+PUBLISHED_TITLES = {"Unlicense": ("The Unlicense", "Unlicense", "UNLICENSE")}
+END_OF_TERMS = re.compile(r"END OF TERMS AND CONDITIONS\s*")
+
+
+def published() -> list[tuple[str, str]]:
+    """(licence, text) of titled short texts and of whole texts: as they are, without the title,
+    and without what follows the end of the terms."""
+    out = [(f"{name} headed", f"{title}\n{KNOWN[name]}") for name, titles in TITLES.items() for title in titles]
+    for file in sorted(os.listdir(FOLDER)):
+        name = file.removesuffix(".txt")
+        with open(os.path.join(FOLDER, file), encoding="utf-8") as opened:
+            text = opened.read().strip("\n")
+        if name in PUBLISHED_TITLES:
+            forms = [text, *(f"{title}\n\n{text}" for title in PUBLISHED_TITLES[name])]
+        else:
+            forms = [text, re.split(r"\n\s*\n", text, maxsplit=1)[1]]
+        for form in forms:
+            out.append((name, form))
+            end = END_OF_TERMS.search(form)
+            if end:
+                out += [(name, form[: end.end()]), (name, form[: end.start()])]
+    return out

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotemill.llm.licence_texts import KNOWN
+from quotemill.llm.licence_texts import KNOWN, published
 
 #: Known licences are a table to look up in; more than this many would not be broadcast.
 BROADCAST_LICENCES = 100_000
@@ -51,17 +51,27 @@ SPELLINGS = (
     ("willful", "wilful"),
 )
 
+#: Lines that state a copyright: the word, or a sign for it, with a year, a sign or a placeholder;
+#: or, where a paragraph begins, with a name.
+RIGHTS = (
+    r"(?m)^[^\p{L}\p{N}\n]*(?:"
+    r"(?i:copyright\b[\s:,]*(?:\(c\)|©|\d{4}|[<\[{]).*|©.*|\(c\)[\s:,]*(?:copyright\b|\d{4}|[<\[{]).*"
+    r"|all rights reserved[^\p{L}\p{N}\n]*)"
+    r"|(?:(?<=\A|\n\n)|(?<=\n\n[ \t]{1,40}))Copyright[ \t:]+(?:by[ \t]+)?"
+    r"(?!(?i:holder|notice|licen[sc]|owner|law|act|and|or|in|the|is)\w*\b)\p{Lu}\p{Ll}.*"
+    r")$"
+)
+
 
 def canonical_lines(text: Column) -> Column:
     """The canonical form as an array of lines. Null text: an array of none.
 
     Lines that state a copyright, or that all rights are reserved, are left out, and so are lines
-    without a letter or digit.
+    without a letter or digit. Other lines stay, also where they begin with "copyright".
     """
-    text = F.lower(F.coalesce(text.cast("string"), F.lit("")))
-    text = F.regexp_replace(text, "\r\n?", "\n")
-    rights = r"(?m)^[^\p{L}\p{N}\n]*(?:(?:copyright\b|©|\(c\)).*|all rights reserved[^\p{L}\p{N}\n]*)$"
-    text = F.regexp_replace(text, rights, "")
+    text = F.regexp_replace(F.coalesce(text.cast("string"), F.lit("")), "\r\n?", "\n")
+    text = F.regexp_replace(text, RIGHTS, "")
+    text = F.lower(text)
     text = F.replace(text, F.lit("https://"), F.lit("http://"))
     text = F.regexp_replace(text, r"[^\p{L}\p{N}\n]+", " ")
     for american, british in SPELLINGS:
@@ -81,7 +91,8 @@ def _digests(lines: Column) -> Column:
 
 
 def known_licences(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(sorted(KNOWN.items()), "licence string, text string")
+    """Short texts and the whole published ones, each also with or without its title."""
+    return spark.createDataFrame(sorted([*KNOWN.items(), *published()]), "licence string, text string")
 
 
 def known_digests(licences: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 """Mixing, sharding, licence scans and chat formatting against plain Python."""
 
 import hashlib
+import os
 import re
 from collections import Counter
 
@@ -138,6 +139,20 @@ def test_licences(spark):
     assert {r["licence"] for r in licences.scan(table(spark, rows), none).collect()} == {None}
 
 
+def test_whole_published_licences(spark):
+    folder = os.path.join(os.path.dirname(licences.__file__), "licences_published")
+    texts = {f.removesuffix(".txt"): open(os.path.join(folder, f), encoding="utf-8").read() for f in sorted(os.listdir(folder))}
+    short = {"BSD-3-Clause": "BSD 3-Clause License", "ISC": "ISC License", "Zlib": "zlib License"}
+    cases = [(name, text) for name, text in texts.items()]
+    cases += [("Apache-2.0", " ".join(texts["Apache-2.0"].split("END OF TERMS")[0].split()))]
+    cases += [(f"{name} headed", f"{title}\n\nCopyright (c) 2020, Jane Doe\n\n{KNOWN[name]}") for name, title in short.items()]
+    cases += [("MIT", "Copyright Jane Doe\n\n" + KNOWN["MIT"].replace("OR COPYRIGHT HOLDERS", "OR\nCOPYRIGHT HOLDERS"))]
+    cases += [("BSD-2-Clause", KNOWN["BSD-2-Clause"].replace("above copyright", "above\ncopyright"))]
+    rows = [(i, text, None, None, 0) for i, (_, text) in enumerate(cases)]
+    got = {r["doc_id"]: r["licence"] for r in licences.scan(table(spark, rows), licences.known_licences(spark)).collect()}
+    assert [got[i] for i in range(len(cases))] == [name for name, _ in cases]
+
+
 def test_licences_of_a_table_with_empty_and_equal_texts(spark):
     known = spark.createDataFrame([("b", "X y"), ("a", "x, Y!"), ("e", "..."), (None, "z"), ("n", None)], "licence string, text string")
     assert [tuple(r) for r in licences.known_digests(known).collect()] == [(hashlib.sha256(b"x y").hexdigest(), "a")]
