@@ -76,3 +76,17 @@ def test_stages_take_odd_rows(spark, tmp_path):
         assert out.columns == docs.columns and out.count() > 0
         assert step(spark, docs.limit(0), folder).count() == 0
     assert corpus_pipeline.run(spark, folder).count() > 0
+
+
+def test_rows_that_share_an_id_go_by_their_own_text(spark):
+    words = [f"word{i}" for i in range(60)]
+    near, nearer = " ".join(words), " ".join([*words, "more"])
+    alone = " ".join(f"other{i}" for i in range(50))
+    pair = " ".join(f"pair{i}" for i in range(70))
+    rows = [(3, near), (5, alone), (5, nearer), (7, pair), (7, pair + " end"), (8, "x y z"), (8, "x y z"), (None, near), (None, None)]
+    docs = table(spark, [(i, text, "en", "web", 0) for i, text in rows], clash=False)
+    kept = [(r["doc_id"], r["text"]) for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()]
+    assert [text for i, text in kept if i == 5] == [alone]
+    assert [text for i, text in kept if i == 3] == [near]
+    assert len([i for i, _ in kept if i == 7]) == 1 and kept.count((8, "x y z")) == 1
+    assert len(kept) == 5 and (None, None) in kept
