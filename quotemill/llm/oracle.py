@@ -78,6 +78,34 @@ FROM made
 """
 
 
+INFILL = r"""
+WITH d AS (
+    SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+        regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS units
+    FROM documents),
+drawn AS (
+    SELECT *, CAST(len(units) AS BIGINT) AS n,
+        list_transform([1, 9, 17, 25], lambda i: CAST('0x' || substr(h, i, 8) AS BIGINT)) AS g
+    FROM d),
+cut AS (
+    SELECT *, least(g[1] % (n + 1), g[2] % (n + 1)) AS a, greatest(g[1] % (n + 1), g[2] % (n + 1)) AS b,
+        CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                OR g[3] % 100 >= 90 THEN 'plain'
+            WHEN g[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+    FROM drawn),
+parts AS (
+    SELECT *, array_to_string(units[1:a], '') AS prefix, array_to_string(units[a + 1:b], '') AS middle,
+        array_to_string(units[b + 1:], '') AS suffix
+    FROM cut)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+    CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+    sha256(text) AS restored_sha256
+FROM parts
+"""
+
+
 def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
@@ -111,4 +139,5 @@ ORACLE_SQL = {
     "op3_source_mix": SOURCE_MIX,
     "op8_licence_scan": LICENCE_SCAN,
     "op10_chat_format": CHAT_FORMAT,
+    "op12_infill": INFILL,
 }

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotemill.llm import chats, exact_search, hash_forest, language, licences, mixing, ngram_join, packing, sharding, token_files
+from quotemill.llm import chats, exact_search, hash_forest, infill, language, licences, mixing, ngram_join, packing, sharding, token_files
 from quotemill.llm.blocks import usable
 from quotemill.llm.staging import read_table, shared_folder
 
@@ -103,6 +103,19 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = infill.transform(read_table(spark, sf_dir, "documents"))
+    return made.select(
+        F.col("key").alias("doc_id"),
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(infill.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -116,5 +129,6 @@ QUERIES = {
         op8_licence_scan,
         op9_byte_language,
         op10_chat_format,
+        op12_infill,
     )
 }
