@@ -78,6 +78,21 @@ FROM made
 """
 
 
+WARC_FILES = """
+WITH p AS (
+    SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h,
+        min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first
+    FROM pages),
+groups AS (
+    SELECT *, list_transform(range(8), lambda i: CAST('0x' || substr(h, 1 + 5 * i, 5) AS BIGINT)) AS g FROM p)
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
+    array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        CAST(1 + ((g[1 + i // 4] >> (15 - 5 * (i % 4))) & 31) AS BIGINT), 1)), '') AS payload_digest,
+    CASE WHEN page_id = first OR first IS NULL THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM groups
+"""
+
 INFILL = r"""
 WITH d AS (
     SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
@@ -139,5 +154,6 @@ ORACLE_SQL = {
     "op3_source_mix": SOURCE_MIX,
     "op8_licence_scan": LICENCE_SCAN,
     "op10_chat_format": CHAT_FORMAT,
+    "op11_warc_files": WARC_FILES,
     "op12_infill": INFILL,
 }

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotemill.llm import chats, exact_search, hash_forest, infill, language, licences, mixing, ngram_join, packing, sharding, token_files
+from quotemill.llm import chats, exact_search, hash_forest, infill, language, licences, mixing, ngram_join, packing, sharding, token_files, warc
 from quotemill.llm.blocks import usable
 from quotemill.llm.staging import read_table, shared_folder
 
@@ -103,6 +103,18 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_warc_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_folder(spark)}/quotemill-llm/warc-{uuid.uuid4().hex}"
+    warc.write(read_table(spark, sf_dir, "pages"), path)
+    return warc.read(spark, path).select(
+        F.col("key").cast("long").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"),
+    )
+
+
 def op12_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = infill.transform(read_table(spark, sf_dir, "documents"))
     return made.select(
@@ -129,6 +141,7 @@ QUERIES = {
         op8_licence_scan,
         op9_byte_language,
         op10_chat_format,
+        op11_warc_files,
         op12_infill,
     )
 }
