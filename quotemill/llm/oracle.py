@@ -121,6 +121,43 @@ FROM parts
 """
 
 
+PHRASE_MINING = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+grams AS (
+    SELECT lang, array_to_string(w[i:i + 0], ' ') AS phrase, 1 AS m FROM words, unnest(range(1, len(w) + 1)) AS t(i)
+    UNION ALL
+    SELECT lang, array_to_string(w[i:i + 1], ' ') AS phrase, 2 AS m FROM words, unnest(range(1, len(w))) AS t(i)
+    UNION ALL
+    SELECT lang, array_to_string(w[i:i + 2], ' ') AS phrase, 3 AS m FROM words, unnest(range(1, len(w) - 1)) AS t(i)),
+f AS (SELECT lang, m, phrase, count(*) AS f FROM grams GROUP BY ALL),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE m = 1 GROUP BY lang),
+cuts AS (
+    SELECT lang, m, phrase, f AS a, k, string_split(phrase, ' ') AS w
+    FROM f, unnest(range(1, m)) AS t(k) WHERE m > 1 AND f >= 10),
+scored AS (
+    SELECT c.lang, c.m, c.phrase, c.a, c.k, x.f AS l, y.f AS r,
+        CAST(1000000::HUGEINT * c.a * c.a // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+    FROM cuts c
+    JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:c.k], ' ')
+    JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.k + 1:], ' ')),
+least AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS place FROM scored),
+longer AS (
+    SELECT lang, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase, a
+    FROM (SELECT lang, a, string_split(phrase, ' ') AS w FROM least WHERE m = 3 AND place = 1)),
+kept AS (
+    SELECT * FROM least t WHERE place = 1 AND NOT EXISTS (
+        SELECT 1 FROM longer g WHERE g.lang = t.lang AND g.phrase = t.phrase AND 100 * g.a >= 50 * t.a)),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+
 def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
@@ -156,4 +193,5 @@ ORACLE_SQL = {
     "op10_chat_format": CHAT_FORMAT,
     "op11_warc_files": WARC_FILES,
     "op12_infill": INFILL,
+    "op13_phrase_mining": PHRASE_MINING,
 }

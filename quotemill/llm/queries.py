@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotemill.llm import chats, exact_search, hash_forest, infill, language, licences, mixing, ngram_join, packing, sharding, token_files, warc
+from quotemill.llm import chats, exact_search, hash_forest, infill, language, licences, mixing, ngram_join, packing, phrases, sharding, token_files, warc
 from quotemill.llm.blocks import usable
 from quotemill.llm.staging import read_table, shared_folder
 
@@ -128,6 +128,10 @@ def op12_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -143,5 +147,6 @@ QUERIES = {
         op10_chat_format,
         op11_warc_files,
         op12_infill,
+        op13_phrase_mining,
     )
 }
