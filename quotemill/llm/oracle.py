@@ -127,34 +127,39 @@ WITH pieces AS (
         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
         '[.,;:!?\x0A-\x0D]')) AS piece
     FROM documents),
-words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
-grams AS (
-    SELECT lang, array_to_string(w[i:i + 0], ' ') AS phrase, 1 AS m FROM words, unnest(range(1, len(w) + 1)) AS t(i)
-    UNION ALL
-    SELECT lang, array_to_string(w[i:i + 1], ' ') AS phrase, 2 AS m FROM words, unnest(range(1, len(w))) AS t(i)
-    UNION ALL
-    SELECT lang, array_to_string(w[i:i + 2], ' ') AS phrase, 3 AS m FROM words, unnest(range(1, len(w) - 1)) AS t(i)),
-f AS (SELECT lang, m, phrase, count(*) AS f FROM grams GROUP BY ALL),
-totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE m = 1 GROUP BY lang),
+words AS (
+    SELECT lang, id, unnest(w) AS w, generate_subscripts(w, 1) AS i
+    FROM (SELECT lang, row_number() OVER () AS id, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces)),
+runs AS (
+    SELECT lang, w, lead(w, 1) OVER piece AS w2, lead(w, 2) OVER piece AS w3
+    FROM words WINDOW piece AS (PARTITION BY id ORDER BY i)),
+f1 AS (SELECT lang, w, count(*) AS f FROM runs GROUP BY ALL),
+f2 AS (SELECT lang, w, w2, count(*) AS f FROM runs WHERE w2 IS NOT NULL GROUP BY ALL HAVING f >= 10),
+f3 AS (SELECT lang, w, w2, w3, count(*) AS f FROM runs WHERE w3 IS NOT NULL GROUP BY ALL HAVING f >= 10),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f1 GROUP BY lang),
+two AS (
+    SELECT c.lang, c.w || ' ' || c.w2 AS phrase, c.f AS a, x.f AS l, y.f AS r,
+        1000000::HUGEINT * c.f * c.f // (x.f::HUGEINT * y.f) AS score
+    FROM f2 c JOIN f1 x ON x.lang = c.lang AND x.w = c.w JOIN f1 y ON y.lang = c.lang AND y.w = c.w2),
 cuts AS (
-    SELECT lang, m, phrase, f AS a, k, string_split(phrase, ' ') AS w
-    FROM f, unnest(range(1, m)) AS t(k) WHERE m > 1 AND f >= 10),
-scored AS (
-    SELECT c.lang, c.m, c.phrase, c.a, c.k, x.f AS l, y.f AS r,
-        CAST(1000000::HUGEINT * c.a * c.a // (x.f::HUGEINT * y.f) AS BIGINT) AS score
-    FROM cuts c
-    JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:c.k], ' ')
-    JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.k + 1:], ' ')),
-least AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS place FROM scored),
+    SELECT c.lang, c.w || ' ' || c.w2 || ' ' || c.w3 AS phrase, c.f AS a, x.f AS l1, yz.f AS r1, xy.f AS l2, z.f AS r2,
+        1000000::HUGEINT * c.f * c.f // (x.f::HUGEINT * yz.f) AS s1,
+        1000000::HUGEINT * c.f * c.f // (xy.f::HUGEINT * z.f) AS s2
+    FROM f3 c
+    JOIN f1 x ON x.lang = c.lang AND x.w = c.w JOIN f2 yz ON yz.lang = c.lang AND yz.w = c.w2 AND yz.w2 = c.w3
+    JOIN f2 xy ON xy.lang = c.lang AND xy.w = c.w AND xy.w2 = c.w2 JOIN f1 z ON z.lang = c.lang AND z.w = c.w3),
 longer AS (
-    SELECT lang, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase, a
-    FROM (SELECT lang, a, string_split(phrase, ' ') AS w FROM least WHERE m = 3 AND place = 1)),
+    SELECT lang, phrase, max(f) AS most
+    FROM (SELECT lang, w || ' ' || w2 AS phrase, f FROM f3 UNION ALL SELECT lang, w2 || ' ' || w3, f FROM f3)
+    GROUP BY ALL),
 kept AS (
-    SELECT * FROM least t WHERE place = 1 AND NOT EXISTS (
-        SELECT 1 FROM longer g WHERE g.lang = t.lang AND g.phrase = t.phrase AND 100 * g.a >= 50 * t.a)),
+    SELECT two.* FROM two LEFT JOIN longer USING (lang, phrase) WHERE coalesce(100 * most < 50 * a, true)
+    UNION ALL
+    SELECT lang, phrase, a, CASE WHEN s1 <= s2 THEN l1 ELSE l2 END, CASE WHEN s1 <= s2 THEN r1 ELSE r2 END, least(s1, s2)
+    FROM cuts),
 ranked AS (
     SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
-SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
 """
 
 
