@@ -2,20 +2,20 @@
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quotemill.operators.timeline import Split, Timeline, open_timeline
+from quotemill.operators.recursion import Macd, WilderRsi, along_history
+from quotemill.operators.timeline import Split, open_timeline
 
 # Averages kept in the indicator table, and the indicator parameters.
 SMA_WINDOWS = {"sma_20": 20, "sma_50": 50, "sma_200": 200}
 RSI_WINDOW = 14
 MACD_WINDOWS = (12, 26, 9)
 
-PRICE = "decimal(36,18)"  # prices are summed as decimals, which is exact and order-free
-RUN_DECAY = 1e-250  # how far weights fall within a run of rows that share one scale factor
+# Closes of at most this many parts of one, below a bound where those are told apart, are summed
+# as whole numbers, which is exact and order-free.
+PARTS, PLAIN_BELOW = 1_000_000, 2.0**30
 
 
 def moving_averages(
@@ -26,39 +26,60 @@ def moving_averages(
 ) -> DataFrame:
     """Simple moving averages over the last n rows; a shorter history averages what there is.
 
-    A window average is the difference of two running totals, so the cost per row does not grow
-    with the window length. The totals are decimals: no cancellation error, and the same result
-    whatever the order of evaluation. Only the result is rounded.
+    Closes with up to six decimal places, below 2**30, are exact: the sum of a window is the
+    difference of two running totals in whole numbers (of units and of millionths, so no total
+    overflows), whatever the order of evaluation, and the result alone is rounded, half away from
+    zero. All other closes are added as doubles over the rows of each window, in their order, so
+    none of them disappears in a total: an average over 1e-19 is 1e-19 and one over 5e18 is 5e18; a
+    window that holds NaN averages to NaN, one that holds infinity to infinity, both infinities to
+    NaN. NULL closes are left out.
     """
     windows = windows or SMA_WINDOWS
     line = open_timeline(
         prices.select("ticker", "date", "close"), lookback=max(windows.values()), split=split
     )
-    totals = (
-        line.rows.withColumn("_exact", F.col("close").try_cast(PRICE))
-        .withColumn("_total", F.coalesce(F.sum("_exact").over(line.history), F.lit(0)).cast(PRICE))
-        .withColumn("_count", F.count("_exact").over(line.history))
+    close = F.col("close").cast("double")
+    units = F.rint(close * PARTS)
+    plain = (F.abs(close) < PLAIN_BELOW) & (units / PARTS == close)
+    rows = line.rows.withColumn("_units", F.when(plain, units.cast("long")))
+    rows = rows.withColumn("_other", F.when(F.col("_units").isNull(), close))
+    running = {
+        "_whole": F.sum(F.call_function("div", F.col("_units"), F.lit(PARTS))),
+        "_millionths": F.sum(F.col("_units") % PARTS),
+        "_plain": F.count("_units"),
+        "_others": F.count("_other"),
+    }
+    totals = rows.withColumns(
+        {name: F.coalesce(total.over(line.history), F.lit(0).cast("long")) for name, total in running.items()}
     )
     averages = {}
-    for name, rows in windows.items():
-        total = (F.col("_total") - F.coalesce(line.lag("_total", rows), F.lit(0).cast(PRICE))).cast(PRICE)
-        count = F.col("_count") - F.coalesce(line.lag("_count", rows), F.lit(0))
-        averages[name] = _mean(total, count, digits)
-    done = totals.withColumns(averages).drop("_exact", "_total", "_count")
-    return line.close(done)
-
-
-def _mean(total: Column, count: Column, digits: int | None) -> Column:
-    """Exact mean of a total; rounding is half away from zero, in whole numbers."""
-    count = F.nullif(count, F.lit(0))
+    for name, n in windows.items():
+        inside = [F.col(c) - F.coalesce(line.lag(c, n), F.lit(0).cast("long")) for c in running]
+        other = F.sum("_other").over(line.frame(n))
+        averages[name] = F.struct(*[value.alias(c) for c, value in zip(running, inside)], other.alias("_other"))
+    done = totals.withColumns(averages).withColumns({name: _mean(F.col(name), digits) for name in windows})
+    return line.close(done.drop("_units", "_other", *running))
+
+
+def _mean(held: Column, digits: int | None) -> Column:
+    """The mean of a window, given its whole units and millionths, its counts and what else it adds."""
+    whole, part, other = held["_whole"], held["_millionths"], held["_other"]
+    count = F.nullif(held["_plain"], F.lit(0))
+    plain = whole.cast("double") * PARTS + part.cast("double")
+    rows = (held["_plain"] + held["_others"]).cast("double")
+    mixed = F.try_divide(plain / F.lit(float(PARTS)) + other, rows)
     if digits is None:
-        return F.try_divide(total.cast("double"), count.cast("double"))
-    size, steps = F.abs(total), F.lit(10**digits)
-    whole = F.call_function("div", size, count.cast("decimal(18,0)"))
-    rest = (size - (whole * count).cast("decimal(18,0)")).cast("decimal(27,18)")
-    twice = (rest * F.lit(2 * 10**digits).cast("decimal(9,0)")).cast("decimal(37,18)")
-    part = F.call_function("div", (twice + count.cast("decimal(18,0)")).cast("decimal(38,18)"), (count * 2).cast("decimal(18,0)"))
-    return F.signum(total).cast("double") * (whole * steps + part) / F.lit(float(10**digits))
+        exact = plain / (count.cast("double") * PARTS)
+    else:
+        sign, steps = F.signum(plain).cast("long"), 10**digits
+        rest = F.pmod(whole * sign, count)
+        units = F.call_function("div", whole * sign - rest, count)
+        twice = (rest * PARTS + part * sign) * (2 * steps) + count * PARTS
+        size = count * (2 * PARTS)
+        fraction = F.call_function("div", twice - F.pmod(twice, size), size)
+        exact = sign * (units * steps + fraction) / F.lit(float(steps))
+        mixed = F.round(mixed, digits)
+    return F.when(held["_others"] == 0, exact).otherwise(mixed)
 
 
 def technical_indicators(
@@ -86,81 +107,6 @@ def technical_indicators(
     )
 
 
-# ---------------------------------------------------------------------------
-# Recursive averages
-# ---------------------------------------------------------------------------
-
-
-def numbered(line: Timeline) -> DataFrame:
-    """The timeline's own rows with ``_n``, their number in the whole history from 1, and
-    ``_at``, their place in the rows at hand from 0."""
-    if not line.copies:
-        rows = line.rows.withColumn("_n", line.row_number())
-        return rows.withColumn("_at", F.col("_n") - 1)
-    rows = line.rows.withColumn("_n", F.col("_row") + 1)
-    return rows.withColumn("_at", F.col("_row") - F.col("_block") * F.lit(line.rows_per_block))
-
-
-def decayed_sum(df: DataFrame, keys: list[str], added: Column, decay: float, at: str = "_at") -> Column:
-    """``y[t] = added[t] + decay * y[t-1]`` along ``at``, from 0, in built-in window functions.
-
-    Within a run of rows the recursion is a running sum of ``added`` over powers of ``decay``. A
-    run is as long as the powers stay in range, and starts from the ends of the two runs before
-    it: what lies further back weighs less than a double can hold. All windows are running ones
-    over one sort order, so the cost per row does not grow with the history.
-    """
-    if decay <= 0:
-        return added
-    rows = max(2, math.floor(math.log(RUN_DECAY) / math.log(decay)))
-    run, place = F.floor(F.col(at) / rows), F.col(at) % rows
-    step = F.pow(F.lit(decay), place.cast("double"))
-    inside = Window.partitionBy(*keys, run).orderBy(at).rowsBetween(Window.unboundedPreceding, 0)
-    earlier = Window.partitionBy(*keys).orderBy(run, at).rowsBetween(Window.unboundedPreceding, -1)
-    own = F.sum(added / step).over(inside) * step
-    whole_run = F.lit(decay**rows)
-    end = F.when(place == rows - 1, own)
-    before = F.coalesce(F.last(end, ignorenulls=True).over(earlier), F.lit(0.0))
-    carried = F.last(F.when(place == rows - 1, own + whole_run * before), ignorenulls=True).over(earlier)
-    return own + step * F.lit(decay) * F.coalesce(carried, F.lit(0.0))
-
-
-def decayed_sums(line: Timeline, df: DataFrame, sums: dict[str, tuple[Column, float]]) -> DataFrame:
-    """``df`` with one decayed sum per name.
-
-    In a split history each block first sums from nothing; the state at the end of each block, one
-    row per block, is carried along the history as a decayed sum itself, and fades into the rows
-    of the next block. Nothing is cut off.
-    """
-    local = df.withColumns({name: decayed_sum(df, line.keys, *parts) for name, parts in sums.items()})
-    if not line.copies:
-        return local
-    part = line.keys[0]
-    size = line.rows_per_block
-    ends = local.filter(F.col("_at") == size - 1).select(
-        F.col(f"{part}.{line.key}").alias("_key"), "_block", *[F.col(n).alias(f"_end_{n}") for n in sums]
-    )
-    states = {
-        f"_from_{n}": decayed_sum(ends, ["_key"], F.col(f"_end_{n}"), decay**size, at="_block")
-        for n, (_, decay) in sums.items()
-    }
-    carried = ends.select(
-        F.struct(F.col("_key").alias(line.key), (F.col("_block") + 1).alias("_block")).alias(part),
-        *[state.alias(n) for n, state in states.items()],
-    )
-    joined = local.join(carried, part, "left")
-    full = {
-        n: F.col(n)
-        + F.coalesce(F.col(f"_from_{n}"), F.lit(0.0)) * F.pow(F.lit(decay), (F.col("_at") + 1).cast("double"))
-        for n, (_, decay) in sums.items()
-    }
-    return joined.withColumns(full).drop(*states)
-
-
-def _ema_input(source: Column, weight: float) -> Column:
-    """Exponential moving averages are seeded with the first value."""
-    return F.when(F.col("_n") == 1, source).otherwise(source * F.lit(weight))
-
-
 def macd(
     prices: DataFrame,
     short_window: int = MACD_WINDOWS[0],
@@ -169,20 +115,7 @@ def macd(
     split: Split | None = None,
 ) -> DataFrame:
     """MACD line, signal line and histogram of the closes; rows without a close are left out."""
-    line = _close_timeline(prices, 0, split)
-    short, long, signal = (2 / (n + 1) for n in (short_window, long_window, signal_window))
-    close = F.col("close")
-    averages = {
-        "_short": (_ema_input(close, short), 1 - short),
-        "_long": (_ema_input(close, long), 1 - long),
-    }
-    df = decayed_sums(line, numbered(line), averages)
-    df = df.withColumn("macd_value", F.col("_short") - F.col("_long"))
-    df = decayed_sums(line, df, {"signal_value": (_ema_input(F.col("macd_value"), signal), 1 - signal)})
-    df = df.withColumn("histogram_value", F.col("macd_value") - F.col("signal_value"))
-    return line.close(df).select(
-        "ticker", "date", "macd_value", "signal_value", "histogram_value"
-    )
+    return along_history(_closes(prices), Macd(short_window, long_window, signal_window), split)
 
 
 def rsi(
@@ -196,44 +129,23 @@ def rsi(
     ``smoothing="wilder"`` starts from the mean of the first changes and smooths from there;
     ``"simple"`` takes the mean over the last ``window`` changes.
     """
-    if smoothing not in ("wilder", "simple"):
+    if smoothing == "wilder":
+        return along_history(_closes(prices), WilderRsi(window), split)
+    if smoothing != "simple":
         raise ValueError(f"unknown smoothing: {smoothing}")
-    line = _close_timeline(prices, window + 1, split)
+    line = open_timeline(_closes(prices), lookback=window + 1, split=split)
     change = F.col("close") - line.lag("close")
-    df = (
-        numbered(line)
-        .withColumn("_change", change)
-        .withColumn("_gain", F.greatest(F.col("_change"), F.lit(0.0)))
-        .withColumn("_loss", F.greatest(-F.col("_change"), F.lit(0.0)))
-    )
+    df = line.rows.withColumns({"_n": line.place(), "_change": change})
     recent = line.frame(window)
-    df = df.withColumn("_mean_gain", F.avg("_gain").over(recent))
-    df = df.withColumn("_mean_loss", F.avg("_loss").over(recent))
-    if smoothing == "wilder":
-        if line.copies:
-            df = df.filter("_own")
-        fed = {side: _wilder_input(f"_{side}", f"_mean_{side}", window) for side in ("gain", "loss")}
-        df = df.withColumns({f"_fed_{side}": value for side, value in fed.items()}).drop("_mean_gain", "_mean_loss")
-        decay = 1 - 1 / window
-        df = decayed_sums(line, df, {f"_mean_{side}": (F.col(f"_fed_{side}"), decay) for side in fed})
-    strength = F.try_divide(F.col("_mean_gain"), F.col("_mean_loss"))
-    value = F.when(F.col("_mean_loss") == 0, F.lit(100.0)).otherwise(100 - 100 / (1 + strength))
-    value = F.when((F.col("_mean_loss") == 0) & (F.col("_mean_gain") == 0), F.lit(50.0)).otherwise(value)
+    df = df.withColumn("_gain", F.avg(F.greatest(F.col("_change"), F.lit(0.0))).over(recent))
+    df = df.withColumn("_loss", F.avg(F.greatest(-F.col("_change"), F.lit(0.0))).over(recent))
+    strength = F.try_divide(F.col("_gain"), F.col("_loss"))
+    value = F.when(F.col("_loss") == 0, F.lit(100.0)).otherwise(100 - 100 / (1 + strength))
+    value = F.when((F.col("_loss") == 0) & (F.col("_gain") == 0), F.lit(50.0)).otherwise(value)
     df = df.withColumn("rsi_value", F.when(F.col("_n") > window, value))
     return line.close(df).select("ticker", "date", "rsi_value")
 
 
-def _wilder_input(value: str, seed: str, window: int) -> Column:
-    n = F.col("_n")
-    return (
-        F.when(n <= window, F.lit(0.0))
-        .when(n == window + 1, F.col(seed))
-        .otherwise(F.col(value) / F.lit(float(window)))
-    )
-
-
-def _close_timeline(prices: DataFrame, lookback: int, split: Split | None) -> Timeline:
-    closes = prices.filter(F.col("close").isNotNull()).select(
-        "ticker", "date", F.col("close").cast("double").alias("close")
-    )
-    return open_timeline(closes, lookback=lookback, split=split)
+def _closes(prices: DataFrame) -> DataFrame:
+    closes = prices.select("ticker", "date", F.col("close").cast("double").alias("close"))
+    return closes.filter(F.col("close").isNotNull())

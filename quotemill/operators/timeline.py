@@ -67,9 +67,9 @@ class Timeline:
         seen = F.max(column).over(self.history)
         return F.greatest(seen, F.col(f"_max_{column}")) if self.carried else seen
 
-    def row_number(self) -> Column:
-        """Row number within the rows at hand (the block's in a split history)."""
-        return F.row_number().over(self.window)
+    def place(self) -> Column:
+        """The row's number in its whole history, from 1."""
+        return F.col("_row") + 1 if self.copies else F.row_number().over(self.window)
 
     def close(self, df: DataFrame) -> DataFrame:
         """Drop the copied rows and the helper columns."""

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from quotemill import schemas
 from quotemill.operators import indicators
+from quotemill.operators.recursion import Macd, WilderRsi
 from quotemill.operators.returns import daily_price_changes, price_returns
 from quotemill.operators.timeline import Split
 
@@ -173,12 +174,71 @@ def test_averages_of_tiny_prices(spark):
     assert column(indicators.moving_averages(df, {"m": 2}, digits=2), "m", "B") == [0.13, 0.13, 500000000.07]
 
 
-def test_time_of_recursive_averages_grows_with_the_rows(spark):
-    """No step gathers the rows before it: the plan has no list, and windows only run forwards."""
-    df = bars(spark, A=walk(50))
-    for result in (indicators.rsi(df), indicators.macd(df)):
-        plan = result._jdf.queryExecution().executedPlan().toString()
-        assert "collect_list" not in plan
+def test_averages_of_any_closes(spark):
+    """What is no whole number of millionths is added as a double, and is never lost."""
+    df = bars(spark, A=[1e-19, 1e-19, 5e18, 1.0, 1.0, math.nan, 1.0, 1.0], B=[math.inf, 1.0, -math.inf, 2.0, 3.0], C=[-1.005, -1.005, 1.0])
+    plain = indicators.moving_averages(df, {"m": 2}).cache()
+    got = column(plain, "m")
+    assert got[:5] == [1e-19, 1e-19, 2.5e18, (5e18 + 1.0) / 2, 1.0] and got[7] == 1.0
+    assert math.isnan(got[5]) and math.isnan(got[6])
+    assert column(plain, "m", "B")[:2] == [math.inf, math.inf] and column(plain, "m", "B")[2:] == [-math.inf, -math.inf, 2.5]
+    both = column(indicators.moving_averages(df, {"m": 3}), "m", "B")
+    assert math.isnan(both[2])
+    digits = indicators.moving_averages(df, {"m": 2}, digits=2).cache()
+    assert column(digits, "m")[:3] == [0.0, 0.0, 2.5e18]
+    assert column(digits, "m", "C") == [-1.01, -1.01, 0.0]
+
+
+def test_totals_of_averages_do_not_overflow(spark):
+    large = 2.0**30 - 0.000001
+    df = bars(spark, A=[large] * 9_000)
+    assert set(column(indicators.moving_averages(df, {"m": 9_000}, digits=2), "m")) == {2.0**30}
+    many = bars(spark, A=[5e17] * 30)
+    assert column(indicators.moving_averages(many, {"m": 7}), "m") == [5e17] * 30
+
+
+def steps_of(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("Exchange hashpartitioning"), len([x for x in plan.split("\n") if " Sort [" in x]), plan.count("Window [")
+
+
+def test_recursive_averages_are_one_pass(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = spark.range(10).selectExpr("'A' AS ticker", "date_add(date'2024-01-01', int(id)) AS date", "double(id) AS close")
+        for whole, split in ((indicators.macd(df), indicators.macd(df, split=BLOCKS)), (indicators.rsi(df), indicators.rsi(df, split=BLOCKS))):
+            assert steps_of(whole) == (1, 1, 0)
+            shuffles, sorts, windows = steps_of(split)
+            assert shuffles <= 4 and sorts <= 4 and windows == 0
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+@pytest.mark.parametrize("recursion", [Macd(12, 26, 9), Macd(1, 2, 3), WilderRsi(14), WilderRsi(1)])
+def test_pieces_compose_to_the_whole(recursion):
+    """However a history is cut, the state before each piece is that of the whole."""
+    values, rng = walk(400), random.Random(4)
+    for _ in range(20):
+        state, at = [], 0
+        while at < len(values):
+            n = rng.choice([1, 2, 3, 14, 15, 16, 60])
+            piece = values[at : at + n]
+            expected = recursion.run(values[: at + n], [])[1]
+            state = recursion.after(state, recursion.summary(piece))
+            close_to(state, expected, 1e-9)
+            at += n
+
+
+def test_recursive_averages_keep_null_tickers_and_dates(spark):
+    rows = [(None, START, 1.0), (None, START + dt.timedelta(days=1), 2.0), ("A", None, 3.0), ("A", START, 1.5), ("A", START, None)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    for made in (lambda split: indicators.macd(df, split=split), lambda split: indicators.rsi(df, 1, split=split)):
+        whole, pieces = (
+            sorted(repr([round(x, 9) if isinstance(x, float) else x for x in row]) for row in made(split).collect())
+            for split in (None, BLOCKS)
+        )
+        assert len(whole) == 4 and pieces == whole
+    assert indicators.macd(df.limit(0)).count() == indicators.rsi(df.limit(0), split=BLOCKS).count() == 0
 
 
 def test_rsi_of_unknown_smoothing(spark):
