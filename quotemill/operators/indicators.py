@@ -52,34 +52,55 @@ def moving_averages(
     totals = rows.withColumns(
         {name: F.coalesce(total.over(line.history), F.lit(0).cast("long")) for name, total in running.items()}
     )
-    averages = {}
+    sums = {}
     for name, n in windows.items():
-        inside = [F.col(c) - F.coalesce(line.lag(c, n), F.lit(0).cast("long")) for c in running]
-        other = F.sum("_other").over(line.frame(n))
-        averages[name] = F.struct(*[value.alias(c) for c, value in zip(running, inside)], other.alias("_other"))
-    done = totals.withColumns(averages).withColumns({name: _mean(F.col(name), digits) for name in windows})
-    return line.close(done.drop("_units", "_other", *running))
-
-
-def _mean(held: Column, digits: int | None) -> Column:
-    """The mean of a window, given its whole units and millionths, its counts and what else it adds."""
-    whole, part, other = held["_whole"], held["_millionths"], held["_other"]
-    count = F.nullif(held["_plain"], F.lit(0))
-    plain = whole.cast("double") * PARTS + part.cast("double")
-    rows = (held["_plain"] + held["_others"]).cast("double")
-    mixed = F.try_divide(plain / F.lit(float(PARTS)) + other, rows)
+        for c in running:
+            sums[f"{c}_{name}"] = F.col(c) - F.coalesce(line.lag(c, n), F.lit(0).cast("long"))
+        sums[f"_other_{name}"] = F.sum("_other").over(line.frame(n))
+    held = totals.withColumns(sums)
+    # In steps, so that a value that is used twice is computed once.
+    for step in (_signs, _carries, _rests, _means):
+        made = [step(name, digits) for name in windows]
+        held = held.withColumns({c: value for columns in made for c, value in columns.items()})
+    return line.close(held.select(*line.rows.columns, *windows))
+
+
+def _signs(name: str, digits: int | None) -> dict[str, Column]:
+    """The plain total in millionths, as a double whose sign is exact."""
+    plain = F.col(f"_whole_{name}").cast("double") * PARTS + F.col(f"_millionths_{name}").cast("double")
+    return {f"_total_{name}": plain, f"_sign_{name}": F.when(plain < 0, F.lit(-1)).otherwise(F.lit(1)).cast("long")}
+
+
+def _carries(name: str, digits: int | None) -> dict[str, Column]:
+    """The total without its sign, in units and millionths that are not negative."""
+    part = F.col(f"_millionths_{name}") * F.col(f"_sign_{name}")
+    borrowed = F.when(part < 0, F.ceil(-part / PARTS)).otherwise(F.lit(0)).cast("long")
+    return {
+        f"_size_{name}": F.col(f"_whole_{name}") * F.col(f"_sign_{name}") - borrowed,
+        f"_less_{name}": part + borrowed * PARTS,
+        f"_rows_{name}": F.nullif(f"_plain_{name}", F.lit(0)),
+    }
+
+
+def _rests(name: str, digits: int | None) -> dict[str, Column]:
+    size, less, rows = (F.col(f"{c}_{name}") for c in ("_size", "_less", "_rows"))
+    return {f"_rest_{name}": (size % rows) * PARTS + less, f"_units_{name}": F.call_function("div", size, rows)}
+
+
+def _means(name: str, digits: int | None) -> dict[str, Column]:
+    """The mean; rounding is half away from zero, in whole numbers unless doubles were added."""
+    total, others, other, rows = (F.col(f"{c}_{name}") for c in ("_total", "_others", "_other", "_rows"))
+    every = (F.col(f"_plain_{name}") + others).cast("double")
+    mixed = F.try_divide(total / F.lit(float(PARTS)) + other, every)
     if digits is None:
-        exact = plain / (count.cast("double") * PARTS)
+        exact = total / (rows.cast("double") * PARTS)
     else:
-        sign, steps = F.signum(plain).cast("long"), 10**digits
-        rest = F.pmod(whole * sign, count)
-        units = F.call_function("div", whole * sign - rest, count)
-        twice = (rest * PARTS + part * sign) * (2 * steps) + count * PARTS
-        size = count * (2 * PARTS)
-        fraction = F.call_function("div", twice - F.pmod(twice, size), size)
-        exact = sign * (units * steps + fraction) / F.lit(float(steps))
+        steps = 10**digits
+        twice = F.col(f"_rest_{name}") * (2 * steps) + rows * PARTS
+        fraction = F.call_function("div", twice, rows * (2 * PARTS))
+        exact = F.col(f"_sign_{name}") * (F.col(f"_units_{name}") * steps + fraction) / F.lit(float(steps))
         mixed = F.round(mixed, digits)
-    return F.when(held["_others"] == 0, exact).otherwise(mixed)
+    return {name: F.when(others == 0, exact).otherwise(mixed)}
 
 
 def technical_indicators(
