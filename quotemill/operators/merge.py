@@ -58,13 +58,15 @@ def recent_rows(
     days: int,
     key: str = "ticker",
     date: str = "date",
+    first_dates: DataFrame | None = None,
 ) -> DataFrame:
     """Rows from ``since`` on, with at least the ``rows`` rows before it of every key seen there.
 
     ``days`` calendar days usually hold that many rows, and only those partitions are read. Keys
     that have fewer rows in them (holidays, thin trading) get their older rows as well. Whether
     there are any is found out first, from the recent partitions; if not, the older partitions are
-    not in the plan.
+    not in the plan. ``first_dates`` has (key, first_date) of all keys with rows before the recent
+    partitions, so that keys with nothing older, such as new listings, ask for nothing.
     """
     near_start = as_date(days_before(since, days))
     near = df.filter(F.col(date) >= near_start)
@@ -75,6 +77,9 @@ def recent_rows(
         .filter(F.col("_active") & (F.col("_before") < rows))
         .select(key)
     )
+    if first_dates is not None:
+        listed = first_dates.filter(F.col("first_date") < near_start)
+        short = short.join(listed.select(key), key, "left_semi")
     if short.isEmpty():
         return near
     older = df.filter(F.col(date) < near_start).join(short, key, "left_semi")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -10,6 +12,16 @@ class QualityError(RuntimeError):
     """A check found violating rows."""
 
 
+@dataclass(frozen=True)
+class Rule:
+    """A check that a write makes of its own rows: ``broken`` says of a row whether it breaks the
+    rule; or ``unique`` names a key that must not repeat."""
+
+    message: str
+    broken: Column | None = None
+    unique: str | None = None
+
+
 def null_rows(df: DataFrame, column: str) -> DataFrame:
     return df.filter(F.col(column).isNull())
 

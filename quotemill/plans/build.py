@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Iterator, Mapping
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from dataclasses import dataclass, replace
 from functools import partial
 
 from pyspark.errors import AnalysisException
@@ -15,12 +15,16 @@ from quotemill import schemas
 from quotemill.functions.scalars import as_date, days_before
 from quotemill.operators import composite, fundamentals, indicators, quality, returns, scoring
 from quotemill.operators.companies import companies_current, companies_snapshot
+from quotemill.operators.quality import Rule
 from quotemill.operators.timeline import Split
+from quotemill.operators.state import history_state, merged
 from quotemill.plans import incremental
+from quotemill.plans.history import closed_before
 from quotemill.plans.marts import EXPOSED, staging
-from quotemill.sources.tables import Tables
+from quotemill.sources.tables import NoTable, Tables
 
-Check = Callable[[DataFrame], tuple[DataFrame, str]]
+#: Rules hold columns, which need a session: they are made when a build begins.
+Check = Callable[[], Rule]
 
 
 class Source(Mapping[str, DataFrame]):
@@ -47,6 +51,23 @@ class Source(Mapping[str, DataFrame]):
     def staged(self, name: str) -> DataFrame:
         return staging(self, name, self.include_backfill)
 
+    def closed(self, since: dt.date, model: str) -> DataFrame:
+        """State of the price histories before the days that an incremental run of a model reads.
+
+        The stored state ends where the run of the model that looks back furthest begins; for the
+        others the days from there on are added, which that run reads anyhow.
+        """
+        kept = ["stock_prices"] + ["stock_prices_backfill"] * self.include_backfill
+        sources = [f"raw/{name}" for name in kept if name in self]
+        prices = self.staged("stock_prices")
+        least = incremental.near_start(since, "price_returns")
+        stored = closed_before(self.tables, prices, sources, least)
+        start = incremental.near_start(since, model)
+        if start <= least:
+            return stored
+        between = prices.filter((F.col("date") >= as_date(least)) & (F.col("date") < as_date(start)))
+        return merged(stored, history_state(between))
+
 
 @dataclass(frozen=True)
 class ModelTable:
@@ -65,15 +86,16 @@ class ModelTable:
 
 
 def not_null(column: str) -> Check:
-    return lambda df: (quality.null_rows(df, column), f"{column} must not be NULL")
+    return lambda: Rule(f"{column} must not be NULL", F.col(column).isNull())
 
 
 def unique(column: str) -> Check:
-    return lambda df: (quality.repeated_keys(df, column), f"{column} must be unique")
+    return lambda: Rule(f"{column} must be unique", unique=column)
 
 
 def score(column: str) -> Check:
-    return lambda df: (quality.score_out_of_range(df, column), f"{column} must be from 0 to 100")
+    value = lambda: F.col(column)
+    return lambda: Rule(f"{column} must be from 0 to 100", value().isNull() | ~value().between(0, 100))
 
 
 # -- models ------------------------------------------------------------------
@@ -84,7 +106,7 @@ def _price_changes(source, split):
 
 
 def _price_changes_since(source, split, since):
-    return incremental.new_price_changes(source.staged("stock_prices"), since, split)
+    return incremental.new_price_changes(source.staged("stock_prices"), since, split, source.closed(since, "daily_price_changes"))
 
 
 def _price_returns(source, split):
@@ -92,7 +114,7 @@ def _price_returns(source, split):
 
 
 def _price_returns_since(source, split, since):
-    return incremental.new_price_returns(source.staged("stock_prices"), since, split)
+    return incremental.new_price_returns(source.staged("stock_prices"), since, split, source.closed(since, "price_returns"))
 
 
 def _indicators(source, split):
@@ -102,7 +124,7 @@ def _indicators(source, split):
 
 def _indicators_since(source, split, since):
     feeds = (source.staged(name) for name in ("stock_prices", "rsi", "macd"))
-    return incremental.new_technical_indicators(*feeds, since, split)
+    return incremental.new_technical_indicators(*feeds, since, split, source.closed(since, "technical_indicators"))
 
 
 def _fundamentals(source, split):
@@ -119,7 +141,9 @@ def _technical_scores(source, split):
 
 
 def _technical_scores_since(source, split, since):
-    return incremental.new_technical_scores(source["technical_indicators"], since, split)
+    return incremental.new_technical_scores(
+        source["technical_indicators"], since, split, source.closed(since, "technical_scores")
+    )
 
 
 def _fundamental_scores(source, split):
@@ -211,9 +235,11 @@ def build(
     include_backfill: bool = False,
     split: Split | None = None,
 ) -> None:
-    """Check the staged inputs, then build and check every model in order.
+    """Check the inputs, then build every model in order, checking it as it is written.
 
-    A failed check stops the build before the next model.
+    No table is read for a check: inputs were measured when they were written (only commits that
+    did not come out clean are looked at again), and a model's rows are measured on their way to
+    disk. A batch that breaks a rule is not published, and stops the build.
 
     A model that has a date is built from its last day on, and merged by its keys; a missing
     table, or ``full_refresh``, means a full build. ``split`` says how to cut histories that are
@@ -223,26 +249,23 @@ def build(
     if check:
         for name in STAGED:
             if name in source:
-                violations, message = TICKER(source.staged(name))
-                quality.require_empty(violations, f"{name}: {message}")
+                quality.require_empty(tables.nulls(f"raw/{name}", "ticker"), f"{name}: ticker must not be NULL")
     for name, model in MODELS.items():
-        _write(tables, source, model, split, full_refresh)
-        if check:
-            built = tables.read(model.path)
-            for rule in model.checks:
-                violations, message = rule(built)
-                quality.require_empty(violations, f"{name}: {message}")
+        rules = [rule() for rule in model.checks] if check else []
+        _write(tables, source, model, split, full_refresh, [replace(r, message=f"{name}: {r.message}") for r in rules])
 
 
-def _write(tables: Tables, source: Source, model: ModelTable, split: Split | None, full: bool) -> None:
+def _write(
+    tables: Tables, source: Source, model: ModelTable, split: Split | None, full: bool, rules: Sequence[Rule]
+) -> None:
     last = None
     if model.since is not None and not full and tables.exists(model.path):
         last = tables.last_date(model.path, model.date)
     if last is None:
-        tables.overwrite(model.path, model.full(source, split), model.date)
+        tables.overwrite(model.path, model.full(source, split), model.date, rules)
         return
     batch = model.since(source, split, days_before(last, model.read_days))
-    tables.delete_insert(model.path, batch, model.keys, model.date)
+    tables.delete_insert(model.path, batch, model.keys, model.date, rules)
 
 
 def exposed(tables: Tables, warn: Callable[[str], None] = print) -> dict[str, DataFrame]:
@@ -251,6 +274,6 @@ def exposed(tables: Tables, warn: Callable[[str], None] = print) -> dict[str, Da
     for name in EXPOSED:
         try:
             loaded[name] = tables.read(MODELS[name].path)
-        except AnalysisException as error:
-            warn(f"could not load {name}: {error.getCondition()}")
+        except (AnalysisException, NoTable) as error:
+            warn(f"could not load {name}: {error}")
     return loaded

@@ -17,6 +17,7 @@ from quotemill.operators.indicators import technical_indicators
 from quotemill.operators.merge import recent_rows
 from quotemill.operators.returns import daily_price_changes, price_returns
 from quotemill.operators.scoring import technical_scores
+from quotemill.operators.state import as_bars
 from quotemill.operators.timeline import Split
 
 WRITE_DAYS = 3
@@ -48,35 +49,53 @@ def _since(df: DataFrame, since: dt.date) -> DataFrame:
     return df.filter(F.col("date") >= as_date(since))
 
 
-def _recent(df: DataFrame, since: dt.date, model: str) -> DataFrame:
+def near_start(since: dt.date, model: str) -> dt.date:
+    """First day of the partitions that an incremental run of a model reads."""
+    return days_before(since, LOOKBACKS[model].days)
+
+
+def _recent(df: DataFrame, since: dt.date, model: str, closed: DataFrame | None = None) -> DataFrame:
     span = LOOKBACKS[model]
-    return recent_rows(df, since, span.rows, span.days)
+    return recent_rows(df, since, span.rows, span.days, first_dates=closed)
 
 
-def new_price_changes(prices: DataFrame, since: dt.date, split: Split | None = None) -> DataFrame:
-    return _since(daily_price_changes(_recent(prices, since, "daily_price_changes"), split), since)
+def new_price_changes(
+    prices: DataFrame, since: dt.date, split: Split | None = None, closed: DataFrame | None = None
+) -> DataFrame:
+    return _since(daily_price_changes(_recent(prices, since, "daily_price_changes", closed), split), since)
 
 
-def new_price_returns(prices: DataFrame, since: dt.date, split: Split | None = None) -> DataFrame:
+def new_price_returns(
+    prices: DataFrame, since: dt.date, split: Split | None = None, closed: DataFrame | None = None
+) -> DataFrame:
     """Cumulative return and drawdown need the whole history, the rest a year of rows.
 
-    The older bars are read for their first close and peak only, which is one aggregate per
-    ticker formed before the shuffle; just the recent rows are sorted.
+    ``closed`` is the state of the bars before ``near_start``: with it no older bar is read, unless
+    a ticker has too few rows since. Without, the older bars are read for their first close and
+    peak, which is one aggregate per ticker formed before the shuffle.
     """
-    recent = _recent(prices, since, "price_returns")
-    near_start = as_date(days_before(since, LOOKBACKS["price_returns"].days))
-    earlier = prices.filter(F.col("date") < near_start).select("ticker", "date", "close")
+    recent = _recent(prices, since, "price_returns", closed)
+    if closed is not None:
+        earlier = as_bars(closed)
+    else:
+        start = as_date(near_start(since, "price_returns"))
+        earlier = prices.filter(F.col("date") < start).select("ticker", "date", "close")
     return _since(price_returns(recent, split, earlier), since)
 
 
 def new_technical_indicators(
-    prices: DataFrame, rsi: DataFrame, macd: DataFrame, since: dt.date, split: Split | None = None
+    prices: DataFrame,
+    rsi: DataFrame,
+    macd: DataFrame,
+    since: dt.date,
+    split: Split | None = None,
+    closed: DataFrame | None = None,
 ) -> DataFrame:
-    recent = _recent(prices, since, "technical_indicators")
+    recent = _recent(prices, since, "technical_indicators", closed)
     return _since(technical_indicators(recent, _since(rsi, since), _since(macd, since), split), since)
 
 
 def new_technical_scores(
-    indicators: DataFrame, since: dt.date, split: Split | None = None
+    indicators: DataFrame, since: dt.date, split: Split | None = None, closed: DataFrame | None = None
 ) -> DataFrame:
-    return _since(technical_scores(_recent(indicators, since, "technical_scores"), split), since)
+    return _since(technical_scores(_recent(indicators, since, "technical_scores", closed), split), since)

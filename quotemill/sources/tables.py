@@ -1,28 +1,35 @@
-"""Parquet tables of the warehouse layers, partitioned by date where they are written daily.
-
-Writes touch the partitions they change and no others. A batch is staged under the tables' own
-root, then one job writes all partitions it changes; Spark swaps them when the job commits, so lost
-executors and retried tasks leave no partial data. Only then are emptied days deleted, which a
-rerun of the same write would finish. A table that is replaced as a whole is complete beside the
-old one before the two are renamed; a rename that was cut short is finished by the next access.
-One writer per table is assumed.
+"""Parquet tables of the warehouse layers, in versions, partitioned by date where written daily.
+
+A write puts new files beside the old ones and then publishes a manifest that says which files the
+table now has. That is the only step readers can see: a replaced range, its emptied days included,
+a merge by keys and a whole new table each come at once or not at all. Files are never changed, so a
+batch may be derived from the table it goes into, readers that have begun go on undisturbed, and
+older versions can be read until they are expired. What a failed write leaves behind is no part of
+any version, and goes with the next ``expire``.
+
+Rules given to a write are measured while the rows are written; a batch that breaks one is not
+published. One writer per table is assumed; a second one is noticed, and its commit refused.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterator, Sequence
+import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quotemill.operators.merge import date_bounds, delete_insert, in_range
-from quotemill.session import staged
+from quotemill.operators.quality import QualityError, Rule, repeated_keys
+from quotemill.sources.manifests import ALL, NO_DAY, Commit, Files, History, Manifest
 
 Day = str | dt.date
-NEXT, OLD = "_next", "_old"  # folders of tables on their way in and out
-NO_DAY = "__HIVE_DEFAULT_PARTITION__"  # Spark's folder name for rows without a date
+
+
+class NoTable(LookupError):
+    """There is no such table, or no such version of it."""
 
 
 class Tables:
@@ -31,48 +38,102 @@ class Tables:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.files = Files(spark)
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
+    def history(self, table: str) -> History:
+        return History(self.files, self.path(table))
+
     # -- reading ----------------------------------------------------------
 
     def exists(self, table: str) -> bool:
-        self._finish_swap(table)
-        return self._there(table)
-
-    def read(self, table: str, schema: T.StructType | None = None) -> DataFrame:
-        self._finish_swap(table)
-        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
-        return reader.parquet(self.path(table))
+        return bool(self.history(table).versions())
+
+    def manifest(self, table: str, version: int | None = None, as_of: float | None = None) -> Manifest:
+        """The newest version, one by number, or the one that was the newest at a time."""
+        history = self.history(table)
+        if version is not None:
+            found = history.read(version) if version in history.versions() else None
+        else:
+            found = history.newest() if as_of is None else history.as_of(as_of)
+        if found is None:
+            raise NoTable(f"{table} is not there" if version is as_of is None else f"{table} has no such version")
+        return found
+
+    def read(
+        self, table: str, schema: T.StructType | None = None, version: int | None = None, as_of: float | None = None
+    ) -> DataFrame:
+        manifest = self.manifest(table, version, as_of)
+        return self._rows(table, manifest, manifest.commits, schema)
 
     def last_date(self, table: str, column: str) -> dt.date | None:
-        """Latest date in a table: from its partition names, or else read from one column."""
-        days = [day for day, _ in self._days(table, column)]
-        if days:
-            return dt.date.fromisoformat(max(days))
+        """Latest date in a table: from its manifest, or else read from one column."""
+        manifest = self.manifest(table)
+        if manifest.partition == column:
+            return max(map(dt.date.fromisoformat, manifest.days()), default=None)
         return self.read(table).agg(F.max(column)).first()[0]
 
+    def changed_days(self, table: str, version: int) -> set[str] | None:
+        """Dated days whose rows are not those of an older version; None if it is not known."""
+        history = self.history(table)
+        if version not in history.versions():
+            return None
+        old, new = history.read(version).parts(), self.manifest(table).parts()
+        return {day for day in old.keys() | new.keys() if old.get(day) != new.get(day)} - {NO_DAY}
+
+    def nulls(self, table: str, column: str) -> DataFrame:
+        """Rows without a value in ``column``, of the commits that were not measured to have none."""
+        manifest = self.manifest(table)
+        unsure = {n: c for n, c in manifest.commits.items() if c.metrics.get(f"nulls.{column}", 1) > 0}
+        return self._rows(table, manifest, unsure, None).filter(F.col(column).isNull())
+
+    def _rows(self, table: str, manifest: Manifest, commits: dict[str, Commit], schema) -> DataFrame:
+        schema = schema or manifest.schema
+        paths = []
+        for name, commit in commits.items():
+            folder = f"{self._data(table)}/commit={name}"
+            if manifest.partition is None or set(commit.live) == set(commit.days):
+                paths.append(folder)
+            else:
+                paths += [f"{folder}/{manifest.partition}={day}" for day in commit.live]
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        reader = self.spark.read.schema(schema).option("basePath", self._data(table))
+        return reader.parquet(*paths).select(*schema.names)
+
+    def _data(self, table: str) -> str:
+        return f"{self.path(table)}/data"
+
     # -- writing ----------------------------------------------------------
 
     def create(self, table: str, schema: T.StructType, partition: str | None = None) -> None:
         """Make an empty table unless there is one."""
         if not self.exists(table):
-            self._write(self.spark.createDataFrame([], schema), table, partition, "append")
-
-    def overwrite(self, table: str, rows: DataFrame, partition: str | None = None) -> None:
-        """Replace the whole table, which ``rows`` may be derived from."""
-        self._finish_swap(table)
-        coming = f"{NEXT}/{table}"
-        self._write(rows, coming, partition, "overwrite")
-        if self._there(table):
-            self._rename(table, f"{OLD}/{table}")
-        self._rename(coming, table)
-        self._delete(f"{OLD}/{table}")
-
-    def replace_day(self, table: str, batch: DataFrame, day: Day, partition: str = "date") -> bool:
+            self._publish(table, Manifest(-1, partition, schema, {}))
+
+    def append(self, table: str, rows: DataFrame, partition: str | None = None, rules: Sequence[Rule] = ()) -> None:
+        name, commit = self._write(rows, table, partition, rules)
+        self._publish(table, self._current(table, partition, rows).plus({name: commit}))
+
+    def overwrite(
+        self,
+        table: str,
+        rows: DataFrame,
+        partition: str | None = None,
+        rules: Sequence[Rule] = (),
+        notes: dict[str, object] | None = None,
+    ) -> None:
+        """Replace the whole table, which ``rows`` may be derived from. ``notes`` go into its manifest."""
+        name, commit = self._write(rows, table, partition, rules)
+        held = self._current(table, partition, rows)
+        made = Manifest(held.version, partition, rows.schema, {}, notes=notes or {})
+        self._publish(table, made.plus({name: commit}))
+
+    def replace_day(self, table: str, batch: DataFrame, day: Day, partition: str = "date", rules: Sequence[Rule] = ()) -> bool:
         """Replace the rows of one day by a batch. An empty batch changes nothing."""
-        return self.replace_range(table, batch, day, day, partition)
+        return self.replace_range(table, batch, day, day, partition, rules)
 
     def replace_range(
         self,
@@ -81,131 +142,119 @@ class Tables:
         start: Day | None = None,
         end: Day | None = None,
         partition: str = "date",
+        rules: Sequence[Rule] = (),
     ) -> bool:
         """Replace all rows from ``start`` to ``end`` by a batch; the batch's own range if not given.
 
         Days of the range without rows in the batch end up empty. Rows of the batch outside the
         range, or without a date, are added to what is there. An empty batch changes nothing.
         """
-        with staged(batch, self.root) as rows:
-            if rows.isEmpty():
-                return False
-            if start is None or end is None:
-                start, end = date_bounds(rows, partition)
-            inside = in_range(partition, start, end) if start is not None else F.lit(False)
-            days = [row[0] for row in rows.select(partition).distinct().collect()]
-            written = rows
-            if self.exists(table):
-                # Days that only get rows added are written together with what they hold.
-                added = [day for day in days if day is None or start is None or not str(start) <= str(day) <= str(end)]
-                if added:
-                    held = self.read(table, rows.schema).filter(self._on_days(partition, added))
-                    written = rows.unionByName(held.filter(~inside))
-            self._write(written, table, partition, "overwrite", dynamic=True)
-            if start is not None:
-                self._drop_days(table, partition, str(start), str(end), {str(day) for day in days})
+        name, commit = self._write(batch, table, partition, rules)
+        if not commit.days:
+            return False
+        dated = sorted(set(commit.days) - {NO_DAY})
+        if (start is None or end is None) and dated:
+            start, end = dated[0], dated[-1]
+        held = self._current(table, partition, batch)
+        replaced = [day for day in held.days() if start is not None and str(start) <= day <= str(end)]
+        self._publish(table, held.without(replaced).plus({name: commit}))
         return True
 
     def delete_insert(
-        self, table: str, batch: DataFrame, keys: Sequence[str], partition: str | None
+        self, table: str, batch: DataFrame, keys: Sequence[str], partition: str | None, rules: Sequence[Rule] = ()
     ) -> bool:
         """Replace the rows whose keys are in the batch, and add the batch.
 
-        Only the days the batch spans are read and written. The batch is staged first, because it
-        is usually derived from the table it goes into.
+        Only the days that the batch has are read and written. Rows with a NULL key match nothing.
         """
         if partition is not None and partition not in keys:
             raise ValueError(f"the keys must include the partition column {partition!r}")
-        if not self.exists(table):
-            self._write(batch, table, partition, "append")
-            return True
-        if partition is None:
-            with staged(batch, self.root) as rows:
-                if rows.isEmpty():
-                    return False
-                self.overwrite(table, delete_insert(self.read(table), rows, keys))
+        name, commit = self._write(batch, table, partition, rules)
+        if not commit.days:
+            return False
+        held = self._current(table, partition, batch)
+        touched = (set(commit.days) & held.parts().keys()) - {NO_DAY}
+        if not touched:
+            self._publish(table, held.plus({name: commit}))
             return True
-        with staged(batch, self.root) as rows:
-            if rows.isEmpty():
-                return False
-            low, high = date_bounds(rows, partition)
-            span = in_range(partition, low, high) if low is not None else F.lit(False)
-            undated = F.col(partition).isNull()
-            if not rows.filter(undated).isEmpty():
-                span = span | undated  # what has no date matches no key, and is written back
-            merged = delete_insert(self.read(table).filter(span), rows, keys)
-            self._write(merged, table, partition, "overwrite", dynamic=True)
+        added = self._rows(table, Manifest(0, partition, batch.schema, {}), {name: commit}, None)
+        there = held.without(held.parts().keys() - touched)
+        left = self._rows(table, there, there.commits, None).join(added.select(*keys), list(keys), "left_anti")
+        rest, kept = self._write(left, table, partition)
+        self._publish(table, held.without(touched).plus({name: commit, rest: kept}))
         return True
 
-    def _write(
-        self,
-        rows: DataFrame,
-        table: str,
-        partition: str | None,
-        mode: str,
-        dynamic: bool = False,
-    ) -> None:
-        """Rebalance to even files per partition (a large day is split), sort, write."""
-        if partition is None:
-            rows.write.mode(mode).parquet(self.path(table))
-            return
-        sort = [c for c in (partition, "ticker") if c in rows.columns]
-        even = rows.hint("rebalance", F.col(partition)).sortWithinPartitions(*sort)
-        (
-            even.write.mode(mode)
-            .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
-            .partitionBy(partition)
-            .parquet(self.path(table))
-        )
-
-    # -- folders ----------------------------------------------------------
-
-    def _there(self, table: str) -> bool:
-        folder, files = self._folder(table)
-        return files.exists(folder)
-
-    def _rename(self, table: str, to: str) -> None:
-        folder, files = self._folder(table)
-        target, _ = self._folder(to)
-        files.mkdirs(target.getParent())
-        if not files.rename(folder, target):
-            raise OSError(f"could not rename {folder} to {target}")
-
-    def _delete(self, table: str) -> None:
-        folder, files = self._folder(table)
-        files.delete(folder, True)
-
-    def _finish_swap(self, table: str) -> None:
-        """After a swap that was cut short: the new table if it is complete, or else the old one."""
-        old, coming = f"{OLD}/{table}", f"{NEXT}/{table}"
-        if not self._there(old):
-            return
-        if not self._there(table):
-            complete = self._there(f"{coming}/_SUCCESS")
-            self._rename(coming if complete else old, table)
-        self._delete(old)
-
-    @staticmethod
-    def _on_days(partition: str, days: Sequence[dt.date | None]) -> Column:
-        named = F.col(partition).isin([day for day in days if day is not None])
-        return F.coalesce(named, F.lit(False)) | (F.col(partition).isNull() if None in days else F.lit(False))
-
-    def _folder(self, table: str):
-        jvm = self.spark._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(self.path(table))
-        return folder, folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
-
-    def _days(self, table: str, partition: str) -> Iterator[tuple[str, object]]:
-        """Dates and folders of the dated partitions."""
-        folder, files = self._folder(table)
-        for entry in files.listStatus(folder):
-            name, _, day = entry.getPath().getName().partition("=")
-            if name == partition and day != NO_DAY:
-                yield day, entry.getPath()
-
-    def _drop_days(self, table: str, partition: str, start: str, end: str, keep: set[str]) -> None:
-        """Delete the partitions of a date range, apart from the days to keep."""
-        _, files = self._folder(table)
-        for day, path in self._days(table, partition):
-            if start <= day <= end and day not in keep:
-                files.delete(path, True)
+    def expire(self, table: str, keep: int = 1) -> None:
+        """Forget all but the newest ``keep`` versions, and files that no version left has."""
+        history = self.history(table)
+        versions = history.versions()
+        for version in versions[:-keep]:
+            history.drop(version)
+        used = {name for version in versions[-keep:] for name in history.read(version).commits}
+        for folder in self.files.names(self._data(table)):
+            if folder.removeprefix("commit=") not in used:
+                self.files.delete(f"{self._data(table)}/{folder}")
+        for draft in self.files.names(history.folder):
+            if draft.startswith("_draft"):
+                self.files.delete(f"{history.folder}/{draft}")
+
+    def _current(self, table: str, partition: str | None, rows: DataFrame) -> Manifest:
+        held = self.history(table).newest() or Manifest(-1, partition, rows.schema, {})
+        if held.commits and held.partition != partition:
+            raise ValueError(f"{table} is partitioned by {held.partition}, not by {partition}")
+        return Manifest(held.version, partition, held.schema, held.commits)
+
+    def _publish(self, table: str, manifest: Manifest) -> None:
+        self.history(table).publish(manifest)
+
+    def _write(self, rows: DataFrame, table: str, partition: str | None, rules: Sequence[Rule] = ()) -> tuple[str, Commit]:
+        """Files of a new commit, which is no part of the table yet, and what was measured meanwhile.
+
+        Rows are rebalanced to even files per partition (a large day is split) and sorted.
+        """
+        name = uuid.uuid4().hex
+        folder = f"{self._data(table)}/commit={name}"
+        seen = Observation(f"write-{name}")
+        measures = {"rows": F.count(F.lit(1))}
+        if "ticker" in rows.columns:
+            measures["nulls.ticker"] = F.count_if(F.col("ticker").isNull())
+        measures |= {f"rule.{i}": F.count_if(rule.broken) for i, rule in enumerate(rules) if rule.broken is not None}
+        watched = rows.observe(seen, *[measure.alias(key) for key, measure in measures.items()])
+        try:
+            if partition is None:
+                watched.write.parquet(folder)
+            else:
+                sort = [c for c in (partition, "ticker") if c in rows.columns]
+                even = watched.hint("rebalance", F.col(partition)).sortWithinPartitions(*sort)
+                even.write.partitionBy(partition).parquet(folder)
+            metrics = self._measured(seen, measures, folder, rows.schema)
+            days = tuple([ALL] if metrics["rows"] else [])
+            if partition is not None:
+                days = tuple(n.partition("=")[2] for n in self.files.names(folder) if n.startswith(f"{partition}="))
+            commit = Commit(days, days, metrics)
+            self._require(table, name, commit, rows.schema, partition, rules)
+        except Exception:
+            self.files.delete(folder)
+            raise
+        return name, commit
+
+    def _measured(self, seen: Observation, measures: dict, folder: str, schema: T.StructType) -> dict[str, int]:
+        """A plan that is known to be empty measures nothing; that nothing was written is made sure."""
+        try:
+            return {key: int(value) for key, value in seen.get.items()}
+        except Py4JJavaError:
+            if not self.spark.read.schema(schema).parquet(folder).isEmpty():
+                raise
+            return dict.fromkeys(measures, 0)
+
+    def _require(self, table: str, name: str, commit: Commit, schema, partition: str | None, rules: Sequence[Rule]) -> None:
+        """Raise if a rule is broken. Rules of single rows are known from the write; only keys that
+        must not repeat are looked up in the new files."""
+        for i, rule in enumerate(rules):
+            if not commit.days or (rule.broken is not None and not commit.metrics[f"rule.{i}"]):
+                continue
+            written = self._rows(table, Manifest(0, partition, schema, {}), {name: commit}, None)
+            bad = written.filter(rule.broken) if rule.broken is not None else repeated_keys(written, rule.unique)
+            sample = bad.limit(1).collect()
+            if sample:
+                raise QualityError(f"{rule.message}: for example {sample[0].asDict()}")

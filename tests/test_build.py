@@ -109,7 +109,7 @@ def test_failed_check_stops_the_build(spark, tmp_path):
     store_yearly(spark, tables)
     store(spark, tables, DAYS[30])
     bad = spark.createDataFrame([row(schemas.PRICES, date=DAYS[3], close=1.0)], schemas.PRICES)
-    tables._write(bad, "raw/stock_prices", None, "append")
+    tables.append("raw/stock_prices", bad)
     with pytest.raises(QualityError, match="stock_prices: ticker"):
         build(tables)
     assert not tables.exists(MODELS["daily_price_changes"].path)

@@ -6,7 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from quotemill import schemas
-from quotemill.sources.tables import Tables
+from quotemill.operators.quality import QualityError, Rule
+from quotemill.sources.manifests import ConcurrentCommit, Files
+from quotemill.sources.tables import NoTable, Tables
 
 SCHEMA = schemas.flat("ticker string, close double, date date")
 D = dt.date.fromisoformat
@@ -27,7 +29,8 @@ def content(tables):
 def tables(spark, tmp_path):
     tables = Tables(spark, str(tmp_path))
     tables.create("raw/t", SCHEMA, "date")
-    tables._write(
+    tables.append(
+        "raw/t",
         frame(
             spark,
             ("A", 1.0, "2024-01-01"),
@@ -36,9 +39,7 @@ def tables(spark, tmp_path):
             ("B", 4.0, "2024-01-04"),
             ("A", 5.0, None),
         ),
-        "raw/t",
         "date",
-        "append",
     )
     return tables
 
@@ -152,18 +153,146 @@ def test_a_write_that_fails_leaves_the_old_table(spark, tables, tmp_path):
         assert content(tables) == before
 
 
-@pytest.mark.parametrize("complete", [True, False])
-def test_a_swap_that_was_cut_short_is_finished(spark, tables, complete):
+def data_folders(tables, table="raw/t"):
+    return set(tables.files.names(f"{tables.path(table)}/data"))
+
+
+def writes(spark, tables):
+    """Each kind of write, with what it leaves in the table."""
+    batch = frame(spark, ("C", 9.0, "2024-01-03"), ("B", 20.0, "2024-01-02"))
+    return {
+        "range": lambda: tables.replace_range("raw/t", batch, "2024-01-01", "2024-01-03"),
+        "merge": lambda: tables.delete_insert("raw/t", batch, ["ticker", "date"], "date"),
+        "whole": lambda: tables.overwrite("raw/t", batch, "date"),
+        "more": lambda: tables.append("raw/t", batch, "date"),
+    }
+
+
+class Stopped(RuntimeError):
+    pass
+
+
+@pytest.mark.parametrize("kind", ["range", "merge", "whole", "more"])
+def test_a_writer_that_stops_anywhere_leaves_the_old_or_the_new(spark, tables, monkeypatch, kind):
+    """The process ends before or after any step on files: readers see one version or the other."""
+    before, steps = content(tables), []
+    names = ("write", "rename", "delete", "names", "exists", "read")
+    real = {name: getattr(Files, name) for name in names}
+
+    def counted(name):
+        def step(self, *arguments):
+            steps.append(name)
+            if stop == (len(steps), "before"):
+                raise Stopped(name)
+            result = real[name](self, *arguments)
+            if stop == (len(steps), "after"):
+                raise Stopped(name)
+            return result
+
+        return step
+
+    seen, number = set(), 0
+    while True:
+        number += 1
+        for when in ("before", "after"):
+            stop, finished = (number, when), False
+            for name in names:
+                monkeypatch.setattr(Files, name, counted(name))
+            steps.clear()
+            try:
+                writes(spark, tables)[kind]()
+                finished = True
+            except Stopped:
+                pass
+            for name in names:
+                monkeypatch.setattr(Files, name, real[name])
+            now = content(tables)
+            seen.add(tuple(map(str, now)))
+            if now != before:
+                if finished and len(steps) < number:
+                    assert len(seen) == 2
+                    tables.expire("raw/t", keep=1)
+                    assert content(tables) == now
+                    return
+                tables.history("raw/t").drop(tables.history("raw/t").versions()[-1])
+            assert content(tables) == before
+
+
+def test_old_versions_can_be_read(spark, tables):
+    first = content(tables)
+    at = tables.manifest("raw/t")
+    tables.replace_range("raw/t", frame(spark, ("C", 9.0, "2024-01-02")), "2024-01-01", "2024-01-03")
+    reading = tables.read("raw/t", SCHEMA)
+    second = content(tables)
+    tables.overwrite("raw/t", frame(spark, ("Z", 1.0, "2024-03-01")), "date")
+    kept = sorted((r["ticker"], r["close"], str(r["date"]) if r["date"] else None) for r in reading.collect())
+    assert kept == second != first  # a reader that has begun is not disturbed
+    rows = tables.read("raw/t", SCHEMA, version=at.version).collect()
+    assert sorted((r["ticker"], r["close"], str(r["date"]) if r["date"] else None) for r in rows) == first
+    assert tables.read("raw/t", as_of=at.seconds).count() == len(first)
+    with pytest.raises(NoTable):
+        tables.read("raw/t", version=99)
+    with pytest.raises(NoTable):
+        tables.read("raw/t", as_of=1.0)
+    assert tables.changed_days("raw/t", at.version) == {"2024-01-01", "2024-01-02", "2024-01-03", "2024-01-04", "2024-03-01"}
+    tables.expire("raw/t", keep=1)
+    assert len(data_folders(tables)) == 1 and content(tables) == [("Z", 1.0, "2024-03-01")]
+    assert tables.changed_days("raw/t", at.version) is None
+
+
+def test_failed_writes_leave_no_files_behind(spark, tables):
+    held = data_folders(tables)
+    broken = frame(spark, ("A", 1.0, "2024-01-01")).withColumn("close", F.raise_error(F.lit("broken")).cast("double"))
+    with pytest.raises(Exception, match="broken"):
+        tables.replace_day("raw/t", broken, "2024-01-01")
+    assert data_folders(tables) == held
+
+
+def test_a_second_writer_is_refused(spark, tables, monkeypatch):
     before = content(tables)
-    tables._write(frame(spark, ("Z", 1.0, "2024-05-01")), "_next/raw/t", "date", "overwrite")
-    if not complete:
-        tables._delete("_next/raw/t/_SUCCESS")
-    tables._rename("raw/t", "_old/raw/t")
-    assert content(tables) == ([("Z", 1.0, "2024-05-01")] if complete else before)
-    assert not tables._there("_old/raw/t")
-
-
-def test_staging_leaves_no_files_behind(spark, tables, tmp_path):
-    tables.replace_day("raw/t", frame(spark, ("C", 9.0, "2024-01-02")), "2024-01-02")
-    staged = tmp_path / "quotemill-stage"
-    assert not staged.exists() or not [f for f in staged.iterdir() if f.is_dir()]
+    real = Tables._current
+
+    def late(self, *arguments):
+        found = real(self, *arguments)
+        monkeypatch.setattr(Tables, "_current", real)
+        self.append("raw/t", frame(spark, ("X", 1.0, "2024-09-09")), "date")
+        return found
+
+    monkeypatch.setattr(Tables, "_current", late)
+    with pytest.raises(ConcurrentCommit):
+        tables.overwrite("raw/t", frame(spark), "date")
+    assert content(tables) == sorted(before + [("X", 1.0, "2024-09-09")], key=str) or len(content(tables)) == len(before) + 1
+
+
+def test_rules_are_measured_while_rows_are_written(spark, tables):
+    before, held = content(tables), data_folders(tables)
+    rules = [Rule("close must be positive", F.col("close") <= 0), Rule("ticker must be unique", unique="ticker")]
+    for rows, message in (
+        ([("A", -1.0, "2024-01-02"), ("B", 1.0, "2024-01-02")], "positive: for example .*'A'"),
+        ([("A", 1.0, "2024-01-02"), ("A", 2.0, "2024-01-03")], "unique: for example .*'A'"),
+    ):
+        for write in (
+            lambda batch: tables.replace_range("raw/t", batch, rules=rules),
+            lambda batch: tables.overwrite("raw/t", batch, "date", rules),
+            lambda batch: tables.delete_insert("raw/t", batch, ["ticker", "date"], "date", rules),
+        ):
+            with pytest.raises(QualityError, match=message):
+                write(frame(spark, *rows))
+    assert content(tables) == before and data_folders(tables) == held
+    assert tables.replace_day("raw/t", frame(spark, ("A", 1.0, "2024-01-02")), "2024-01-02", rules=rules)
+    newest = list(tables.manifest("raw/t").commits.values())[-1]
+    assert newest.metrics == {"rows": 1, "nulls.ticker": 0, "rule.0": 0}
+
+
+def test_nulls_are_known_without_reading(spark, tables):
+    assert tables.nulls("raw/t", "ticker").count() == 0
+    assert "FileScan" not in tables.nulls("raw/t", "ticker")._jdf.queryExecution().executedPlan().toString()
+    tables.append("raw/t", frame(spark, (None, 1.0, "2024-01-07"), ("A", 1.0, "2024-01-08")), "date")
+    assert tables.nulls("raw/t", "ticker").count() == 1
+    tables.replace_day("raw/t", frame(spark, ("B", 1.0, "2024-01-07")), "2024-01-07")
+    assert tables.nulls("raw/t", "ticker").count() == 0
+
+
+def test_dates_are_pruned(spark, tables):
+    plan = tables.read("raw/t").filter("date >= '2024-01-03'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan
