@@ -466,6 +466,10 @@ def _queries() -> dict[str, str]:
         "price_returns": select(returns, "returns"),
         "price_returns_split": select(returns, "returns"),
         "incremental_price_returns": select(returns, "returns"),
+        "state_price_returns": bars(
+            """SELECT ticker, min(date) AS first_date, arg_min(close, date) AS first_close, max(close) AS peak,
+                count(*) AS "rows", max(date) AS last_date FROM bars GROUP BY ticker"""
+        ),
         "incremental_daily_changes": bars(
             """SELECT ticker, date, close, lag(close) OVER w AS previous_day_close,
                 (close_cents - lag(close_cents) OVER w) / 1e2 AS price_change
@@ -491,6 +495,23 @@ def _queries() -> dict[str, str]:
             FROM monthly WHERE date < DATE '{MONTHS[0]}' OR date >= DATE '{MONTHS[1]}'""",
             "monthly",
         ),
+        "table_range_atomic": select(
+            f"""SELECT ticker, date, volume, 1 AS version, 'before' AS seen FROM monthly
+            UNION ALL
+            SELECT ticker, date, volume, CASE WHEN date = DATE '{MONTHS[1]}' THEN 2 ELSE 1 END, 'after'
+            FROM monthly WHERE date < DATE '{MONTHS[0]}' OR date >= DATE '{MONTHS[1]}'""",
+            "monthly",
+        ),
+        "table_as_of": select(
+            f"""SELECT ticker, date, volume, 1 AS version,
+                date BETWEEN DATE '{MONTHS[0]}' AND DATE '{MONTHS[1]}' AS changed FROM monthly""",
+            "monthly",
+        ),
+        "checked_write": select(
+            """SELECT count(*) AS "rows", count(*) - count(ticker) AS nulls, min(volume) < 60 AS refused,
+                CASE WHEN min(volume) < 60 THEN 1 ELSE 2 END AS version FROM monthly""",
+            "monthly",
+        ),
         "table_delete_insert": select(
             "SELECT ticker, date, volume, CASE WHEN volume >= 60 THEN 2 ELSE 1 END AS version FROM monthly", "monthly"
         ),

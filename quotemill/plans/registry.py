@@ -21,6 +21,7 @@ from quotemill.operators import (
     quality,
     returns,
     scoring,
+    state,
 )
 from quotemill.operators.semantic import MODELS, query
 from quotemill.operators.timeline import Split
@@ -631,6 +632,47 @@ def table_full_refresh(spark, folder):
     return tables.read("marts/volumes")
 
 
+@registered
+def table_range_atomic(spark, folder):
+    """A range replaced by a batch: what readers see while its files are there already but not yet
+    published, and what they see after."""
+    tables = _with_monthly_table(spark, folder)
+    batch = _monthly(spark, folder, 2).filter(merge.in_range("date", MONTHS[1], MONTHS[1]))
+    tables.prepare("raw/volumes", batch, "date")
+    before = tables.read("raw/volumes").withColumn("seen", F.lit("before"))
+    tables.replace_range("raw/volumes", batch, *MONTHS)
+    return before.unionByName(tables.read("raw/volumes").withColumn("seen", F.lit("after")))
+
+
+@registered
+def table_as_of(spark, folder):
+    """An older version of a table, and whether the newest one has other rows on that day."""
+    tables = _with_monthly_table(spark, folder)
+    then = tables.manifest("raw/volumes")
+    tables.replace_range("raw/volumes", _monthly(spark, folder, 2).filter(merge.in_range("date", MONTH, MONTH)), *MONTHS)
+    changed = [dt.date.fromisoformat(day) for day in tables.changed_days("raw/volumes", then.version)]
+    old = tables.read("raw/volumes", as_of=then.seconds)
+    return old.withColumn("changed", F.col("date").isin(changed))
+
+
+@registered
+def checked_write(spark, folder):
+    """What was measured while a table was written, and whether a batch that breaks a rule got in."""
+    tables = _with_monthly_table(spark, folder)
+    small = quality.Rule("at least 60 shares", F.col("volume") < 60)
+    try:
+        tables.replace_range("raw/volumes", _monthly(spark, folder, 2), rules=[small])
+        refused = False
+    except quality.QualityError:
+        refused = True
+    commits = tables.manifest("raw/volumes").commits.values()
+    rows, nulls = (sum(c.metrics[key] for c in commits) for key in ("rows", "nulls.ticker"))
+    versions = tables.read("raw/volumes").agg(F.max("version").alias("version"))
+    return versions.select(
+        F.lit(rows).cast("long").alias("rows"), F.lit(nulls).cast("long").alias("nulls"), F.lit(refused).alias("refused"), "version"
+    )
+
+
 @registered
 def table_variants(spark, folder):
     tables = _warehouse(spark)
@@ -643,12 +685,18 @@ def table_variants(spark, folder):
 # -- incremental runs: from the last day of the target on --------------------
 
 
-def _carried_on(target: DataFrame, date: str, days: int, batch_since, keys=("ticker", "date")) -> DataFrame:
-    """``target`` after an incremental run that starts ``days`` before the last day it holds."""
-    last = target.agg(F.max(date)).first()[0]
-    if last is None:
-        return target
-    return merge.delete_insert(target, batch_since(days_before(last, days)), list(keys))
+def _carried_on(tables: Tables, target: DataFrame, date: str, days: int, batch_since, keys=("ticker", "date")) -> DataFrame:
+    """``target``, stored, after an incremental run that starts ``days`` before the last day it holds."""
+    tables.overwrite("marts/target", target)
+    last = tables.last_date("marts/target", date)
+    if last is not None:
+        tables.delete_insert("marts/target", batch_since(days_before(last, days)), list(keys), None)
+    return tables.read("marts/target")
+
+
+def _stored(tables: Tables, name: str, rows: DataFrame) -> DataFrame:
+    tables.overwrite(name, rows)
+    return tables.read(name)
 
 
 def _known(df: DataFrame, date: str = "date") -> DataFrame:
@@ -656,38 +704,75 @@ def _known(df: DataFrame, date: str = "date") -> DataFrame:
     return df.filter(F.col(date) <= F.lit(CUTOFF))
 
 
+def _bars(spark, folder) -> DataFrame:
+    return adapters.stock_prices(spark, folder).select("ticker", "date", "close")
+
+
+def _closed(tables: Tables, bars: DataFrame, since: dt.date, model: str) -> DataFrame:
+    """The stored state of the bars before those that an incremental run reads."""
+    start = incremental.near_start(since, model)
+    return _stored(tables, "state/stock_prices", state.history_state(bars.filter(F.col("date") < F.lit(start))))
+
+
 @registered
 def incremental_daily_changes(spark, folder):
-    bars = adapters.stock_prices(spark, folder)
+    tables = _warehouse(spark)
+    bars = _stored(tables, "raw/stock_prices", _bars(spark, folder))
     target = returns.daily_price_changes(_known(bars))
-    new = lambda since: incremental.new_price_changes(bars, since)
-    return rounded(_carried_on(target, "date", incremental.WRITE_DAYS, new), 2, "price_change")
+
+    def new(since):
+        return incremental.new_price_changes(bars, since, closed=_closed(tables, bars, since, "daily_price_changes"))
+
+    return rounded(_carried_on(tables, target, "date", incremental.WRITE_DAYS, new), 2, "price_change")
 
 
 @registered
 def incremental_price_returns(spark, folder):
-    """Returns built up to a day, then carried on to the last one by an incremental run."""
-    bars = adapters.stock_prices(spark, folder)
+    """Returns built up to a day, then carried on to the last one by an incremental run, which reads
+    recent bars and the stored state of the older ones."""
+    tables = _warehouse(spark)
+    bars = _stored(tables, "raw/stock_prices", _bars(spark, folder))
     target = returns.price_returns(_known(bars))
-    new = lambda since: incremental.new_price_returns(bars, since)
-    return rounded(_carried_on(target, "date", incremental.WRITE_DAYS, new), 6, "rolling_30d_volatility")
+
+    def new(since):
+        return incremental.new_price_returns(bars, since, closed=_closed(tables, bars, since, "price_returns"))
+
+    return rounded(_carried_on(tables, target, "date", incremental.WRITE_DAYS, new), 6, "rolling_30d_volatility")
+
+
+@registered
+def state_price_returns(spark, folder):
+    """The state of all histories, made of the stored state up to a day and of the bars after it."""
+    tables = _warehouse(spark)
+    bars = _bars(spark, folder)
+    held = _stored(tables, "state/stock_prices", state.history_state(_known(bars)))
+    later = state.history_state(bars.filter(F.col("date") > F.lit(CUTOFF)))
+    return _stored(tables, "state/stock_prices", state.merged(held, later))
 
 
 @registered
 def incremental_indicators(spark, folder):
-    built = marts(spark, folder)
-    feeds_ = (built.raw["stock_prices"], built.raw["rsi"], built.raw["macd"])
+    tables, built = _warehouse(spark), marts(spark, folder)
+    feeds_ = [_stored(tables, f"raw/{name}", built.raw[name]) for name in ("stock_prices", "rsi", "macd")]
     target = indicators.technical_indicators(*[_known(f) for f in feeds_])
-    new = lambda since: incremental.new_technical_indicators(*feeds_, since)
-    return _carried_on(target, "date", incremental.WRITE_DAYS, new)
+
+    def new(since):
+        closed = _closed(tables, feeds_[0], since, "technical_indicators")
+        return incremental.new_technical_indicators(*feeds_, since, closed=closed)
+
+    return _carried_on(tables, target, "date", incremental.WRITE_DAYS, new)
 
 
 @registered
 def incremental_technical_scores(spark, folder):
-    table = marts(spark, folder).technical_indicators
+    tables = _warehouse(spark)
+    table = _stored(tables, "int/technical_indicators", marts(spark, folder).technical_indicators)
     target = scoring.technical_scores(_known(table))
-    new = lambda since: incremental.new_technical_scores(table, since)
-    return _carried_on(target, "date", incremental.WRITE_DAYS, new)
+
+    def new(since):
+        return incremental.new_technical_scores(table, since, closed=_closed(tables, table, since, "technical_scores"))
+
+    return _carried_on(tables, target, "date", incremental.WRITE_DAYS, new)
 
 
 def _since(df: DataFrame, date: str, since) -> DataFrame:
@@ -696,35 +781,32 @@ def _since(df: DataFrame, date: str, since) -> DataFrame:
 
 @registered
 def incremental_composite(spark, folder):
-    built = marts(spark, folder)
-    technical, fundamental = built.technical_scores, built.fundamental_scores
+    tables, built = _warehouse(spark), marts(spark, folder)
+    technical = _stored(tables, "marts/technical_scores", built.technical_scores)
+    fundamental = _stored(tables, "marts/fundamental_scores", built.fundamental_scores)
     target = composite.composite_scores(_known(technical), fundamental)
     new = lambda since: composite.composite_scores(_since(technical, "date", since), fundamental)
-    rows = _carried_on(
-        target, "technical_date", incremental.JOIN_DAYS["composite_scores"], new, ("ticker", "technical_date")
-    )
-    return cast(rows, "double", *composite.WEIGHTS)
+    days, keys = incremental.JOIN_DAYS["composite_scores"], ("ticker", "technical_date")
+    return cast(_carried_on(tables, target, "technical_date", days, new, keys), "double", *composite.WEIGHTS)
 
 
 @registered
 def incremental_industry(spark, folder):
-    built = marts(spark, folder)
-    scores, companies_ = built.composite_scores, built.companies_current
+    tables, built = _warehouse(spark), marts(spark, folder)
+    scores, companies_ = _stored(tables, "marts/composite_scores", built.composite_scores), built.companies_current
     target = composite.industry_scores(_known(scores, "technical_date"), companies_)
     new = lambda since: composite.industry_scores(_since(scores, "technical_date", since), companies_)
-    rows = _carried_on(
-        target, "technical_date", incremental.JOIN_DAYS["industry_scores"], new, ("ticker", "technical_date")
-    )
-    return cast(rows, "double", *composite.WEIGHTS)
+    days, keys = incremental.JOIN_DAYS["industry_scores"], ("ticker", "technical_date")
+    return cast(_carried_on(tables, target, "technical_date", days, new, keys), "double", *composite.WEIGHTS)
 
 
 @registered
 def incremental_performance(spark, folder):
-    built = marts(spark, folder)
-    rows, companies_ = built.price_returns, built.companies_current
+    tables, built = _warehouse(spark), marts(spark, folder)
+    rows, companies_ = _stored(tables, "int/price_returns", built.price_returns), built.companies_current
     target = composite.price_performance(_known(rows), companies_)
     new = lambda since: composite.price_performance(_since(rows, "date", since), companies_)
-    carried = _carried_on(target, "date", incremental.JOIN_DAYS["price_performance"], new)
+    carried = _carried_on(tables, target, "date", incremental.JOIN_DAYS["price_performance"], new)
     return rounded(carried, 6, "rolling_30d_volatility")
 
 

@@ -184,6 +184,10 @@ class Tables:
         self._publish(table, held.without(touched).plus({name: commit, rest: kept}))
         return True
 
+    def prepare(self, table: str, rows: DataFrame, partition: str | None = None, rules: Sequence[Rule] = ()) -> Commit:
+        """Write and measure ``rows`` as for a commit, without publishing it: a rehearsal."""
+        return self._write(rows, table, partition, rules)[1]
+
     def expire(self, table: str, keep: int = 1) -> None:
         """Forget all but the newest ``keep`` versions, and files that no version left has."""
         history = self.history(table)

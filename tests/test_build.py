@@ -1,7 +1,9 @@
 """Incremental model builds end where a full build ends."""
 
 import datetime as dt
+import glob
 import random
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +12,11 @@ from quotemill import schemas
 from quotemill.operators.merge import recent_rows
 from quotemill.operators.quality import QualityError
 from quotemill.operators.semantic import query
+from quotemill.operators.returns import price_returns
+from quotemill.operators.state import history_state
+from quotemill.plans import incremental
 from quotemill.plans.build import MODELS, build, exposed
+from quotemill.plans.history import STATE_TABLE, closed_before
 from quotemill.sources.tables import Tables
 
 START = dt.date(2022, 10, 17)
@@ -129,3 +135,68 @@ def test_recent_rows_reach_back_for_thin_tickers_only(spark):
     filled = recent_rows(active, since, rows=5, days=10)
     before = filled.filter((F.col("ticker") == "B") & (F.col("date") < F.lit(since)))
     assert before.count() == len([d for d in DAYS[::10] if d < since])
+
+
+SPARSE = [dt.date(2019, 1, 1) + dt.timedelta(days=40 * i) for i in range(12)] + [dt.date(2023, 1, 2) + dt.timedelta(days=i) for i in range(8)]
+
+
+def sparse_bars(spark, days, listed=()):
+    rng = random.Random(3)
+    rows = [(t, d, round(rng.uniform(5, 50), 2)) for d in SPARSE for t in ("A", "B")]
+    rows += [("NEW", d, 7.0) for d in listed]
+    return spark.createDataFrame([r for r in rows if r[1] in days], "ticker string, date date, close double")
+
+
+def destroy(tables, table, before):
+    """Make the files of old days unreadable."""
+    folder = tables.path(f"{table}/data")
+    hit = 0
+    for file in glob.glob(f"{folder}/commit=*/date=*/*"):
+        if file.split("date=")[1][:10] < before:
+            with open(file, "wb") as f:
+                f.write(b"gone")
+            hit += 1
+    assert hit
+
+
+def test_incremental_runs_do_not_touch_closed_history(spark, tmp_path, monkeypatch):
+    """With the stored state, a run reads recent days only: the old ones could be unreadable."""
+    for model, span in incremental.LOOKBACKS.items():
+        monkeypatch.setitem(incremental.LOOKBACKS, model, replace(span, rows=min(span.rows, 2)))
+    tables = Tables(spark, str(tmp_path))
+    tables.append("raw/p", sparse_bars(spark, SPARSE[:-3]), "date")
+    since = SPARSE[-5]
+    start = incremental.near_start(since, "price_returns")
+    first = closed_before(tables, tables.read("raw/p"), ["raw/p"], start)
+    assert {(r["ticker"], r["rows"], r["first_date"]) for r in first.collect()} == {("A", 12, SPARSE[0]), ("B", 12, SPARSE[0])}
+    tables.append("raw/p", sparse_bars(spark, SPARSE[-3:], SPARSE[-2:]), "date")
+    wanted = ["ticker", "date", "close", "daily_return", "cumulative_return", "running_max_price", "drawdown_pct"]
+    whole = price_returns(tables.read("raw/p")).filter(F.col("date") >= F.lit(SPARSE[-3])).select(*wanted).collect()
+
+    destroy(tables, "raw/p", "2022-01-01")
+    with pytest.raises(Exception):
+        price_returns(tables.read("raw/p")).collect()
+    later = SPARSE[-3]
+    closed = closed_before(tables, tables.read("raw/p"), ["raw/p"], incremental.near_start(later, "price_returns"))
+    got = incremental.new_price_returns(tables.read("raw/p"), later, closed=closed).select(*wanted).collect()
+    assert sorted(map(repr, got)) == sorted(map(repr, whole))
+    assert tables.manifest(STATE_TABLE).notes["through"] == str(incremental.near_start(later, "price_returns") - dt.timedelta(days=1))
+    # A new listing has nothing older, and brings no old day into the plan.
+    plan = incremental.new_price_changes(tables.read("raw/p"), later, closed=closed)
+    assert plan.filter("ticker = 'NEW'").count() == 2
+
+
+def test_state_is_made_anew_when_closed_days_change(spark, tmp_path):
+    tables = Tables(spark, str(tmp_path))
+    tables.append("raw/p", sparse_bars(spark, SPARSE), "date")
+    closed = lambda day: closed_before(tables, tables.read("raw/p"), ["raw/p"], day)
+    closed(SPARSE[8])
+    kept = tables.manifest(STATE_TABLE).version
+    assert closed(SPARSE[8]).count() == 2 and tables.manifest(STATE_TABLE).version == kept
+    revised = spark.createDataFrame([("A", SPARSE[2], 999.0)], "ticker string, date date, close double")
+    tables.replace_day("raw/p", revised, SPARSE[2])
+    assert {r["ticker"]: (r["peak"], r["rows"]) for r in closed(SPARSE[8]).collect()}["A"] == (999.0, 8)
+    # Carried on day by day, the state is that of all bars.
+    for day in SPARSE[9:]:
+        state = closed(day + dt.timedelta(days=1))
+    assert sorted(map(repr, state.collect())) == sorted(map(repr, history_state(tables.read("raw/p")).collect()))
