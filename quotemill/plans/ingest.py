@@ -12,6 +12,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from quotemill import schemas
 from quotemill.functions.scalars import days_before
@@ -162,40 +163,85 @@ def raw_schema(table: str):
     return schemas.RAW_TABLES[table.removeprefix("raw/")]
 
 
-def ingest(tables: Tables, feed_root: str, name: str, run_date: Day, **options) -> bool:
-    """Run one job. Returns whether anything was written."""
+REJECTS = schemas.flat("feed string, reason string, line string, date date")
+
+
+@dataclass(frozen=True)
+class Ingested:
+    """What a run did: whether it wrote rows, and how many landed lines it kept apart, by reason."""
+
+    written: bool
+    rejects: dict[str, int]
+
+    def __bool__(self) -> bool:
+        return self.written
+
+
+def ingest(tables: Tables, feed_root: str, name: str, run_date: Day, **options) -> Ingested:
+    """Run one job. The landed files are read and parsed once: lines that bring rows go to the raw
+    table, all others, with the reason, to a table of rejects beside it."""
     job = JOBS[name]
     settings = job.defaults | options
     unknown = set(options) - set(job.defaults)
     if unknown:
         raise ValueError(f"job {name!r} has no option {', '.join(sorted(unknown))}")
-    payloads = feeds.read_feed(tables.spark, f"{feed_root}/{job.feed}/{run_date}", job.schema)
-    members = universe(tables.read(LOOKUP, schemas.CONSTITUENTS), run_date)
-    rows = job.rows(in_universe(payloads, members), run_date=run_date, **settings)
-    if job.variants:
-        rows = feeds.with_variants(rows, *job.variants)
-    rows = feeds.shape(rows, raw_schema(job.table))
-    tables.create(job.table, raw_schema(job.table), "date")
-    if job.span == "day":
-        return tables.replace_day(job.table, rows, run_date)
-    if job.span == "lookback":
-        start = days_before(run_date, settings["lookback_days"])
-        return tables.replace_range(job.table, rows, start, run_date)
-    return tables.replace_range(job.table, rows)
-
-
-def ingest_constituents(tables: Tables, feed_root: str, run_date: Day) -> bool:
+    lines = feeds.read_lines(tables.spark, f"{feed_root}/{job.feed}/{run_date}")
+
+    def write(read: DataFrame) -> bool:
+        members = universe(tables.read(LOOKUP, schemas.CONSTITUENTS), run_date)
+        rows = job.rows(in_universe(feeds.payloads(read), members), run_date=run_date, **settings)
+        if job.variants:
+            rows = feeds.with_variants(rows, *job.variants)
+        rows = feeds.shape(rows, raw_schema(job.table))
+        tables.create(job.table, raw_schema(job.table), "date")
+        if job.span == "day":
+            return tables.replace_day(job.table, rows, run_date)
+        if job.span == "lookback":
+            start = days_before(run_date, settings["lookback_days"])
+            return tables.replace_range(job.table, rows, start, run_date)
+        return tables.replace_range(job.table, rows)
+
+    return _with_rejects(tables, feeds.parsed(lines, job.schema), name, run_date, write)
+
+
+def _with_rejects(tables: Tables, read: DataFrame, name: str, run_date: Day, write: Callable[[DataFrame], bool]) -> Ingested:
+    """Write the rows, then the day's rejects, also where there are none, from one reading."""
+    read = read.persist()
+    try:
+        written = write(read)
+        table = f"rejects/{name}"
+        kept = feeds.rejected(read).select(
+            F.lit(name).alias("feed"), "reason", "line", F.lit(str(run_date)).cast("date").alias("date")
+        )
+        tables.create(table, REJECTS, "date")
+        tables.replace_day(table, kept, run_date, if_empty=True)
+    finally:
+        read.unpersist()
+    day = tables.read(table).filter(F.col("date") == F.lit(str(run_date)).cast("date"))
+    return Ingested(written, {r["reason"]: r["count"] for r in day.groupBy("reason").count().collect()})
+
+
+def ingest_constituents(tables: Tables, feed_root: str, run_date: Day) -> Ingested:
     """The day's index members: the universe of all other jobs."""
     path = f"{feed_root}/constituents/{run_date}"
-    rows = feeds.constituents(feeds.read_constituents(tables.spark, path), run_date)
-    tables.create(LOOKUP, schemas.CONSTITUENTS, "date")
-    return tables.replace_day(LOOKUP, rows, run_date)
 
+    def write(read: DataFrame) -> bool:
+        used = read.filter(F.col("reason").isNull() | (F.col("reason") == "partial"))
+        rows = feeds.constituents(used.select(*[f"`{c}`" for c in schemas.CONSTITUENT_FEED.names]), run_date)
+        tables.create(LOOKUP, schemas.CONSTITUENTS, "date")
+        return tables.replace_day(LOOKUP, rows, run_date)
+
+    return _with_rejects(tables, feeds.read_constituents(tables.spark, path, reasons=True), "constituents", run_date, write)
 
-def ingest_articles(tables: Tables, feed_root: str, run_date: Day) -> bool:
+
+def ingest_articles(tables: Tables, feed_root: str, run_date: Day) -> Ingested:
     """The day's articles of the global feed, one row per mentioned index member."""
-    feed = feeds.read_feed(tables.spark, f"{feed_root}/articles/{run_date}", schemas.ARTICLE_FEED)
-    members = universe(tables.read(LOOKUP, schemas.CONSTITUENTS), run_date)
-    rows = feeds.shape(feeds.articles(feed, run_date, members), schemas.ARTICLES)
-    tables.create("raw/articles", schemas.ARTICLES, "date")
-    return tables.replace_day("raw/articles", rows, run_date)
+    lines = feeds.read_lines(tables.spark, f"{feed_root}/articles/{run_date}")
+
+    def write(read: DataFrame) -> bool:
+        members = universe(tables.read(LOOKUP, schemas.CONSTITUENTS), run_date)
+        rows = feeds.shape(feeds.articles(feeds.payloads(read), run_date, members), schemas.ARTICLES)
+        tables.create("raw/articles", schemas.ARTICLES, "date")
+        return tables.replace_day("raw/articles", rows, run_date)
+
+    return _with_rejects(tables, feeds.parsed(lines, schemas.ARTICLE_FEED), "articles", run_date, write)

@@ -637,6 +637,11 @@ def _queries() -> dict[str, str]:
         ),
         "feed_rejects": """SELECT ['status', 'empty', 'broken'][1 + s_suppkey % 7] AS reason, count(*) AS "lines"
             FROM supplier WHERE s_suppkey % 7 < 3 GROUP BY 1""",
+        "ingest_rejects": """SELECT job, CASE s_suppkey % 7 WHEN 0 THEN 'broken' WHEN 1 THEN damage ELSE 'stored' END AS reason,
+                count(*) AS "lines"
+            FROM supplier, (VALUES ('prices_backfill', 'status'), ('rsi_backfill', 'status'), ('income_statements', 'empty'))
+                AS jobs(job, damage)
+            GROUP BY ALL""",
         "feed_reference": "SELECT CAST(s_suppkey AS VARCHAR) AS ticker, s_name AS name, true AS active FROM supplier",
         "delete_insert_merge": bars(
             """SELECT ticker, date, close, CASE WHEN date >= DATE '2000-12-01' THEN 2 ELSE 1 END AS version

@@ -9,6 +9,7 @@ each with the reason.
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,36 +36,72 @@ def read_feed(spark: SparkSession, path: str, schema: T.StructType | str) -> Dat
     return spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)
 
 
-def rejects(lines: DataFrame, schema: T.StructType | str) -> DataFrame:
-    """(line, reason) of the ``line`` texts that bring no rows.
+def parsed(lines: DataFrame, schema: T.StructType | str) -> DataFrame:
+    """(p, reason, line) of the ``line`` texts, in one parse.
 
-    ``broken``: not the JSON of a payload. ``status``: the provider reported a failure. ``empty``:
-    no results.
+    ``reason`` is NULL for payloads that are as they should be. ``broken``: not the JSON of a
+    payload. ``partial``: some field is not of its type, and NULL; the rest is used. ``status``: the
+    provider reported a failure. ``empty``: no results. The text is kept where there is a reason.
     """
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
     kept = T.StructType([*schema.fields, T.StructField("_broken", T.StringType())])
-    parsed = lines.select(
-        "line", F.from_json("line", kept, {"columnNameOfCorruptRecord": "_broken"}).alias("p")
-    )
-    results = F.col("p.results")
-    if isinstance(schema["results"].dataType, T.StructType):
-        results = results["values"]
+    read = lines.select("line", F.from_json("line", kept, {"columnNameOfCorruptRecord": "_broken"}).alias("p"))
+    broken = F.col("p").isNull() | F.col("p._broken").isNotNull()
+    none = F.lit(False)
+    if "results" in schema.names:
+        results = F.col("p.results")
+        if isinstance(schema["results"].dataType, T.StructType):
+            results = results["values"]
+        none = F.coalesce(F.size(results), F.lit(-1)) <= 0
+    else:
+        held = [F.col(f"p.{name}").isNotNull() for name in schema.names]
+        none = ~reduce(lambda x, y: x | y, held)
     failed = F.coalesce(F.col("p.status") != "OK", F.lit(True)) if "status" in schema.names else F.lit(False)
     reason = (
-        F.when(F.col("p").isNull() | F.col("p._broken").isNotNull(), "broken")
+        F.when(broken & (failed | none), "broken")
         .when(failed, "status")
-        .when(F.coalesce(F.size(results), F.lit(-1)) <= 0, "empty")
+        .when(none, "empty")
+        .when(broken, "partial")
     )
-    return parsed.select("line", reason.alias("reason")).filter(F.col("reason").isNotNull())
+    return read.select("p", reason.alias("reason"), "line").withColumn("line", F.when(F.col("reason").isNotNull(), F.col("line")))
 
 
-def read_rejects(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    return rejects(spark.read.text(path).withColumnRenamed("value", "line"), schema)
+def payloads(read: DataFrame) -> DataFrame:
+    """The payloads of ``parsed`` lines that bring rows."""
+    used = read.filter(F.col("reason").isNull() | (F.col("reason") == "partial"))
+    return used.select("p.*").drop("_broken")
+
+
+def rejects(lines: DataFrame, schema: T.StructType | str) -> DataFrame:
+    """(line, reason) of the ``line`` texts that are not as they should be."""
+    return rejected(parsed(lines, schema))
 
 
-def read_constituents(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.CONSTITUENT_FEED).option("header", True).csv(path)
+def rejected(read: DataFrame) -> DataFrame:
+    return read.filter(F.col("reason").isNotNull()).select("line", "reason")
+
+
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.text(path).withColumnRenamed("value", "line")
+
+
+def read_rejects(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    return rejects(read_lines(spark, path), schema)
+
+
+def read_constituents(spark: SparkSession, path: str, reasons: bool = False) -> DataFrame:
+    """The members file; with ``reasons``, lines of another number of fields, or without a ticker,
+    are told apart as ``parsed`` does it, under the columns ``reason`` and ``line``."""
+    reader = spark.read.option("header", True)
+    if not reasons:
+        return reader.schema(schemas.CONSTITUENT_FEED).csv(path)
+    kept = T.StructType([*schemas.CONSTITUENT_FEED.fields, T.StructField("line", T.StringType())])
+    read = reader.schema(kept).option("columnNameOfCorruptRecord", "line").csv(path)
+    nameless = F.coalesce(F.trim(schemas.CONSTITUENT_FEED.names[0]), F.lit("")) == ""
+    fields = F.concat_ws(",", *[F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in schemas.CONSTITUENT_FEED.names])
+    reason = F.when(nameless & F.col("line").isNotNull(), "broken").when(nameless, "empty").when(F.col("line").isNotNull(), "partial")
+    return read.withColumn("reason", reason).withColumn("line", F.when(F.col("reason").isNotNull(), F.coalesce("line", fields)))
 
 
 def accepted(payloads: DataFrame) -> DataFrame:

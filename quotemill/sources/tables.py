@@ -131,9 +131,17 @@ class Tables:
         made = Manifest(held.version, partition, rows.schema, {}, notes=notes or {})
         self._publish(table, made.plus({name: commit}))
 
-    def replace_day(self, table: str, batch: DataFrame, day: Day, partition: str = "date", rules: Sequence[Rule] = ()) -> bool:
-        """Replace the rows of one day by a batch. An empty batch changes nothing."""
-        return self.replace_range(table, batch, day, day, partition, rules)
+    def replace_day(
+        self,
+        table: str,
+        batch: DataFrame,
+        day: Day,
+        partition: str = "date",
+        rules: Sequence[Rule] = (),
+        if_empty: bool = False,
+    ) -> bool:
+        """Replace the rows of one day by a batch. An empty batch changes nothing, unless it is to."""
+        return self.replace_range(table, batch, day, day, partition, rules, if_empty)
 
     def replace_range(
         self,
@@ -143,14 +151,16 @@ class Tables:
         end: Day | None = None,
         partition: str = "date",
         rules: Sequence[Rule] = (),
+        if_empty: bool = False,
     ) -> bool:
         """Replace all rows from ``start`` to ``end`` by a batch; the batch's own range if not given.
 
         Days of the range without rows in the batch end up empty. Rows of the batch outside the
-        range, or without a date, are added to what is there. An empty batch changes nothing.
+        range, or without a date, are added to what is there. An empty batch changes nothing, or with
+        ``if_empty`` empties the range.
         """
         name, commit = self._write(batch, table, partition, rules)
-        if not commit.days:
+        if not commit.days and not if_empty:
             return False
         dated = sorted(set(commit.days) - {NO_DAY})
         if (start is None or end is None) and dated:

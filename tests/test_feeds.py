@@ -301,3 +301,52 @@ def test_text_that_is_no_json_gives_no_variant(spark):
     rows = spark.createDataFrame([('["a"]',), ("[",), (None,)], "keywords string")
     got = feeds.with_variants(rows, "keywords").select(F.to_json("keywords").alias("k")).collect()
     assert [r["k"] for r in got] == ['["a"]', None, None]
+
+
+def test_jobs_keep_lines_that_bring_no_rows(warehouse):
+    tables, root = warehouse
+    good = PRICES[0]
+    land(root, "prices", [good, {"ticker": "A", "status": "ERROR"}, {"ticker": "A", "status": "OK", "results": []}])
+    done = ingest(tables, root, "prices", DAY)
+    assert done.written and done.rejects == {"status": 1, "empty": 1}
+    kept = tables.read("rejects/prices").collect()
+    assert {(r["feed"], r["reason"], str(r["date"])) for r in kept} == {("prices", "status", DAY), ("prices", "empty", DAY)}
+    assert all(r["line"].startswith("{") for r in kept)
+    land(root, "prices", [good])
+    assert ingest(tables, root, "prices", DAY).rejects == {}  # a rerun without damage clears the day
+    assert tables.read("rejects/prices").count() == 0
+
+
+def test_partial_payloads_are_used_and_told(spark, tmp_path):
+    """A field of another type costs that field, not the rows, and the line is on record."""
+    lines = ['{"ticker":"A","status":"OK","results":[{"c":1.0,"n":"many","t":0}]}', '{"ticker":"B","status":"OK","results":"none"}']
+    path = str(tmp_path / "feed")
+    spark.createDataFrame([(x,) for x in lines], "line string").coalesce(1).write.text(path)
+    read = feeds.parsed(feeds.read_lines(spark, path), schemas.PRICE_FEED)
+    assert {r["line"]: r["reason"] for r in feeds.rejected(read).collect()} == dict(zip(lines, ["partial", "broken"]))
+    rows = feeds.stock_prices_range(feeds.payloads(read)).collect()
+    assert [(r["ticker"], r["close"], r["transactions"]) for r in rows] == [("A", 1.0, None)]
+
+
+def test_members_without_a_ticker_are_rejected(spark, tmp_path):
+    tables = Tables(spark, str(tmp_path / "w"))
+    header = ",".join(schemas.CONSTITUENT_HEADERS)
+    path = tmp_path / "feeds" / "constituents" / DAY
+    path.mkdir(parents=True)
+    (path / "part.csv").write_text(f"{header}\nA,Alpha,S,I,L,2001-01-01,1,1950\n,Nobody,S,I,L,2001-01-01,1,1950\nB,Beta\n")
+    done = ingest_constituents(tables, str(tmp_path / "feeds"), DAY)
+    assert done.written and done.rejects == {"empty": 1, "partial": 1}
+    assert {r["ticker"] for r in tables.read("raw/tickers_lookup").collect()} == {"A", "B"}
+
+
+def test_landed_files_are_read_once(warehouse, spark):
+    """Rows and rejects come from one parse: the stored reading is what both plans scan."""
+    tables, root = warehouse
+    land(root, "prices", [PRICES[0]])
+    read = feeds.parsed(feeds.read_lines(spark, f"{root}/prices/{DAY}"), schemas.PRICE_FEED).persist()
+    try:
+        for df in (feeds.payloads(read), feeds.rejected(read)):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert "InMemoryTableScan" in plan
+    finally:
+        read.unpersist()
