@@ -27,7 +27,7 @@ from quotemill.operators import (
 from quotemill.operators.semantic import MODELS, query
 from quotemill.operators.timeline import Split
 from quotemill.operators.topk import latest_k
-from quotemill.plans import incremental, screens
+from quotemill.plans import incremental, latest, screens
 from quotemill.plans.ingest import JOBS, ingest, ingest_constituents
 from quotemill.plans.marts import Marts
 from quotemill.session import scratch_folder, tune
@@ -898,9 +898,13 @@ def _exposed(spark, folder):
     return marts(spark, folder).exposed()
 
 
+def _latest(spark, folder, rows=latest.SCORE_ROWS):
+    return latest.latest(Raw(spark, folder), rows).exposed()
+
+
 @registered
 def g1_strong_now(spark, folder):
-    rows = screens.strong_now(_exposed(spark, folder))
+    rows = screens.strong_now(_latest(spark, folder))
     return cast(rows, "double", "composite_score_equal")
 
 
@@ -911,7 +915,7 @@ def g2_ticker_performance(spark, folder):
 
 @registered
 def g3_best_in_sector(spark, folder):
-    rows = screens.best_in_sector(_exposed(spark, folder), "ASIA")
+    rows = screens.best_in_sector(_latest(spark, folder), "ASIA")
     return cast(rows, "double", "composite_score_equal")
 
 
@@ -922,7 +926,7 @@ def g4_strong_fundamentals(spark, folder):
 
 @registered
 def g5_momentum_leaders(spark, folder):
-    return screens.momentum_leaders(_exposed(spark, folder))
+    return screens.momentum_leaders(_latest(spark, folder))
 
 
 @registered
@@ -938,13 +942,13 @@ def g7_sector_rotation(spark, folder):
 
 @registered
 def g8_rank_by_composite(spark, folder):
-    rows = screens.rank_by_composite(_exposed(spark, folder))
+    rows = screens.rank_by_composite(_latest(spark, folder))
     return cast(rows, "double", "composite_score_technical_bias")
 
 
 @registered
 def g9_near_high(spark, folder):
-    return screens.near_high(_exposed(spark, folder), within=0.9)
+    return screens.near_high(_latest(spark, folder, latest.RETURN_ROWS), within=0.9)
 
 
 @registered
@@ -975,7 +979,7 @@ def g14_risk_off(spark, folder):
 @registered
 def top_technical(spark, folder):
     """The twenty best technical scores of the last day."""
-    rows = marts(spark, folder).technical_scores
+    rows = latest.latest(Raw(spark, folder)).technical_scores
     return screens.ordered(screens.latest_rows(rows, "date"), ["-technical_score", "ticker"], 20)
 
 

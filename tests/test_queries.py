@@ -1,6 +1,7 @@
 """Newest rows, merging, checks, companies and semantic queries."""
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,8 +9,9 @@ from pyspark.sql import functions as F
 from quotemill.operators import companies, merge, quality
 from quotemill.operators.semantic import MODELS, query
 from quotemill.operators.topk import latest_k
-from quotemill.plans import screens
-from quotemill.plans.marts import staging
+from quotemill import schemas
+from quotemill.plans import latest, screens
+from quotemill.plans.marts import Marts, staging
 
 D = dt.date.fromisoformat
 
@@ -297,3 +299,51 @@ def test_every_model_is_described():
     assert describe("technical_scores") == [r for r in rows if r["model"] == "technical_scores"]
     with pytest.raises(ValueError):
         describe("none")
+
+
+LATEST = {
+    "strong_now": latest.SCORE_ROWS,
+    "momentum_leaders": latest.SCORE_ROWS,
+    "rank_by_composite": latest.SCORE_ROWS,
+    "near_high": latest.RETURN_ROWS,
+}
+
+
+def bars_of(rows):
+    """Bars, RSI and MACD points, and yearly statements."""
+    spark = rows.sparkSession
+    empty = {name: spark.createDataFrame([], schema) for name, schema in schemas.RAW_TABLES.items()}
+    points = {
+        "rsi": rows.select("ticker", "date", (F.col("close") % 100).alias("rsi_value"), F.lit(14).alias("window_size"), F.lit("day").alias("timespan"), F.lit("close").alias("series_type")),
+        "macd": rows.select("ticker", "date", (F.col("close") - 50).alias("macd_value"), F.lit(0.5).alias("signal_value"), F.lit(0.1).alias("histogram_value")),
+    }
+    return empty | points | {"stock_prices": rows}
+
+
+@pytest.mark.parametrize("not_after", [None, "2023-02-20"])
+@pytest.mark.parametrize("name", list(LATEST))
+def test_latest_day_from_recent_bars_alone(spark, tmp_path, name, not_after):
+    """The same rows as from all of history, and a filter on days in the scans."""
+    path = str(tmp_path / "bars")
+    day = F.date_sub(F.lit("2023-03-31").cast("date"), (F.col("id") % 700).cast("int"))
+    thin = (F.col("id") % 3 > 0) | (F.col("id") % 700 % 5 == 0)
+    rows = spark.range(2100).filter(thin).select(
+        F.concat(F.lit("T"), F.col("id") % 3).alias("ticker"), day.alias("date"), ((F.col("id") * 7919) % 9000 / 100 + 1).alias("close")
+    )
+    rows.dropDuplicates(["ticker", "date"]).write.parquet(path)
+    raw = bars_of(spark.read.parquet(path))
+    screen = getattr(screens, name)
+    options = {"not_after": not_after} | ({"within": 1.0} if name == "near_high" else {})
+    whole = screen(Marts(raw).exposed(), **options)
+    recent = screen(latest.latest(raw, LATEST[name], not_after).exposed(), **options)
+    assert whole.count() > 0 and content(recent) == content(whole)
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    scans = [x for x in re.findall(r"PushedFilters: \[([^\]]*)\]", plan)]
+    assert scans and all("(date," in x for x in scans)
+
+
+def test_latest_day_without_bars(spark):
+    raw = bars_of(spark.createDataFrame([], "ticker string, date date, close double"))
+    assert screens.strong_now(latest.latest(raw).exposed()).count() == 0
+    index = latest.listing(raw["stock_prices"])
+    assert latest.first_day(index, 10) is None
