@@ -16,7 +16,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quotemill.llm.mixing import draw
@@ -27,7 +27,7 @@ UNKNOWN = "und"
 
 @dataclass(frozen=True)
 class Training:
-    """``docs_per_label`` labelled rows at most (by a hash of their key), each with
+    """``docs_per_label`` labelled rows at most (by a hash of key and text), each with
     ``windows_per_doc`` windows, are learned from; the sample is what the driver holds."""
 
     docs_per_label: int = 1_000
@@ -184,21 +184,24 @@ def sample(labelled: DataFrame, plan: Training, key: str, text: str, label: str)
     rows = labelled.select(
         F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"), F.col(f"`{label}`").alias("label")
     ).filter(F.col("label").isNotNull() & (F.length("text") > 0))
-    totals = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    labels = sorted(totals)
-    if not labels:
-        return np.zeros((0, plan.window), np.uint8), np.zeros(0, np.int64), labels
-    shares = F.create_map(*[F.lit(v) for l in labels for v in (l, plan.docs_per_label / totals[l])])
-    drawn = draw(F.col("key"), f"sample-{plan.seed}")
-    chosen = rows.filter(drawn / F.lit(2.0**52) < F.element_at(shares, F.col("label")))
+    # The draw goes by the text as well, so rows without a key, or with one key, are drawn like others;
+    # ranks are taken within tasks before rows meet, and the bound holds whatever repeats.
+    text_hash = F.xxhash64("text")
+    drawn = draw(F.concat_ws("|", F.col("key").cast("string"), text_hash.cast("string")), f"sample-{plan.seed}")
     n = F.greatest(F.length("text") - plan.window, F.lit(1))
     cuts = F.transform(
         F.sequence(F.lit(1), F.lit(plan.windows_per_doc)),
         lambda i: F.substring(F.col("text"), F.pmod(F.xxhash64("key", i), n).cast("int") + 1, F.lit(plan.window)),
     )
-    found = chosen.select("label", "key", cuts.alias("cuts")).collect()
-    found.sort(key=lambda r: (r["label"], str(r["key"]), r["cuts"]))
+    ranked = Window.partitionBy("label").orderBy("drawn", "hash")
+    drawn_rows = rows.select("label", drawn.alias("drawn"), text_hash.alias("hash"), cuts.alias("cuts"))
+    placed = drawn_rows.withColumn("rank", F.row_number().over(ranked))
+    found = placed.filter(F.col("rank") <= plan.docs_per_label).select("label", "rank", "cuts").collect()
+    found.sort(key=lambda r: (r["label"], r["rank"]))
+    labels = sorted({r["label"] for r in found})
     texts = [(c.encode(), labels.index(r["label"])) for r in found for c in r["cuts"] if c]
+    if not texts:
+        return np.zeros((0, plan.window), np.uint8), np.zeros(0, np.int64), labels
     x = np.stack([np.resize(np.frombuffer(t, np.uint8), plan.window) for t, _ in texts])
     return x, np.array([y for _, y in texts]), labels
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegralType, NumericType, StructType
 
 from quotemill.llm import tokens
 from quotemill.llm.staging import drop_stage, stage
@@ -139,6 +139,48 @@ class Decoder:
         return out
 
 
+class Layout:
+    """Which part a row goes to, so that parts follow one another in the order of keys, nulls first.
+
+    Borders only say how large parts are; keys are held against them as what they are, so the order
+    is that of whole 64-bit numbers. A key that takes several parts, and the null key, is spread
+    over them in the order of its ties.
+    """
+
+    def __init__(self, borders: np.ndarray, null_parts: int):
+        self.borders, self.null_parts = borders, null_parts
+        self.parts = null_parts + len(borders) + 1
+
+    def __call__(self, keys: pa.Array, ties: np.ndarray) -> np.ndarray:
+        null = keys.is_null().to_numpy(zero_copy_only=False)
+        values = keys.fill_null(0).to_numpy(zero_copy_only=False).astype(self.borders.dtype)
+        low = self.null_parts + np.searchsorted(self.borders, values, "left")
+        high = self.null_parts + np.searchsorted(self.borders, values, "right")
+        low, high = np.where(null, 0, low), np.where(null, max(0, self.null_parts - 1), high)
+        place = ties / 2.0**64 + 0.5
+        return low + np.minimum((place * (high - low + 1)).astype(np.int64), high - low)
+
+
+def _layout(coded: DataFrame, parts: int) -> Layout:
+    """Borders at about equal numbers of rows; they are counted from the least key, so that they lie
+    apart where all keys are large."""
+    whole = isinstance(coded.schema["key"].dataType, IntegralType)
+    if not whole and not isinstance(coded.schema["key"].dataType, NumericType):
+        raise TypeError("keys of token files are numbers")
+    least, nulls, rows = coded.agg(F.min("key"), F.count_if(F.col("key").isNull()), F.count(F.lit(1))).first()
+    kind = np.int64 if whole else np.float64
+    if least is None or parts == 1:
+        return Layout(np.zeros(0, kind), 0 if least is not None or parts == 1 else parts - 1)
+    null_parts = -(-parts * nulls // rows)
+    dated = max(1, parts - null_parts)
+    wide = "decimal(38,0)" if whole else "double"  # differences of 64-bit keys pass 64 bits
+    over = coded.select((F.col("key").cast(wide) - F.lit(least).cast(wide)).cast("double").alias("over"))
+    cuts = over.approxQuantile("over", [i / dated for i in range(1, dated)], 0.25 / dated) if dated > 1 else []
+    top = 2**63 - 1
+    borders = [min(top, int(least) + int(c)) for c in cuts] if whole else [float(least) + c for c in cuts]
+    return Layout(np.array(borders, kind), null_parts)
+
+
 SEGMENT = """part int, segment int, ids_before long, keys array<{key}>, sizes array<long>,
     bytes array<long>, checkpoints array<long>, payload binary"""
 
@@ -164,26 +206,18 @@ def write(
     spark.createDataFrame([(lengths.tolist(),)], "lengths array<int>").coalesce(1).write.parquet(f"{path}/code")
 
     parts = max(1, -(-int(counts.sum()) // PART_IDS))
-    borders: list[float] = []
-    if parts > 1:
-        borders = coded.approxQuantile("key", [i / parts for i in range(1, parts)], 0.25 / parts)
-    shared = spark.sparkContext.broadcast((canonical_codes(lengths), lengths, np.array(borders)))
+    layout = _layout(coded, parts)
+    shared = spark.sparkContext.broadcast((canonical_codes(lengths), lengths, layout))
     key_type = coded.schema["key"].dataType.simpleString()
 
     def encoded(tables: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes, lengths, borders = shared.value
+        codes, lengths, layout = shared.value
         for table in tables:
             for at in range(0, table.num_rows, 256):
                 part = table.slice(at, 256)
                 lists = [np.frombuffer(v.as_py(), kind) for v in part.column("ids")]
                 done = encode_ids(lists, codes, lengths)
-                keys = part.column("key").to_numpy(zero_copy_only=False).astype(np.float64)
-                low = np.searchsorted(borders, keys, "left")
-                high = np.searchsorted(borders, keys, "right")
-                # A key that takes several parts is spread over them, in the order of its ties.
-                tie = part.column("tie").to_numpy() / 2.0**64 + 0.5
-                to = low + np.minimum((tie * (high - low + 1)).astype(np.int64), high - low)
-                to = np.where(np.isnan(keys), 0, to)
+                to = layout(part.column("key"), part.column("tie").to_numpy())
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("key"),
@@ -233,7 +267,8 @@ def write(
     bits = coded.mapInArrow(
         encoded, f"key {key_type}, tie long, part int, size long, payload binary, marks array<long>"
     )
-    ordered = bits.repartition(parts, "part").sortWithinPartitions("part", F.col("key").asc_nulls_first(), "tie")
+    # A partition is a part: its number is where it goes.
+    ordered = bits.repartitionById(layout.parts, F.col("part")).sortWithinPartitions("part", F.col("key").asc_nulls_first(), "tie")
     ordered.mapInArrow(segments, segment_schema).write.option("compression", "zstd").parquet(f"{path}/segments")
     drop_stage(coded)
 

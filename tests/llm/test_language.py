@@ -90,3 +90,18 @@ def test_sample_is_bounded(spark):
     x, y, labels = language.sample(table(spark, bilingual(2000)), plan, "doc_id", "text", "lang")
     assert labels == ["xx", "yy"] and x.shape[1] == plan.window
     assert 20 <= len(x) <= 160
+
+
+@pytest.mark.parametrize("key", [None, 7])
+def test_sample_of_rows_that_share_a_key(spark, key):
+    """Rows without an id, or with one, are drawn by their texts: neither none of them nor all."""
+    rows = [(key, f"{'la casa ' if i % 2 else 'the house '}{i}", "es" if i % 2 else "en") for i in range(5_000)]
+    rows += [(key, "the same row", "en")] * 3_000
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    plan = language.Training(docs_per_label=200)
+    x, y, labels = language.sample(df, plan, "doc_id", "text", "lang")
+    assert labels == ["en", "es"] and len(x) == len(y)
+    for n in (sum(y == 0), sum(y == 1)):
+        assert 200 <= n <= 200 * plan.windows_per_doc
+    again = language.sample(df.repartition(7), plan, "doc_id", "text", "lang")
+    assert (again[0] == x).all() and (again[1] == y).all()

@@ -160,6 +160,35 @@ def test_files_round_trip(spark, tmp_path, monkeypatch):
     assert stored.count() > 5 and stored.select("part").distinct().count() > 1
 
 
+@pytest.mark.parametrize(
+    "keys",
+    [
+        [2**60 + 7 * i for i in range(400)],
+        [2**63 - 1 - i for i in range(200)] + [-(2**63) + i for i in range(200)],
+        [None] * 400,
+        [None] * 250 + [5] * 150,
+        [2**62] * 400,
+    ],
+)
+def test_files_keep_the_order_of_all_keys(spark, tmp_path, monkeypatch, keys):
+    """64-bit keys that doubles cannot tell apart, and keys and nulls that fill several parts."""
+    monkeypatch.setattr(token_files, "PART_IDS", 300)
+    rows = [(k, f"stone {i}", "en", "web", 0) for i, k in enumerate(keys)]
+    path = str(tmp_path / "files")
+    token_files.write(table(spark, rows), path, CONFIG, end_id=1)
+    got = sorted((tuple(r) for r in token_files.read(spark, path).collect()), key=lambda r: r[1])
+    found = [r[0] for r in got]
+    assert found == sorted(keys, key=lambda k: (k is not None, k or 0))
+    assert [r[1] for r in got] == list(itertools.accumulate([0] + [r[2] for r in got]))[:-1]
+    sizes = spark.read.parquet(path + "/segments").groupBy("part").agg({"segment": "count"}).count()
+    assert sizes > 2
+
+
+def test_files_need_numbers_as_keys(spark, tmp_path):
+    with pytest.raises(TypeError):
+        token_files.write(spark.createDataFrame([("a", "x")], "doc_id string, text string"), str(tmp_path / "f"), CONFIG, end_id=1)
+
+
 def test_files_of_an_empty_table(spark, tmp_path):
     token_files.write(table(spark, []), str(tmp_path / "none"), CONFIG, end_id=1)
     assert token_files.read(spark, str(tmp_path / "none")).count() == 0
