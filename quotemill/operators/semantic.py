@@ -8,47 +8,148 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-Measure = Callable[[], Column]
 GRAINS = ("day", "week", "month", "quarter", "year")
 
 
-def mean(column: str) -> Measure:
+class Measure:
+    """An aggregate over rows, and the same by way of states that merge.
+
+    ``states`` are formed from rows, ``merged`` from states of the same names, and ``result`` reads
+    them. ``states`` of some rows, merged with those of others, are the states of both.
+    """
+
+    def __call__(self) -> Column:
+        raise NotImplementedError
+
+    def states(self) -> dict[str, Column]:
+        raise NotImplementedError
+
+    def merged(self, state: Callable[[str], Column]) -> dict[str, Column]:
+        """Sums, unless a measure says otherwise."""
+        return {name: F.sum(state(name)) for name in self.states()}
+
+    def result(self, state: Callable[[str], Column]) -> Column:
+        raise NotImplementedError
+
+
+@dataclass(frozen=True)
+class Mean(Measure):
     """Average as sum over count: whole and decimal columns are summed exactly."""
-    return lambda: F.try_divide(F.sum(column).cast("double"), F.count(column))
 
+    value: Callable[[], Column]
 
-def mean_of(value: Callable[[], Column]) -> Measure:
-    return lambda: F.avg(value())
+    def __call__(self):
+        return F.try_divide(F.sum(self.value()).cast("double"), F.count(self.value()))
 
+    def states(self):
+        return {"sum": F.sum(self.value()), "n": F.count(self.value())}
 
-def high(column: str) -> Measure:
-    return lambda: F.max(column)
+    def result(self, state):
+        return F.try_divide(state("sum").cast("double"), state("n"))
 
 
-def low(column: str) -> Measure:
-    return lambda: F.min(column)
+@dataclass(frozen=True)
+class Extreme(Measure):
+    column: str
+    function: Callable[[Column], Column]
 
+    def __call__(self):
+        return self.function(F.col(self.column))
 
-def spread(column: str) -> Measure:
-    return lambda: F.stddev_samp(column)
+    def states(self):
+        return {"value": self()}
 
+    def merged(self, state):
+        return {"value": self.function(state("value"))}
 
-def rows() -> Measure:
-    return lambda: F.count(F.lit(1))
+    def result(self, state):
+        return state("value")
 
 
 @dataclass(frozen=True)
-class Distinct:
-    """Number of different values, exact unless the query asks for an approximation."""
+class Spread(Measure):
+    """Sample standard deviation; its states are count, mean and squared distance from the mean."""
 
     column: str
 
-    def __call__(self) -> Column:
+    def __call__(self):
+        return F.stddev_samp(self.column)
+
+    def states(self):
+        n = F.count(self.column)
+        return {"n": n, "mean": F.avg(self.column).cast("double"), "apart": (F.var_pop(self.column) * n).cast("double")}
+
+    def merged(self, state):
+        n, mean = state("n"), state("mean")
+        total = F.sum(n * mean)
+        between = F.sum(n * mean * mean) - F.try_divide(total * total, F.sum(n))
+        return {"n": F.sum(n), "mean": F.try_divide(total, F.sum(n)), "apart": F.sum(state("apart")) + between}
+
+    def result(self, state):
+        return F.when(state("n") > 1, F.sqrt(F.greatest(state("apart"), F.lit(0.0)) / (state("n") - 1)))
+
+
+@dataclass(frozen=True)
+class Rows(Measure):
+    def __call__(self):
+        return F.count(F.lit(1))
+
+    def states(self):
+        return {"n": self()}
+
+    def result(self, state):
+        return state("n")
+
+
+@dataclass(frozen=True)
+class Distinct(Measure):
+    """Number of different values, exact unless the query asks for an approximation.
+
+    Its state is a sketch of at most some 4,096 counters: exact in practice for some hundreds of
+    values, within about two percent beyond.
+    """
+
+    column: str
+
+    def __call__(self):
         return F.countDistinct(self.column)
 
     def approximate(self) -> Column:
         return F.approx_count_distinct(self.column)
 
+    def states(self):
+        return {"sketch": F.hll_sketch_agg(self.column, F.lit(12))}
+
+    def merged(self, state):
+        return {"sketch": F.hll_union_agg(state("sketch"))}
+
+    def result(self, state):
+        return F.coalesce(F.hll_sketch_estimate(state("sketch")), F.lit(0).cast("long"))
+
+
+def mean(column: str) -> Measure:
+    return Mean(lambda: F.col(column))
+
+
+def mean_of(value: Callable[[], Column]) -> Measure:
+    return Mean(value)
+
+
+def high(column: str) -> Measure:
+    return Extreme(column, F.max)
+
+
+def low(column: str) -> Measure:
+    return Extreme(column, F.min)
+
+
+def spread(column: str) -> Measure:
+    return Spread(column)
+
+
+def rows() -> Measure:
+    return Rows()
+
 
 @dataclass(frozen=True)
 class Model:
@@ -278,3 +379,52 @@ def _measure(spec: Model, name: str, approximate: bool) -> Column:
     if approximate and isinstance(measure, Distinct):
         return measure.approximate()
     return measure()
+
+
+# ---------------------------------------------------------------------------
+# Rollups
+# ---------------------------------------------------------------------------
+
+#: Grains that whole months make up.
+COARSER = ("month", "quarter", "year")
+
+
+def rollup(table: DataFrame, model: str, dimensions: Sequence[str]) -> DataFrame:
+    """States of all measures of a model per combination of dimensions and month.
+
+    The month is in the time dimension. A column ``measure__part`` holds a part of a state.
+    """
+    spec = MODELS[model]
+    if spec.time_dimension in dimensions or set(dimensions) - set(spec.dimensions):
+        raise ValueError(f"dimensions of a rollup are those of {model!r} but for its time")
+    month = F.trunc(spec.time_dimension, "month").alias(spec.time_dimension)
+    states = {f"{name}__{part}": c for name, m in spec.measures.items() for part, c in m.states().items()}
+    return table.groupBy(*dimensions, month).agg(*[c.alias(name) for name, c in states.items()])
+
+
+def from_rollup(
+    rolled: DataFrame,
+    model: str,
+    dimensions: Sequence[str] = (),
+    measures: Sequence[str] = (),
+    time_grain: str = "month",
+) -> DataFrame:
+    """What ``query`` gives for these dimensions and measures, from the stored states of months.
+
+    ``dimensions`` may be any of the rollup's, with the time dimension or without. Distinct counts
+    are estimates of sketches; all others are equal up to the order of floating-point sums.
+    """
+    spec = MODELS[model]
+    missing = [d for d in dimensions if d not in rolled.columns]
+    missing += [m for m in measures if m not in spec.measures or not any(c.startswith(f"{m}__") for c in rolled.columns)]
+    if missing:
+        raise ValueError(f"the rollup has no {', '.join(missing)}")
+    if time_grain not in COARSER:
+        raise ValueError(f"time_grain must be one of {COARSER}")
+    coarse = F.trunc(spec.time_dimension, time_grain)
+    of = lambda name: lambda part: F.col(f"{name}__{part}")
+    merged = [
+        c.alias(f"{name}__{part}") for name in measures for part, c in spec.measures[name].merged(of(name)).items()
+    ]
+    grouped = rolled.withColumn(spec.time_dimension, coarse).groupBy(*dimensions).agg(*merged)
+    return grouped.select(*dimensions, *[spec.measures[name].result(of(name)).alias(name) for name in measures])

@@ -664,6 +664,25 @@ def _queries() -> dict[str, str]:
             "FROM technical_scores) GROUP BY month",
             "technical_scores",
         ),
+        "rollup_technical": select(
+            " UNION ALL ".join(
+                f"""SELECT date, {TECHNICAL}, '{grain}' AS grain FROM (
+                    SELECT * REPLACE (CAST(date_trunc('{grain}', date) AS DATE) AS date) FROM technical_scores) GROUP BY date"""
+                for grain in ("month", "quarter", "year")
+            ),
+            "technical_scores",
+        ),
+        "rollup_price": select(
+            """SELECT sector, CAST(NULL AS VARCHAR) AS ticker, CAST(NULL AS DATE) AS date, max(close) AS latest_close,
+                min(drawdown_pct) AS max_drawdown, count(DISTINCT ticker) AS ticker_count, count(*) AS observation_count,
+                round(avg(CASE WHEN daily_return > 0 THEN 1 WHEN daily_return <= 0 THEN 0 END), 6) AS positive_return_rate
+            FROM performance GROUP BY sector
+            UNION ALL
+            SELECT NULL, ticker, CAST(date_trunc('year', date) AS DATE), max(close), min(drawdown_pct), count(DISTINCT ticker),
+                count(*), round(avg(CASE WHEN daily_return > 0 THEN 1 WHEN daily_return <= 0 THEN 0 END), 6)
+            FROM performance GROUP BY ALL""",
+            "performance",
+        ),
         "sem_fundamental": select(
             f"SELECT fiscal_year, {FUNDAMENTAL} FROM fundamental_scores GROUP BY fiscal_year", "fundamental_scores"
         ),

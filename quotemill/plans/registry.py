@@ -24,7 +24,7 @@ from quotemill.operators import (
     scoring,
     state,
 )
-from quotemill.operators.semantic import MODELS, query
+from quotemill.operators.semantic import COARSER, MODELS, from_rollup, query, rollup
 from quotemill.operators.timeline import Split
 from quotemill.operators.topk import latest_k
 from quotemill.plans import incremental, latest, screens
@@ -864,6 +864,34 @@ def sem_technical_monthly(spark, folder):
     return _all_measures(spark, folder, "technical_scores", ["date"], time_grain="month")
 
 
+@registered
+def rollup_technical(spark, folder):
+    """All measures by month, quarter and year, merged from one stored rollup per ticker and month."""
+    tables, model = _warehouse(spark), "technical_scores"
+    rolled = _stored(tables, "rollups/technical", rollup(marts(spark, folder).technical_scores, model, ["ticker"]))
+    measures = list(MODELS[model].measures)
+    found = [
+        from_rollup(rolled, model, ["date"], measures, grain).withColumn("grain", F.lit(grain)) for grain in COARSER
+    ]
+    inexact = [m for m in measures if m.startswith(("avg_", "std_"))]
+    return rounded(reduce(DataFrame.unionByName, found), 6, *inexact)
+
+
+@registered
+def rollup_price(spark, folder):
+    """Measures of price performance by sector, and by ticker and year, from one stored rollup."""
+    tables, model = _warehouse(spark), "price_performance"
+    table = marts(spark, folder).price_performance
+    rolled = _stored(tables, "rollups/price", rollup(table, model, ["ticker", "sector"]))
+    measures = ["latest_close", "max_drawdown", "ticker_count", "observation_count", "positive_return_rate"]
+    by_sector = from_rollup(rolled, model, ["sector"], measures).withColumn("ticker", F.lit(None).cast("string"))
+    by_year = from_rollup(rolled, model, ["ticker", "date"], measures, "year")
+    both = by_sector.withColumn("date", F.lit(None).cast("date")).unionByName(
+        by_year.withColumn("sector", F.lit(None).cast("string"))
+    )
+    return rounded(both, 6, "positive_return_rate")
+
+
 @registered
 def sem_fundamental(spark, folder):
     return _all_measures(spark, folder, "fundamental_scores", ["fiscal_year"])

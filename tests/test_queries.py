@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quotemill.operators import companies, merge, quality
-from quotemill.operators.semantic import MODELS, query
+from quotemill.operators.semantic import MODELS, from_rollup, query, rollup
 from quotemill.operators.topk import latest_k
 from quotemill import schemas
 from quotemill.plans import latest, screens
@@ -301,6 +301,57 @@ def test_every_model_is_described():
         describe("none")
 
 
+@pytest.mark.parametrize("grain", ["month", "quarter", "year"])
+def test_rollups_merge_to_the_direct_results(spark, grain):
+    """All measures of a model, from states of months, by several sets of dimensions."""
+    rows = spark.range(3000).select(
+        (F.col("id") % 7).cast("string").alias("ticker"),
+        F.concat(F.lit("n"), F.col("id") % 7).alias("company_name"),
+        F.when(F.col("id") % 7 < 5, F.concat(F.lit("s"), F.col("id") % 2)).alias("sector"),
+        F.lit("i").alias("industry"),
+        F.date_add(F.lit("2022-11-20").cast("date"), (F.col("id") % 600).cast("int")).alias("date"),
+        *[
+            F.when((F.col("id") * k) % 11 > 0, ((F.col("id") * k) % 101 - 40) / 10).alias(name)
+            for k, name in enumerate(
+                """close daily_return cumulative_return rolling_30d_return rolling_90d_return rolling_1y_return
+                rolling_30d_volatility drawdown_pct""".split(), 3
+            )
+        ],
+    )
+    tables, model = {"price_performance": rows}, "price_performance"
+    rolled = rollup(rows, model, ["ticker", "sector"]).cache()
+    measures = list(MODELS[model].measures)
+    for dimensions in ([], ["sector"], ["date"], ["ticker", "date"]):
+        direct = query(tables, model, dimensions, measures, time_grain=grain).collect()
+        merged = from_rollup(rolled, model, dimensions, measures, grain).collect()
+        key = lambda r: repr([r[d] for d in dimensions])
+        expected = {key(r): r for r in direct}
+        assert len(merged) == len(direct) and {key(r) for r in merged} == set(expected)
+        for row in merged:
+            for name in measures:
+                assert row[name] == pytest.approx(expected[key(row)][name], rel=1e-9, abs=1e-9), name
+
+
+def test_spread_of_rollups(spark):
+    rows = spark.range(500).selectExpr(
+        "string(id % 3) AS ticker", "date_add(date'2024-01-01', int(id % 90)) AS date", "int(id * 37 % 101) AS technical_score",
+        "1 AS trend_score", "2 AS momentum_score", "3 AS price_action_score", "4 AS macd_score"
+    ).unionByName(spark.sql("SELECT 'x' AS ticker, date'2024-01-01' AS date, 5 AS technical_score, 1 AS trend_score, 2 AS momentum_score, 3 AS price_action_score, 4 AS macd_score"))
+    measures = ["std_technical_score", "avg_technical_score", "ticker_count"]
+    rolled = rollup(rows, "technical_scores", ["ticker"])
+    direct = {r["ticker"]: r for r in query({"technical_scores": rows}, "technical_scores", ["ticker"], measures).collect()}
+    for row in from_rollup(rolled, "technical_scores", ["ticker"], measures).collect():
+        for name in measures:
+            assert row[name] == pytest.approx(direct[row["ticker"]][name])
+    assert direct["x"]["std_technical_score"] is None
+    with pytest.raises(ValueError):
+        from_rollup(rolled, "technical_scores", ["ticker"], measures, "week")
+    with pytest.raises(ValueError):
+        rollup(rows, "technical_scores", ["date"])
+    with pytest.raises(ValueError):
+        from_rollup(rolled, "technical_scores", ["sector"], measures)
+
+
 LATEST = {
     "strong_now": latest.SCORE_ROWS,
     "momentum_leaders": latest.SCORE_ROWS,
