@@ -184,8 +184,7 @@ def sample(labelled: DataFrame, plan: Training, key: str, text: str, label: str)
     rows = labelled.select(
         F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"), F.col(f"`{label}`").alias("label")
     ).filter(F.col("label").isNotNull() & (F.length("text") > 0))
-    # The draw goes by the text as well, so rows without a key, or with one key, are drawn like others;
-    # ranks are taken within tasks before rows meet, and the bound holds whatever repeats.
+    # The draw goes by the text as well, so rows without a key, or with one key, are drawn like others.
     text_hash = F.xxhash64("text")
     drawn = draw(F.concat_ws("|", F.col("key").cast("string"), text_hash.cast("string")), f"sample-{plan.seed}")
     n = F.greatest(F.length("text") - plan.window, F.lit(1))
@@ -193,15 +192,22 @@ def sample(labelled: DataFrame, plan: Training, key: str, text: str, label: str)
         F.sequence(F.lit(1), F.lit(plan.windows_per_doc)),
         lambda i: F.substring(F.col("text"), F.pmod(F.xxhash64("key", i), n).cast("int") + 1, F.lit(plan.window)),
     )
-    ranked = Window.partitionBy("label").orderBy("drawn", "hash")
     drawn_rows = rows.select("label", drawn.alias("drawn"), text_hash.alias("hash"), cuts.alias("cuts"))
-    placed = drawn_rows.withColumn("rank", F.row_number().over(ranked))
+    totals = drawn_rows.groupBy("label").agg(F.count("*").alias("n"), F.min("drawn").alias("least")).collect()
+    if not totals:
+        return np.zeros((0, plan.window), np.uint8), np.zeros(0, np.int64), []
+    # Twice the share that is wanted, and the least draw at any rate, so no label is without a row;
+    # copies of a row, which share their draw, are one. What is left to rank is a bounded sample.
+    share = {r["label"]: min(1.0, 2 * plan.docs_per_label / r["n"]) for r in totals}
+    most = [(F.lit(r["label"]), F.lit(max(r["least"], int(share[r["label"]] * 2**52))).cast("long")) for r in totals]
+    limit = F.element_at(F.create_map(*[c for pair in most for c in pair]), F.col("label"))
+    few = drawn_rows.filter(F.col("drawn") <= limit).dropDuplicates(["label", "drawn", "hash"])
+    ranked = Window.partitionBy("label").orderBy("drawn", "hash")
+    placed = few.withColumn("rank", F.row_number().over(ranked))
     found = placed.filter(F.col("rank") <= plan.docs_per_label).select("label", "rank", "cuts").collect()
     found.sort(key=lambda r: (r["label"], r["rank"]))
     labels = sorted({r["label"] for r in found})
     texts = [(c.encode(), labels.index(r["label"])) for r in found for c in r["cuts"] if c]
-    if not texts:
-        return np.zeros((0, plan.window), np.uint8), np.zeros(0, np.int64), labels
     x = np.stack([np.resize(np.frombuffer(t, np.uint8), plan.window) for t, _ in texts])
     return x, np.array([y for _, y in texts]), labels
 
