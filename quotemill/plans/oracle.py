@@ -495,6 +495,16 @@ def _queries() -> dict[str, str]:
             FROM monthly WHERE date < DATE '{MONTHS[0]}' OR date >= DATE '{MONTHS[1]}'""",
             "monthly",
         ),
+        "job_news_backfill": f"""SELECT CAST(doc_id % 10 AS VARCHAR) AS ticker, 'doc/' || doc_id AS article_id,
+                CASE WHEN lang = 'en' THEN DATE '{NEWS_DATES[0]}' ELSE DATE '{NEWS_DATES[1]}' END AS date, lang
+            FROM documents WHERE doc_id % 10 IN (SELECT s_suppkey FROM supplier)""",
+        "staged_views": bars("SELECT ticker, date, close, volume FROM bars WHERE volume >= 60"),
+        "exposed_marts": select(
+            """SELECT 'technical_scores' AS name, count(*) AS "rows" FROM technical_scores
+            UNION ALL SELECT 'fundamental_scores', count(*) FROM fundamental_scores
+            UNION ALL SELECT unnest(['composite_scores', 'industry_scores', 'price_performance']), NULL""",
+            "technical_scores", "fundamental_scores",
+        ),
         "table_range_atomic": select(
             f"""SELECT ticker, date, volume, 1 AS version, 'before' AS seen FROM monthly
             UNION ALL

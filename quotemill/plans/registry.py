@@ -27,9 +27,9 @@ from quotemill.operators import (
 from quotemill.operators.semantic import COARSER, MODELS, from_rollup, query, rollup
 from quotemill.operators.timeline import Split
 from quotemill.operators.topk import latest_k
-from quotemill.plans import incremental, latest, screens
+from quotemill.plans import build, incremental, latest, screens
 from quotemill.plans.ingest import JOBS, ingest, ingest_constituents
-from quotemill.plans.marts import Marts
+from quotemill.plans.marts import Marts, create_views
 from quotemill.session import scratch_folder, tune
 from quotemill.sources import adapters, feeds
 from quotemill.sources.tables import Tables
@@ -704,6 +704,40 @@ def checked_write(spark, folder):
     )
 
 
+@registered
+def job_news_backfill(spark, folder):
+    """News of a lookback through their job: a range of days replaced, text lists kept as variants."""
+    tables, root, run_date = _warehouse(spark), _landed(spark), adapters.NEWS_DATES[1]
+    members = adapters.constituents(spark, folder).drop("s_acctbal")
+    members.write.option("header", True).csv(f"{root}/constituents/{run_date}")
+    ingest_constituents(tables, root, run_date)
+    payloads = _news_payloads(spark, folder)
+    line = F.to_json(F.struct(*payloads.columns)).alias("line")
+    payloads.select(line).write.text(f"{root}/{JOBS['news_backfill'].feed}/{run_date}")
+    ingest(tables, root, "news_backfill", run_date, lookback_days=1)
+    language = F.try_variant_get("keywords", "$[0]", "string")
+    return tables.read("raw/news_backfill").select("ticker", "article_id", "date", language.alias("lang"))
+
+
+@registered
+def staged_views(spark, folder):
+    """A staging view asked in SQL."""
+    create_views(Raw(spark, folder), ["stock_prices"])
+    return spark.sql("SELECT ticker, date, close, volume FROM stg_stock_prices WHERE volume >= 60")
+
+
+@registered
+def exposed_marts(spark, folder):
+    """Marts open to semantic queries that load, with their rows; those that do not have none."""
+    tables, built, warnings = _warehouse(spark), marts(spark, folder), []
+    for name in ("technical_scores", "fundamental_scores"):
+        tables.overwrite(build.MODELS[name].path, getattr(built, name))
+    loaded = build.exposed(tables, warnings.append)
+    counts = [df.agg(F.count("*").alias("rows")).select(F.lit(name).alias("name"), "rows") for name, df in loaded.items()]
+    skipped = [counts[0].select(F.lit(w.split()[3].rstrip(":")).alias("name"), F.lit(None).cast("long").alias("rows")) for w in warnings]
+    return reduce(DataFrame.unionByName, counts + skipped)
+
+
 @registered
 def table_variants(spark, folder):
     tables = _warehouse(spark)
