@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from quotemill.functions.scalars import as_date
 
 BROADCAST_MEMBERS = 100_000  # members that every task may hold; beyond, the join is shuffled
+BROADCAST_COMPANIES = 500_000  # companies with their names that every task may hold
 
 # Names the membership table takes in the models.
 SNAPSHOT_NAMES = {
@@ -74,6 +75,17 @@ def in_universe(
     return shared.join(copies.select(key), "_key", "left_semi").select(*rows.columns)
 
 
+def named(companies: DataFrame) -> DataFrame:
+    """Ticker, name, sector and industry of ``companies``, to be joined with daily rows.
+
+    They are counted. Up to ``BROADCAST_COMPANIES`` are broadcast, so the daily rows are not
+    shuffled for them; beyond, the join is left to the planner.
+    """
+    names = companies.select("ticker", "company_name", "sector", "industry")
+    few = names.select("ticker").limit(BROADCAST_COMPANIES + 1).count() <= BROADCAST_COMPANIES
+    return F.broadcast(names) if few else names
+
+
 def with_company(rows: DataFrame, companies: DataFrame) -> DataFrame:
     """Company name, sector and industry of each ticker; NULL for tickers that left the index."""
     return rows.join(companies.select("ticker", "company_name", "sector", "industry"), "ticker", "left")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quotemill.functions.tiers import exact
-from quotemill.operators.companies import with_company
+from quotemill.operators.companies import named, with_company
 
 # Weight of the technical and of the fundamental score.
 WEIGHTS = {
@@ -89,7 +89,7 @@ def composite_scores(technical: DataFrame, fundamental: DataFrame, matching: str
 
 def industry_scores(composite: DataFrame, companies: DataFrame) -> DataFrame:
     """Composite scores with company, sector and industry."""
-    return with_company(composite, companies).select(
+    return with_company(composite, named(companies)).select(
         "ticker",
         "company_name",
         "sector",
@@ -106,5 +106,5 @@ def industry_scores(composite: DataFrame, companies: DataFrame) -> DataFrame:
 
 def price_performance(returns: DataFrame, companies: DataFrame) -> DataFrame:
     """Returns, volatility and drawdown with company, sector and industry."""
-    enriched = with_company(returns, companies)
+    enriched = with_company(returns, named(companies))
     return enriched.select(*returns.columns, "company_name", "sector", "industry")

@@ -27,6 +27,11 @@ from quotemill.sources.manifests import ALL, NO_DAY, Commit, Files, History, Man
 
 Day = str | dt.date
 
+#: Rows of a batch whose keys every task may hold while a table is merged.
+BROADCAST_KEYS = 1_000_000
+#: Codec of the tables' files.
+CODEC = "zstd"
+
 
 class NoTable(LookupError):
     """There is no such table, or no such version of it."""
@@ -176,6 +181,8 @@ class Tables:
         """Replace the rows whose keys are in the batch, and add the batch.
 
         Only the days that the batch has are read and written. Rows with a NULL key match nothing.
+        The keys of up to ``BROADCAST_KEYS`` new rows are broadcast, so the rows that stay are not
+        shuffled; beyond, the join is left to the planner.
         """
         if partition is not None and partition not in keys:
             raise ValueError(f"the keys must include the partition column {partition!r}")
@@ -189,7 +196,10 @@ class Tables:
             return True
         added = self._rows(table, Manifest(0, partition, batch.schema, {}), {name: commit}, None)
         there = held.without(held.parts().keys() - touched)
-        left = self._rows(table, there, there.commits, None).join(added.select(*keys), list(keys), "left_anti")
+        gone = added.select(*keys)
+        if commit.metrics["rows"] <= BROADCAST_KEYS:
+            gone = F.broadcast(gone)
+        left = self._rows(table, there, there.commits, None).join(gone, list(keys), "left_anti")
         rest, kept = self._write(left, table, partition)
         self._publish(table, held.without(touched).plus({name: commit, rest: kept}))
         return True
@@ -236,11 +246,11 @@ class Tables:
         watched = rows.observe(seen, *[measure.alias(key) for key, measure in measures.items()])
         try:
             if partition is None:
-                watched.write.parquet(folder)
+                watched.write.option("compression", CODEC).parquet(folder)
             else:
                 sort = [c for c in (partition, "ticker") if c in rows.columns]
                 even = watched.hint("rebalance", F.col(partition)).sortWithinPartitions(*sort)
-                even.write.partitionBy(partition).parquet(folder)
+                even.write.option("compression", CODEC).partitionBy(partition).parquet(folder)
             metrics = self._measured(seen, measures, folder, rows.schema)
             days = tuple([ALL] if metrics["rows"] else [])
             if partition is not None:

@@ -398,3 +398,15 @@ def test_latest_day_without_bars(spark):
     assert screens.strong_now(latest.latest(raw).exposed()).count() == 0
     index = latest.listing(raw["stock_prices"])
     assert latest.first_day(index, 10) is None
+
+
+def test_daily_rows_are_not_shuffled_for_few_companies(spark, hot, small_thresholds, monkeypatch):
+    from quotemill.operators import composite
+
+    names = spark.createDataFrame([("HOT", "n", "s", "i")], "ticker string, company_name string, sector string, industry string")
+    joined = composite.price_performance(hot, names)
+    assert shuffles(joined) == 0
+    assert joined.filter("sector = 's'").count() == 20_000 and joined.count() == 60_000
+    monkeypatch.setattr(companies, "BROADCAST_COMPANIES", 0)
+    beyond = composite.price_performance(hot, names)
+    assert shuffles(beyond) > 0 and beyond.filter("sector = 's'").count() == 20_000

@@ -296,3 +296,27 @@ def test_nulls_are_known_without_reading(spark, tables):
 def test_dates_are_pruned(spark, tables):
     plan = tables.read("raw/t").filter("date >= '2024-01-03'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(date" in plan
+
+
+def test_rows_that_stay_in_a_merge_are_not_shuffled(spark, tmp_path, monkeypatch):
+    tables, plans = Tables(spark, str(tmp_path)), []
+    tables.overwrite("raw/t", frame(spark, ("A", 1.0, "2024-01-01"), ("B", 2.0, "2024-01-02"), (None, 3.0, "2024-01-03")))
+    write = tables._write
+
+    def watched(rows, *args):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return write(rows, *args)
+
+    monkeypatch.setattr(tables, "_write", watched)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for value in (20.0, 30.0):
+            batch = frame(spark, ("B", value, "2024-01-02"), (None, 4.0, "2024-01-03"))
+            tables.delete_insert("raw/t", batch, ["ticker", "date"], None)
+            monkeypatch.setattr("quotemill.sources.tables.BROADCAST_KEYS", 0)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "Exchange hashpartitioning" not in plans[1] and "Exchange hashpartitioning" in plans[3]
+    kept = sorted((str(r["ticker"]), r["close"]) for r in tables.read("raw/t").collect())
+    assert kept == [("A", 1.0), ("B", 30.0), ("None", 3.0), ("None", 4.0), ("None", 4.0)]
