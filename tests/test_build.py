@@ -200,3 +200,13 @@ def test_state_is_made_anew_when_closed_days_change(spark, tmp_path):
     for day in SPARSE[9:]:
         state = closed(day + dt.timedelta(days=1))
     assert sorted(map(repr, state.collect())) == sorted(map(repr, history_state(tables.read("raw/p")).collect()))
+
+
+def test_thin_tickers_get_the_months_they_need_only(spark, monkeypatch):
+    days = [dt.date(2020, 1, 15) + dt.timedelta(days=31 * k) for k in range(48)]
+    rows = [("thin", d) for d in days] + [("one", days[0]), ("one", days[47])]
+    df = spark.createDataFrame(rows, "ticker string, date date")
+    for bound in (10, 0):
+        monkeypatch.setattr("quotemill.operators.merge.BROADCAST_KEYS", bound)
+        recent = sorted((r["ticker"], r["date"]) for r in recent_rows(df, days[47], rows=5, days=70, whole=False).collect())
+        assert recent == sorted([("thin", d) for d in days[42:]] + [("one", days[0]), ("one", days[47])])
