@@ -49,6 +49,8 @@ BLOCK_SHINGLES = 1 << 21
 BIN_SHINGLES = 1 << 20
 #: Members of a block's largest class that are held against those of the next block.
 ENVOYS = 32
+#: Edges whose components a task finds.
+STAR_EDGES = 1_000_000
 #: Keys whose sets are looked up by broadcast; beyond, by a shuffled join.
 BROADCAST_KEYS = 1_000_000
 
@@ -525,15 +527,48 @@ def _region_links(sets: DataFrame, bins: int, join: Join) -> DataFrame:
     return links.unionByName(_against(outside, large, join))
 
 
+def _star_forest(table: pa.Table) -> pa.Table:
+    """The components of some edges (u, v) as stars: an edge from every other key to the smallest."""
+    u, v = (table[c].to_numpy() for c in "uv")
+    keys, ends = np.unique(np.concatenate([u, v]), return_inverse=True)
+    left, right = ends[: len(u)], ends[len(u) :]
+    root = np.arange(len(keys))
+    while True:
+        a, b = root[left], root[right]
+        apart = a != b
+        if not apart.any():
+            break
+        left, right, a, b = left[apart], right[apart], a[apart], b[apart]
+        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+        while len(np.nonzero(root[root] != root)[0]):
+            root = root[root]
+    other = np.nonzero(root != np.arange(len(keys)))[0]
+    return pa.table({"u": pa.array(keys[other], pa.int64()), "v": pa.array(keys[root[other]], pa.int64())})
+
+
 def connected(links: DataFrame) -> DataFrame:
     """(key, root) of all keys in ``links`` (a, b): the root is the smallest key reachable.
 
-    Large and small stars in turn: every key tells its larger, then its smaller neighbours the
-    smallest key it knows, until nothing changes. Minima are aggregates, so no key's neighbours are
-    gathered; each round is written down.
+    Parts of at most about ``STAR_EDGES`` edges become stars first, a part a task. One part is all;
+    of several, large and small stars follow in turn: every key tells its larger, then its smaller
+    neighbours the smallest key it knows, until nothing changes. Minima are aggregates, so no key's
+    neighbours are gathered; each round is written down.
     """
     a, b = F.least("a", "b"), F.greatest("a", "b")
     edges = stage(links.filter("a <> b").select(b.alias("u"), a.alias("v")).distinct(), "edges")
+    parts = edges.count() // STAR_EDGES + 1
+    place = F.pmod(F.xxhash64("u", "v"), F.lit(parts))
+    edges = stage(edges.groupBy(place).applyInArrow(_star_forest, "u long, v long"), "edges")
+    if parts > 1:
+        edges = _starred(edges)
+    roots = edges.groupBy(F.col("u").alias("key")).agg(F.min("v").alias("root"))
+    itself = edges.select(F.col("v").alias("key"), F.col("v").alias("root")).distinct()
+    return roots.unionByName(itself)
+
+
+def _starred(edges: DataFrame) -> DataFrame:
+    """Edges (u, v), u > v, as stars around the smallest key of each component."""
+    edges = stage(edges.distinct(), "edges")
 
     def mark(e: DataFrame):
         return tuple(e.select(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
@@ -552,9 +587,7 @@ def connected(links: DataFrame) -> DataFrame:
         if after == state:
             break
         state = after
-    roots = edges.groupBy(F.col("u").alias("key")).agg(F.min("v").alias("root"))
-    itself = edges.select(F.col("v").alias("key"), F.col("v").alias("root")).distinct()
-    return roots.unionByName(itself)
+    return edges
 
 
 def classes(docs: DataFrame, join: Join = Join(), key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -116,3 +116,19 @@ def test_connected(spark):
     roots = {r["key"]: r["root"] for r in ngram_join.connected(links).collect()}
     assert roots == {**{i: 0 for i in range(61)}, **{i: 100 for i in range(100, 131)}}
     assert ngram_join.connected(links.limit(0)).count() == 0
+
+
+def test_connected_in_parts_and_in_one(spark, monkeypatch):
+    """Few edges need no rounds; beyond, parts are starred first and rounds complete them."""
+    rng = random.Random(5)
+    chain = [(i, i + 1) for i in range(80)] + [(200, 201 + i) for i in range(20)]
+    rng.shuffle(chain)
+    links = spark.createDataFrame(chain, "a long, b long")
+    expected = {**{i: 0 for i in range(81)}, **{i: 200 for i in range(200, 221)}}
+    rounds, starred = [], ngram_join._starred
+    monkeypatch.setattr(ngram_join, "_starred", lambda edges: rounds.append(1) or starred(edges))
+    for most, used in ((1000, 0), (8, 1)):
+        monkeypatch.setattr(ngram_join, "STAR_EDGES", most)
+        roots = ngram_join.connected(links).collect()
+        assert len(roots) == len(expected) and {r["key"]: r["root"] for r in roots} == expected
+        assert len(rounds) == used
