@@ -17,8 +17,10 @@ What the result needs is classes, so pairs are neither expanded nor verified one
    and neighbouring blocks compare some members of their largest ones. Then every key outside the
    region's largest class is held against all keys of the region, in blocks.
 
-The frequencies behind the order are counted over all documents in a table of fixed size. It only
-sorts and estimates: collisions cost time, never a link.
+The frequencies behind the order are counted over all documents in a table that grows with the text
+up to ``MOST_BITS``, as in a full one all shingles look alike: prefixes would then hold passages that
+many documents quote, and their ties would form one region. It only sorts and estimates: collisions
+cost time, never a link.
 """
 
 from __future__ import annotations
@@ -32,10 +34,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quotemill.llm.staging import stage
+from quotemill.llm.staging import drop_stage, stage
 
-SKETCH_BITS = 20
-SLICES = 16
+#: Bits of a place in the frequency table, at least and at most, and bytes of text for each place.
+LEAST_BITS, MOST_BITS, PLACE_BYTES = 20, 24, 48
+#: Places of one slice of the table, as a power of two.
+SLICE_BITS = 16
+#: Frequencies are kept as levels: eight to each doubling.
+LEVELS = 2.0 ** (np.arange(256) / 8) - 1
 #: Prefix entries of one posting partition, about.
 PART_ENTRIES = 1 << 20
 #: Prefix entries that a task holds before it hands them on.
@@ -164,62 +170,65 @@ def _key(shingles: np.ndarray) -> int:
 # ---- passes over the texts ------------------------------------------------------------------
 
 
-def _described(docs: DataFrame, join: Join) -> DataFrame:
+def table_bits(docs: DataFrame) -> int:
+    """Bits of a place in the frequency table for the text of ``docs``."""
+    size = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    return min(max((-(-size // PLACE_BYTES) - 1).bit_length(), LEAST_BITS), MOST_BITS)
+
+
+def _described(docs: DataFrame, bits: int, join: Join) -> DataFrame:
     """A row (id, n, key) per document, and each task's share of the frequency table in slices."""
     kind = docs.schema["id"].dataType.simpleString()
 
     def batches(tables: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << SKETCH_BITS, np.int64)
+        total = np.zeros(1 << bits, np.uint32)
         id_type = None
         for table in tables:
             ids, id_type = table.column("id"), table.column("id").type
             sizes, keys = np.zeros(len(ids), np.int64), [None] * len(ids)
-            met: list[np.ndarray] = []
             for i, shingles in _sets(table.column("text"), join.words):
                 sizes[i] = len(shingles)
                 if len(shingles):
                     keys[i] = _key(shingles)
-                    met.append(shingles >> np.uint64(64 - SKETCH_BITS))
-                if len(met) == 512:
-                    total += np.bincount(np.concatenate(met).astype(np.int64), minlength=len(total))
-                    met = []
-            if met:
-                total += np.bincount(np.concatenate(met).astype(np.int64), minlength=len(total))
+                    total[(shingles >> np.uint64(64 - bits)).view(np.int64)] += np.uint32(1)
             none = pa.nulls(len(ids))
             yield pa.RecordBatch.from_arrays(
                 [ids, pa.array(sizes), pa.array(keys, pa.int64()), none.cast(pa.int32()), none.cast(pa.binary())],
                 names=["id", "n", "key", "slice", "counts"],
             )
         if id_type is not None:
-            parts = [x.astype("<u4").tobytes() for x in np.split(total, SLICES)]
-            none = pa.nulls(SLICES)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    none.cast(id_type),
-                    none.cast(pa.int64()),
-                    none.cast(pa.int64()),
-                    pa.array(np.arange(SLICES), pa.int32()),
-                    pa.array(parts, pa.binary()),
-                ],
-                names=["id", "n", "key", "slice", "counts"],
-            )
+            for n, part in enumerate(np.split(total, 1 << (bits - SLICE_BITS))):
+                none, counts = pa.nulls(1), pa.compress(part.astype("<u4").tobytes(), "zstd", asbytes=True)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        none.cast(id_type),
+                        none.cast(pa.int64()),
+                        none.cast(pa.int64()),
+                        pa.array([n], pa.int32()),
+                        pa.array([counts], pa.binary()),
+                    ],
+                    names=["id", "n", "key", "slice", "counts"],
+                )
 
     return docs.mapInArrow(batches, f"id {kind}, n long, key long, slice int, counts binary")
 
 
-def _frequencies(described: DataFrame) -> np.ndarray:
-    """The summed frequency table: a fixed number of counts, whatever the data."""
+def _frequencies(described: DataFrame, bits: int) -> np.ndarray:
+    """The summed frequency table, as levels: at most ``2**MOST_BITS`` bytes, whatever the data."""
 
     def add(table: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(v.as_py(), "<u4").astype(np.int64) for v in table["counts"])
-        return pa.table({"slice": table["slice"][:1], "counts": pa.array([total.tobytes()], pa.binary())})
+        total = np.zeros(1 << SLICE_BITS, np.int64)
+        for v in table["counts"]:
+            total += np.frombuffer(pa.decompress(v.as_py(), 4 << SLICE_BITS, "zstd", asbytes=True), "<u4")
+        levels = np.minimum(np.rint(8 * np.log2(total + 1.0)), len(LEVELS) - 1).astype(np.uint8)
+        return pa.table({"slice": table["slice"][:1], "levels": pa.array([levels.tobytes()], pa.binary())})
 
     shares = described.filter(F.col("slice").isNotNull()).select("slice", "counts")
-    rows = shares.groupBy("slice").applyInArrow(add, "slice int, counts binary").collect()
-    total = np.zeros((SLICES, (1 << SKETCH_BITS) // SLICES), np.int64)
+    rows = shares.groupBy("slice").applyInArrow(add, "slice int, levels binary").collect()
+    levels = np.zeros((1 << (bits - SLICE_BITS), 1 << SLICE_BITS), np.uint8)
     for row in rows:
-        total[row["slice"]] = np.frombuffer(row["counts"], np.int64)
-    return total.ravel()
+        levels[row["slice"]] = np.frombuffer(row["levels"], np.uint8)
+    return levels.ravel()
 
 
 def least_overlap(n: int, percent: int) -> int:
@@ -245,11 +254,12 @@ def matches_and_prefix(frequency: np.ndarray, load: float, join: Join) -> tuple[
 
 def _postings(docs: DataFrame, table: np.ndarray, parts: int, join: Join) -> DataFrame:
     """Prefixes of the distinct sets of each task, as arrays per posting partition."""
-    mean = table.mean()
-    shared = docs.sparkSession.sparkContext.broadcast((table.astype(np.int64), mean + 3 * mean**0.5))
+    bits = len(table).bit_length() - 1
+    mean = np.bincount(table, minlength=len(LEVELS)) @ LEVELS / len(table)
+    shared = docs.sparkSession.sparkContext.broadcast((table, mean + 3 * mean**0.5))
 
     def batches(tables: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, load = shared.value
+        levels, load = shared.value
         seen: set[int] = set()
         keys, sizes, needs, prefixes = [], [], [], []
         held = 0
@@ -262,7 +272,7 @@ def _postings(docs: DataFrame, table: np.ndarray, parts: int, join: Join) -> Dat
             token, owner, part = token[order], owner[order], part[order]
             used, first = np.unique(part, return_index=True)
             rows: list[list] = [[], [], [], [], [], []]
-            info = [np.array(x, "<i8") for x in (keys, sizes, needs)]
+            info = [np.array(x, kind) for x, kind in ((keys, "<i8"), (sizes, "<u4"), (needs, "<u4"))]
             for p, a, b in zip(used, first, np.append(first[1:], len(part))):
                 here, local = np.unique(owner[a:b], return_inverse=True)
                 for column, value in zip(rows, (p, *(x[here].tobytes() for x in info))):
@@ -279,9 +289,9 @@ def _postings(docs: DataFrame, table: np.ndarray, parts: int, join: Join) -> Dat
                 if not len(shingles) or (key := _key(shingles)) in seen:
                     continue
                 seen.add(key)
-                frequency = counts[(shingles >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
-                order = np.argsort(frequency, kind="stable")
-                m, length = matches_and_prefix(frequency[order].astype(np.float64), load, join)
+                level = levels[(shingles >> np.uint64(64 - bits)).view(np.int64)]
+                order = np.argsort(level, kind="stable")
+                m, length = matches_and_prefix(LEVELS[level[order]], load, join)
                 keys.append(key)
                 sizes.append(len(shingles))
                 needs.append(m)
@@ -308,7 +318,7 @@ def _matched(table: pa.Table, join: Join) -> pa.Table:
     def joined(name: str, kind: str) -> np.ndarray:
         return np.frombuffer(b"".join(v.as_py() for v in table[name]), kind)
 
-    keys, sizes, needs = (joined(c, "<i8") for c in ("keys", "sizes", "needs"))
+    keys, sizes, needs = joined("keys", "<i8"), *(joined(c, "<u4").astype(np.int64) for c in ("sizes", "needs"))
     token, owner = joined("tokens", "<u8"), joined("owners", "<u4").astype(np.int64)
     held = np.array([len(v.as_py()) // 8 for v in table["keys"]], np.int64)
     entries = np.array([len(v.as_py()) // 8 for v in table["tokens"]], np.int64)
@@ -504,9 +514,10 @@ def _region_links(sets: DataFrame, bins: int, join: Join) -> DataFrame:
     def labelled(found: DataFrame) -> DataFrame:
         """The class of each (region, key); a key may be in a region of ties and in one of pairs."""
         roots = connected(found)
-        return stage(
-            keys.join(roots, "key", "left").withColumn("class", F.coalesce("root", "key")).drop("root"), "labels"
-        )
+        labels = keys.join(roots, "key", "left").withColumn("class", F.coalesce("root", "key")).drop("root")
+        labels = stage(labels, "labels")
+        drop_stage(roots)
+        return labels
 
     of_block = labelled(links)
     sizes = of_block.groupBy("region", "block", "class").agg(F.count("*").alias("n"))
@@ -517,14 +528,17 @@ def _region_links(sets: DataFrame, bins: int, join: Join) -> DataFrame:
     both = F.explode(F.array(F.col("block"), F.pmod(F.col("block") + 1, F.col("blocks"))))
     envoys = envoys.select("region", "key", both.alias("meet")).join(sets, ["region", "key"])
     meeting = envoys.select("region", F.col("meet").alias("block"), "key", "shingles")
-    links = stage(links.unionByName(_within(meeting, bins, join)), "links")
+    more = stage(links.unionByName(_within(meeting, bins, join)), "links")
+    drop_stage(links, of_block)
 
-    whole = labelled(links)
+    whole = labelled(more)
     most = whole.groupBy("region", "class").agg(F.count("*").alias("n"))
     most = most.groupBy("region").agg(F.max_by("class", F.struct("n", "class")).alias("most"))
     outside = whole.join(most, "region").filter("class <> most").select("region", "key")
     outside = stage(large.join(outside, ["region", "key"], "left_semi"), "outside", "uncompressed")
-    return links.unionByName(_against(outside, large, join))
+    done = stage(more.unionByName(_against(outside, large, join)), "links")
+    drop_stage(more, whole, outside)
+    return done
 
 
 def _star_forest(table: pa.Table) -> pa.Table:
@@ -558,9 +572,9 @@ def connected(links: DataFrame) -> DataFrame:
     edges = stage(links.filter("a <> b").select(b.alias("u"), a.alias("v")).distinct(), "edges")
     parts = edges.count() // STAR_EDGES + 1
     place = F.pmod(F.xxhash64("u", "v"), F.lit(parts))
-    edges = stage(edges.groupBy(place).applyInArrow(_star_forest, "u long, v long"), "edges")
-    if parts > 1:
-        edges = _starred(edges)
+    forests = stage(edges.groupBy(place).applyInArrow(_star_forest, "u long, v long"), "edges")
+    drop_stage(edges)
+    edges = _starred(forests) if parts > 1 else forests
     roots = edges.groupBy(F.col("u").alias("key")).agg(F.min("v").alias("root"))
     itself = edges.select(F.col("v").alias("key"), F.col("v").alias("root")).distinct()
     return roots.unionByName(itself)
@@ -582,7 +596,8 @@ def _starred(edges: DataFrame) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         star = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = star.unionByName(low.select("u", F.col("m").alias("v"))).filter("u <> v").distinct()
-        edges = stage(small, "edges")
+        before, edges = edges, stage(small, "edges")
+        drop_stage(before)
         after = mark(edges)
         if after == state:
             break
@@ -599,9 +614,10 @@ def classes(docs: DataFrame, join: Join = Join(), key: str = "doc_id", text: str
     has a null id. Empty table: empty result. Other columns are ignored.
     """
     rows = docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("text"))
-    described = stage(_described(rows, join), "shingle-sizes", "zstd")
+    bits = table_bits(rows)
+    described = stage(_described(rows, bits, join), "shingle-sizes", "zstd")
     known = described.filter(F.col("slice").isNull()).select("id", "n", "key")
-    frequencies = _frequencies(described)
+    frequencies = _frequencies(described, bits)
     entries = known.agg(F.sum("n")).first()[0] or 0
     parts = max(1, int(entries * (100 - join.percent) / 100) // PART_ENTRIES + 1)
     postings = _postings(rows, frequencies, parts, join)
@@ -612,23 +628,30 @@ def classes(docs: DataFrame, join: Join = Join(), key: str = "doc_id", text: str
     # A pair that shares a long posting is in one region of ties, whatever else it shares; any
     # other pair has all its matches in short ones. So ties and pairs need no common regions.
     ties = connected(matched.filter("need = 0").select("a", "b").distinct())
+    met = connected(pairs.select("a", "b"))
     regions = ties.select("key", F.xxhash64(F.lit("ties"), "root").alias("region")).unionByName(
-        connected(pairs.select("a", "b")).select("key", F.xxhash64(F.lit("pairs"), "root").alias("region"))
+        met.select("key", F.xxhash64(F.lit("pairs"), "root").alias("region"))
     )
 
     of_key = known.filter(F.col("key").isNotNull()).groupBy("key").agg(F.min("id").alias("id"), F.first("n").alias("n"))
     placed = stage(regions.join(of_key, "key"), "regions")
+    drop_stage(matched, ties, met)
     sizes = placed.groupBy("region").agg(_blocks(F.sum("n")).alias("blocks"))
     wanted = placed.join(sizes, "region").select(
         "key", "id", "region", "blocks", F.pmod(F.xxhash64("key"), F.col("blocks")).alias("block")
     )
-    sets = stage(_shingled(rows, stage(wanted, "wanted"), join), "sets", "uncompressed")
+    wanted = stage(wanted, "wanted")
+    sets = stage(_shingled(rows, wanted, join), "sets", "uncompressed")
     bins = max(1, (placed.agg(F.sum("n")).first()[0] or 0) // BIN_SHINGLES + 1)
-    roots = stage(connected(_region_links(sets, bins, join)), "roots")
+    drop_stage(placed, wanted)
+    links = _region_links(sets, bins, join)
+    roots = connected(links)
+    drop_stage(sets, links)
 
     members = stage(
         known.join(roots, "key", "left").select("id", "n", F.coalesce("root", "key").alias("class")), "members"
     )
+    drop_stage(described, roots)
     lowest = members.filter(F.col("class").isNotNull()).groupBy("class").agg(F.min("id").alias("component"))
     result = members.join(lowest, "class", "left")
     component = F.when(F.col("class").isNull(), F.col("id")).otherwise(F.col("component"))

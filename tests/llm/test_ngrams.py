@@ -2,6 +2,7 @@
 
 import random
 import re
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -9,6 +10,7 @@ from docs import odd_rows, table
 
 from quotemill.llm import ngram_join
 from quotemill.llm.ngram_join import Join
+from quotemill.llm.staging import shared_folder
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = {i: i + 32 for i in range(65, 91)}
@@ -107,6 +109,36 @@ def test_costly_prefixes_get_longer():
     assert ngram_join.matches_and_prefix(np.ones(1), 0.0, Join()) == (1, 1)
 
 
+def test_frequency_table_grows_with_the_text(spark, monkeypatch):
+    """A table of fixed size fills up, and then prefixes hold what many documents quote."""
+    texts = [" ".join(f"w{i}x{j}" for j in range(200)) + " a passage that all of them quote" for i in range(60)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id long, text string").repartition(3)
+    assert ngram_join.table_bits(docs) == ngram_join.LEAST_BITS
+    assert ngram_join.table_bits(docs.limit(0)) == ngram_join.LEAST_BITS
+    size = sum(len(t.encode()) for t in texts)
+    monkeypatch.setattr(ngram_join, "LEAST_BITS", 10)
+    monkeypatch.setattr(ngram_join, "PLACE_BYTES", 4)
+    assert 2 ** (ngram_join.table_bits(docs) - 1) < size / 4 <= 2 ** ngram_join.table_bits(docs)
+    monkeypatch.setattr(ngram_join, "MOST_BITS", 12)
+    assert ngram_join.table_bits(docs) == 12
+    for bits in (20, 23):
+        levels = ngram_join._frequencies(ngram_join._described(docs, bits, Join()), bits)
+        counts = np.zeros(1 << bits, np.int64)
+        for found in ngram_join.shingle_sets([t.encode() for t in texts], 5):
+            counts[np.unique(found >> np.uint64(64 - bits)).astype(np.int64)] += 1
+        assert len(levels) == len(counts) and counts.max() >= 60
+        assert np.allclose(ngram_join.LEVELS[levels], counts, rtol=0.1)
+        assert (levels > 0).tolist() == (counts > 0).tolist()
+
+
+def test_staged_tables_go_after_their_last_reader(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK_KEYS", 12)
+    root = Path(shared_folder(spark).removeprefix("file:")) / "quotemill-llm"
+    before = set(root.glob("*"))
+    ngram_join.classes(table(spark, corpus(6))).collect()
+    assert {p.name.rsplit("-", 5)[0] for p in set(root.glob("*")) - before} == {"members"}
+
+
 def test_connected(spark):
     rng = random.Random(2)
     chain = [(i, i + 1) for i in range(0, 60)]
