@@ -2,6 +2,7 @@
 
 import os
 from collections import Counter
+from pathlib import Path
 
 import pytest
 from compare import connect, difference
@@ -11,6 +12,7 @@ from test_ngrams import plain_classes
 import corpus_pipeline
 from quotemill.llm.oracle import ORACLE_SQL
 from quotemill.llm.queries import QUERIES
+from quotemill.llm.staging import shared_folder
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 needs_tables = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="driver tables not present")
@@ -90,3 +92,12 @@ def test_rows_that_share_an_id_go_by_their_own_text(spark):
     assert [text for i, text in kept if i == 3] == [near]
     assert len([i for i, _ in kept if i == 7]) == 1 and kept.count((8, "x y z")) == 1
     assert len(kept) == 5 and (None, None) in kept
+
+
+def test_near_duplicates_leave_only_what_their_result_reads(spark):
+    rows = [(i, " ".join(f"word{i // 2}x{j}" for j in range(40)), "en", "web", 0) for i in range(20)]
+    root = Path(shared_folder(spark).removeprefix("file:")) / "quotemill-llm"
+    before = set(root.glob("*"))
+    kept = corpus_pipeline.near_duplicates(spark, table(spark, rows, clash=False), "")
+    assert {p.name.rsplit("-", 5)[0] for p in set(root.glob("*")) - before} == {"ids"}
+    assert kept.count() == 10
