@@ -176,8 +176,25 @@ def table_bits(docs: DataFrame) -> int:
     return min(max((-(-size // PLACE_BYTES) - 1).bit_length(), LEAST_BITS), MOST_BITS)
 
 
+def _share(counts: np.ndarray) -> bytes:
+    """A slice of counts: how many are not zero, then the gaps before them and they, byte by byte."""
+    at = np.nonzero(counts)[0]
+    numbers = ((np.diff(at, prepend=-1) - 1).astype("<u2"), counts[at].astype("<u4"))
+    planes = b"".join(x.view(np.uint8).reshape(len(at), x.itemsize).T.tobytes() for x in numbers)
+    return np.array([len(at)], "<u4").tobytes() + pa.compress(planes, "zstd", asbytes=True)
+
+
+def _add_share(total: np.ndarray, share: bytes) -> None:
+    n = int(np.frombuffer(share[:4], "<u4")[0])
+    planes = np.frombuffer(pa.decompress(share[4:], 6 * n, "zstd", asbytes=True), np.uint8)
+    gaps = np.ascontiguousarray(planes[: 2 * n].reshape(2, n).T).view("<u2").ravel()
+    counts = np.ascontiguousarray(planes[2 * n :].reshape(4, n).T).view("<u4").ravel()
+    total[np.cumsum(gaps.astype(np.int64) + 1) - 1] += counts
+
+
 def _described(docs: DataFrame, bits: int, join: Join) -> DataFrame:
-    """A row (id, n, key) per document, and each task's share of the frequency table in slices."""
+    """A row (id, n, key) per document, and each task's share of the frequency table in slices, but
+    for empty ones."""
     kind = docs.schema["id"].dataType.simpleString()
 
     def batches(tables: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -198,7 +215,9 @@ def _described(docs: DataFrame, bits: int, join: Join) -> DataFrame:
             )
         if id_type is not None:
             for n, part in enumerate(np.split(total, 1 << (bits - SLICE_BITS))):
-                none, counts = pa.nulls(1), pa.compress(part.astype("<u4").tobytes(), "zstd", asbytes=True)
+                if not part.any():
+                    continue
+                none, counts = pa.nulls(1), _share(part)
                 yield pa.RecordBatch.from_arrays(
                     [
                         none.cast(id_type),
@@ -219,7 +238,7 @@ def _frequencies(described: DataFrame, bits: int) -> np.ndarray:
     def add(table: pa.Table) -> pa.Table:
         total = np.zeros(1 << SLICE_BITS, np.int64)
         for v in table["counts"]:
-            total += np.frombuffer(pa.decompress(v.as_py(), 4 << SLICE_BITS, "zstd", asbytes=True), "<u4")
+            _add_share(total, v.as_py())
         levels = np.minimum(np.rint(8 * np.log2(total + 1.0)), len(LEVELS) - 1).astype(np.uint8)
         return pa.table({"slice": table["slice"][:1], "levels": pa.array([levels.tobytes()], pa.binary())})
 

@@ -164,3 +164,17 @@ def test_connected_in_parts_and_in_one(spark, monkeypatch):
         roots = ngram_join.connected(links).collect()
         assert len(roots) == len(expected) and {r["key"]: r["root"] for r in roots} == expected
         assert len(rounds) == used
+
+
+def test_shares_of_the_frequency_table_are_small_and_add_up():
+    rng = np.random.default_rng(5)
+    total, expected = np.zeros(1 << ngram_join.SLICE_BITS, np.int64), np.zeros(1 << ngram_join.SLICE_BITS, np.int64)
+    some = [np.bincount(rng.integers(0, 1 << 16, n), minlength=1 << 16).astype(np.uint32) for n in (9_000, 1, 400_000)]
+    some.append(np.zeros(1 << 16, np.uint32))
+    some[-1][[0, 1, 65_535]] = 1, 2**32 - 1, 70_000
+    for counts in some:
+        ngram_join._add_share(total, ngram_join._share(counts))
+        expected += counts
+    assert (total == expected).all()
+    # A task's text fills a part of the table: a place that it fills takes about a byte.
+    assert len(ngram_join._share(some[0])) < 1.1 * np.count_nonzero(some[0])
