@@ -102,6 +102,63 @@ def test_neighbours_come_from_the_whole_corpus(spark, monkeypatch):
     assert sum(f < 128 for f in fill.values()) <= 1 and max(fill.values()) == 128
 
 
+def block_of(items, idf, doc=None):
+    found = [np.unique(x, return_counts=True) for x in items]
+    return packing.Block(
+        np.arange(len(items)) if doc is None else doc, np.array([len(x) for x in items]), np.concatenate([t for t, _ in found]),
+        np.concatenate([c for _, c in found]), np.array([len(t) for t, _ in found]), idf, 25.0, packing.Packing(),
+    )
+
+
+def test_a_block_hands_on_only_what_can_enter_a_list():
+    rng = np.random.default_rng(6)
+    items = [rng.integers(0, 300, rng.integers(1, 60)) for _ in range(90)]
+    block, asked = block_of(items, rng.random(300) + 0.1), [np.unique(x) for x in items]
+    seeds, most = np.arange(90), np.full(90, 5)
+    alone = [np.concatenate(x) for x in zip(*block.best(seeds, asked, most, np.full(90, -np.inf, np.float32), 90))]
+    place, doc, score = packing._best(*alone, most)
+    every = block.scores(asked) - np.stack([block._ties(np.arange(90), s, 90) for s in seeds])
+    for q in range(90):
+        assert doc[place == q].tolist() == np.lexsort((np.arange(90), -every[q]))[:5].tolist()
+    least = packing._least(place, score, most)
+    assert (least == np.sort(every, axis=1)[:, -5]).all()
+    least[::2] += 1
+    again = [np.concatenate(x) for x in zip(*block.best(seeds, asked, most, least, 90))]
+    assert len(again[0]) == (every >= least[:, None]).sum() < 5 * 90
+    assert (packing._least(place[:-1], score[:-1], most)[-1]) == -np.inf
+
+
+@pytest.mark.parametrize("copies", [1, 40])
+def test_lists_in_steps_are_those_of_one_index(spark, monkeypatch, copies):
+    monkeypatch.setattr(packing, "ROUND_ENTRIES", 1)
+    rng = np.random.default_rng(7)
+    items = [rng.integers(0, 300, rng.integers(1, 60)).astype("<u2") for _ in range(200 // copies)] * copies
+    idf, n = rng.random(300) + 0.1, len(items)
+    rows = spark.createDataFrame([(i, x.tobytes()) for i, x in enumerate(items)], "doc long, rest binary")
+    left = np.array([len(x) for x in items], np.int64)
+    left[rng.integers(0, n, 30)] = 0
+    seeds = np.nonzero(left)[0][:60]
+    most = rng.integers(1, 20, 60)
+    known = spark.sparkContext.broadcast((idf, 25.0))
+    blocks = packing._blocks(rows, 37, "<u2").cache()
+    got = packing._neighbours(blocks, 37, seeds, most, left, known, "<u2", packing.Packing())
+    unused = np.nonzero(left)[0]
+    whole = block_of([items[i] for i in unused], idf, unused)
+    scores = whole.scores([np.unique(items[s]) for s in seeds])
+    assert len(packing._steps(37)) == 3
+    for i, s in enumerate(seeds):
+        final = scores[i] - whole._ties(unused, s, n)
+        assert len(got[i]) == most[i]
+        ranked = final[np.searchsorted(unused, got[i])]
+        # Blocks add up in another order, so scores agree but for the last bits.
+        assert np.allclose(ranked, np.sort(final)[::-1][: most[i]], rtol=1e-4)
+
+
+@pytest.mark.parametrize("count, expected", [(1, [(0, 1)]), (8, [(0, 8)]), (9, [(0, 3), (3, 9)]), (129, [(0, 3), (3, 9), (9, 33), (33, 129)])])
+def test_steps_cover_all_blocks(count, expected):
+    assert packing._steps(count) == expected
+
+
 def test_blocks_score_as_the_index():
     rng = np.random.default_rng(4)
     items = [rng.integers(0, 300, rng.integers(1, 60)) for _ in range(90)]
