@@ -1,6 +1,7 @@
 """The pipeline's stages, each on its own input, and the registered queries."""
 
 import os
+import time
 from collections import Counter
 from pathlib import Path
 
@@ -12,7 +13,7 @@ from test_ngrams import plain_classes
 import corpus_pipeline
 from quotemill.llm.oracle import ORACLE_SQL
 from quotemill.llm.queries import QUERIES
-from quotemill.llm.staging import shared_folder
+from quotemill.llm.staging import CLEANUP, shared_folder, stage
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 needs_tables = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="driver tables not present")
@@ -101,3 +102,16 @@ def test_near_duplicates_leave_only_what_their_result_reads(spark):
     kept = corpus_pipeline.near_duplicates(spark, table(spark, rows, clash=False), "")
     assert {p.name.rsplit("-", 5)[0] for p in set(root.glob("*")) - before} == {"ids"}
     assert kept.count() == 10
+
+
+def test_a_staged_table_leaves_no_shuffle_files(spark):
+    files = lambda: spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    shuffles = lambda: {n for n in files().mkString(" ").split() if "/shuffle_" in n}
+    before, kept = shuffles(), spark.conf.get(CLEANUP, None)
+    rows = stage(spark.range(1000).repartition(7, "id"), "numbers")
+    for _ in range(50):
+        if not (left := shuffles() - before):
+            break
+        time.sleep(0.1)
+    assert not left and spark.conf.get(CLEANUP, None) == kept
+    assert rows.count() == 1000
