@@ -15,7 +15,8 @@ What the result needs is classes, so pairs are neither expanded nor verified one
    all their overlaps are counted there; only links that join two classes come out.
 4. A region that is too large for a task is cut into blocks. First each block finds its classes,
    and neighbouring blocks compare some members of their largest ones. Then every key outside the
-   region's largest class is held against all keys of the region, in blocks.
+   region's largest class is held against all keys of the region, in blocks: some chunks of such
+   keys at a time, so that no more than a few copies of the region are on disk.
 
 The frequencies behind the order are counted over all documents in a table that grows with the text
 up to ``MOST_BITS``, as in a full one all shingles look alike: prefixes would then hold passages that
@@ -28,20 +29,23 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quotemill.llm.staging import drop_stage, stage
+from quotemill.llm.staging import drop_stage, shuffles_deleted, stage
 
 #: Bits of a place in the frequency table, at least and at most, and bytes of text for each place.
-LEAST_BITS, MOST_BITS, PLACE_BYTES = 20, 24, 48
+LEAST_BITS, MOST_BITS, PLACE_BYTES = 20, 27, 48
 #: Places of one slice of the table, as a power of two.
 SLICE_BITS = 16
 #: Frequencies are kept as levels: eight to each doubling.
 LEVELS = 2.0 ** (np.arange(256) / 8) - 1
+#: Entries of the table that a task holds before it hands on their counts.
+HELD_PLACES = 1 << 22
 #: Prefix entries of one posting partition, about.
 PART_ENTRIES = 1 << 20
 #: Prefix entries that a task holds before it hands them on.
@@ -55,6 +59,8 @@ BLOCK_SHINGLES = 1 << 21
 BIN_SHINGLES = 1 << 20
 #: Members of a block's largest class that are held against those of the next block.
 ENVOYS = 32
+#: Chunks of a region's keys outside its largest class that are held against its blocks at a time.
+FACING = 2
 #: Edges whose components a task finds.
 STAR_EDGES = 1_000_000
 #: Keys whose sets are looked up by broadcast; beyond, by a shuffled join.
@@ -179,7 +185,12 @@ def table_bits(docs: DataFrame) -> int:
 def _share(counts: np.ndarray) -> bytes:
     """A slice of counts: how many are not zero, then the gaps before them and they, byte by byte."""
     at = np.nonzero(counts)[0]
-    numbers = ((np.diff(at, prepend=-1) - 1).astype("<u2"), counts[at].astype("<u4"))
+    return _listed(at, counts[at])
+
+
+def _listed(at: np.ndarray, counts: np.ndarray) -> bytes:
+    """The same of the ascending places ``at`` and their counts."""
+    numbers = ((np.diff(at, prepend=-1) - 1).astype("<u2"), counts.astype("<u4"))
     planes = b"".join(x.view(np.uint8).reshape(len(at), x.itemsize).T.tobytes() for x in numbers)
     return np.array([len(at)], "<u4").tobytes() + pa.compress(planes, "zstd", asbytes=True)
 
@@ -193,12 +204,26 @@ def _add_share(total: np.ndarray, share: bytes) -> None:
 
 
 def _described(docs: DataFrame, bits: int, join: Join) -> DataFrame:
-    """A row (id, n, key) per document, and each task's share of the frequency table in slices, but
-    for empty ones."""
+    """A row (id, n, key) per document, and shares of the frequency table in slices, but for empty
+    ones. A task holds ``HELD_PLACES`` entries of the table, however large the table is."""
     kind = docs.schema["id"].dataType.simpleString()
 
+    def shares(held: list[np.ndarray], id_type: pa.DataType) -> pa.RecordBatch:
+        places = np.sort(np.concatenate(held))
+        first = np.nonzero(np.diff(places, prepend=-1))[0]
+        at, counts = places[first], np.diff(np.append(first, len(places)))
+        used, ends = np.unique(at >> SLICE_BITS, return_index=True)
+        parts = [
+            _listed(at[a:b] & ((1 << SLICE_BITS) - 1), counts[a:b]) for a, b in zip(ends, np.append(ends[1:], len(at)))
+        ]
+        none = pa.nulls(len(used))
+        return pa.RecordBatch.from_arrays(
+            [none.cast(id_type), none.cast(pa.int64()), none.cast(pa.int64()), pa.array(used, pa.int32()), pa.array(parts, pa.binary())],
+            names=["id", "n", "key", "slice", "counts"],
+        )
+
     def batches(tables: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << bits, np.uint32)
+        held, size = [], 0
         id_type = None
         for table in tables:
             ids, id_type = table.column("id"), table.column("id").type
@@ -207,46 +232,41 @@ def _described(docs: DataFrame, bits: int, join: Join) -> DataFrame:
                 sizes[i] = len(shingles)
                 if len(shingles):
                     keys[i] = _key(shingles)
-                    total[(shingles >> np.uint64(64 - bits)).view(np.int64)] += np.uint32(1)
+                    places = (shingles >> np.uint64(64 - bits)).astype(np.int32)
+                    held.append(places[np.diff(places, prepend=-1) > 0])
+                    size += len(held[-1])
+                    if size >= HELD_PLACES:
+                        yield shares(held, id_type)
+                        held, size = [], 0
             none = pa.nulls(len(ids))
             yield pa.RecordBatch.from_arrays(
                 [ids, pa.array(sizes), pa.array(keys, pa.int64()), none.cast(pa.int32()), none.cast(pa.binary())],
                 names=["id", "n", "key", "slice", "counts"],
             )
-        if id_type is not None:
-            for n, part in enumerate(np.split(total, 1 << (bits - SLICE_BITS))):
-                if not part.any():
-                    continue
-                none, counts = pa.nulls(1), _share(part)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        none.cast(id_type),
-                        none.cast(pa.int64()),
-                        none.cast(pa.int64()),
-                        pa.array([n], pa.int32()),
-                        pa.array([counts], pa.binary()),
-                    ],
-                    names=["id", "n", "key", "slice", "counts"],
-                )
+        if held:
+            yield shares(held, id_type)
 
     return docs.mapInArrow(batches, f"id {kind}, n long, key long, slice int, counts binary")
 
 
 def _frequencies(described: DataFrame, bits: int) -> np.ndarray:
-    """The summed frequency table, as levels: at most ``2**MOST_BITS`` bytes, whatever the data."""
+    """The summed frequency table, as levels: at most ``2**MOST_BITS`` bytes, whatever the data. The
+    driver gets it compressed."""
 
     def add(table: pa.Table) -> pa.Table:
         total = np.zeros(1 << SLICE_BITS, np.int64)
         for v in table["counts"]:
             _add_share(total, v.as_py())
         levels = np.minimum(np.rint(8 * np.log2(total + 1.0)), len(LEVELS) - 1).astype(np.uint8)
-        return pa.table({"slice": table["slice"][:1], "levels": pa.array([levels.tobytes()], pa.binary())})
+        packed = pa.compress(levels.tobytes(), "zstd", asbytes=True)
+        return pa.table({"slice": table["slice"][:1], "levels": pa.array([packed], pa.binary())})
 
-    shares = described.filter(F.col("slice").isNotNull()).select("slice", "counts")
-    rows = shares.groupBy("slice").applyInArrow(add, "slice int, levels binary").collect()
+    with shuffles_deleted(described.sparkSession):
+        shares = described.filter(F.col("slice").isNotNull()).select("slice", "counts")
+        rows = shares.groupBy("slice").applyInArrow(add, "slice int, levels binary").collect()
     levels = np.zeros((1 << (bits - SLICE_BITS), 1 << SLICE_BITS), np.uint8)
     for row in rows:
-        levels[row["slice"]] = np.frombuffer(row["levels"], np.uint8)
+        levels[row["slice"]] = np.frombuffer(pa.decompress(row["levels"], 1 << SLICE_BITS, "zstd"), np.uint8)
     return levels.ravel()
 
 
@@ -274,7 +294,9 @@ def matches_and_prefix(frequency: np.ndarray, load: float, join: Join) -> tuple[
 def _postings(docs: DataFrame, table: np.ndarray, parts: int, join: Join) -> DataFrame:
     """Prefixes of the distinct sets of each task, as arrays per posting partition."""
     bits = len(table).bit_length() - 1
-    mean = np.bincount(table, minlength=len(LEVELS)) @ LEVELS / len(table)
+    slices = range(0, len(table), 1 << SLICE_BITS)  # counting widens what it counts
+    often = sum(np.bincount(table[a : a + (1 << SLICE_BITS)], minlength=len(LEVELS)) for a in slices)
+    mean = often @ LEVELS / len(table)
     shared = docs.sparkSession.sparkContext.broadcast((table, mean + 3 * mean**0.5))
 
     def batches(tables: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -501,8 +523,13 @@ def _within(sets: DataFrame, bins: int, join: Join) -> DataFrame:
     return dealt.groupBy("bin").applyInArrow(kernel, "a long, b long")
 
 
-def _against(outside: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
-    """Links between ``outside`` and ``sets`` of the same region, block by block."""
+def _against(outside: DataFrame, sets: DataFrame, join: Join) -> list[DataFrame]:
+    """Links between ``outside`` and ``sets`` of the same region, block by block, staged.
+
+    A chunk of ``outside`` meets every block of its region, so all pairs at once would be on disk as
+    often as there are chunks. ``FACING`` chunks of each region go at a time, and what they moved is
+    deleted before the next ones.
+    """
 
     def kernel(few: pa.Table, many: pa.Table) -> pa.Table:
         if not few.num_rows or not many.num_rows:
@@ -510,15 +537,21 @@ def _against(outside: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
         (_, keys, mine), (_, others, theirs) = next(_units(few, "region")), next(_units(many, "region"))
         return _out(_joining(keys, mine, others, theirs, join.percent, {}))
 
-    blocks = sets.select("region", F.col("block").alias("facing")).distinct()
-    counted = outside.groupBy("region").agg(_blocks(F.sum(F.size("shingles"))).alias("chunks"))
+    blocks = stage(sets.select("region", F.col("block").alias("facing")).distinct(), "facing")
+    counted = stage(outside.groupBy("region").agg(_blocks(F.sum(F.size("shingles"))).alias("chunks")), "chunks")
     place = F.pmod(F.xxhash64("key"), F.col("chunks")).alias("chunk")
-    asked = outside.join(counted, "region").select("region", place, "key", "shingles").join(blocks, "region")
-    chunks = counted.select("region", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"))
-    held = sets.select("region", F.col("block").alias("facing"), "key", "shingles").join(chunks, "region")
-    columns = ["region", "chunk", "facing"]
-    pairs = asked.groupBy(*columns).cogroup(held.groupBy(*columns))
-    return pairs.applyInArrow(lambda q, r: kernel(q, r), "a long, b long")
+    found = []
+    for first in range(0, counted.agg(F.max("chunks")).first()[0] or 0, FACING):
+        some = F.col("chunk").between(first, first + FACING - 1)
+        asked = outside.join(counted, "region").select("region", place, "key", "shingles").filter(some).join(blocks, "region")
+        numbers = F.sequence(F.lit(first).cast("long"), F.least(F.lit(first + FACING), "chunks") - 1)
+        chunks = counted.filter(F.col("chunks") > first).select("region", F.explode(numbers).alias("chunk"))
+        held = sets.select("region", F.col("block").alias("facing"), "key", "shingles").join(chunks, "region")
+        columns = ["region", "chunk", "facing"]
+        pairs = asked.groupBy(*columns).cogroup(held.groupBy(*columns))
+        found.append(stage(pairs.applyInArrow(lambda q, r: kernel(q, r), "a long, b long"), "links"))
+    drop_stage(blocks, counted)
+    return found
 
 
 def _region_links(sets: DataFrame, bins: int, join: Join) -> DataFrame:
@@ -555,8 +588,9 @@ def _region_links(sets: DataFrame, bins: int, join: Join) -> DataFrame:
     most = most.groupBy("region").agg(F.max_by("class", F.struct("n", "class")).alias("most"))
     outside = whole.join(most, "region").filter("class <> most").select("region", "key")
     outside = stage(large.join(outside, ["region", "key"], "left_semi"), "outside", "uncompressed")
-    done = stage(more.unionByName(_against(outside, large, join)), "links")
-    drop_stage(more, whole, outside)
+    facing = _against(outside, large, join)
+    done = stage(reduce(DataFrame.unionByName, facing, more), "links")
+    drop_stage(more, whole, outside, *facing)
     return done
 
 

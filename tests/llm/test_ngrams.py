@@ -10,7 +10,7 @@ from docs import odd_rows, table
 
 from quotemill.llm import ngram_join
 from quotemill.llm.ngram_join import Join
-from quotemill.llm.staging import shared_folder
+from quotemill.llm.staging import shared_folder, stage
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = {i: i + 32 for i in range(65, 91)}
@@ -178,3 +178,36 @@ def test_shares_of_the_frequency_table_are_small_and_add_up():
     assert (total == expected).all()
     # A task's text fills a part of the table: a place that it fills takes about a byte.
     assert len(ngram_join._share(some[0])) < 1.1 * np.count_nonzero(some[0])
+
+
+def test_frequency_table_of_a_task_is_bounded(spark, monkeypatch):
+    """Shares that a task hands on in pieces add up to the same table, whose size follows large texts too."""
+    texts = [" ".join(f"w{i}x{j % 60}" for j in range(90)) + " a passage that all of them quote" for i in range(40)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id long, text string").repartition(2)
+    whole = ngram_join._described(docs, 20, Join())
+    monkeypatch.setattr(ngram_join, "HELD_PLACES", 100)
+    pieces = ngram_join._described(docs, 20, Join())
+    assert pieces.filter("slice = 5").count() > whole.filter("slice = 5").count() > 0
+    assert (ngram_join._frequencies(pieces, 20) == ngram_join._frequencies(whole, 20)).all()
+    assert pieces.filter("slice IS NULL").count() == 40
+    monkeypatch.setattr(ngram_join, "PLACE_BYTES", 1)
+    assert ngram_join.table_bits(spark.range(8).selectExpr("repeat('x', 5000000) AS text")) == 26
+
+
+def test_a_large_region_is_compared_some_chunks_at_a_time(spark, monkeypatch):
+    """All chunks of a region against all of its blocks would be on disk at once."""
+    monkeypatch.setattr(ngram_join, "BLOCK_KEYS", 4)
+    monkeypatch.setattr(ngram_join, "FACING", 1)
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(400)]
+    texts = [rng.sample(words, 60) for _ in range(20)]
+    texts += [[*t[:-1], "end"] for t in texts]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    sets = {i: found.view(np.int64).tolist() for i, found in enumerate(ngram_join.shingle_sets([t.encode() for _, t in rows], 5))}
+    held = [(1, k % 5, 5, k, s) for k, s in sets.items()]
+    sets = stage(spark.createDataFrame(held, "region long, block long, blocks long, key long, shingles array<long>"), "sets")
+    outside = stage(sets.filter("key >= 20"), "outside")
+    found = ngram_join._against(outside, sets, Join())
+    assert len(found) == 5
+    links = {(r["a"], r["b"]) for df in found for r in df.collect()}
+    assert {(k, k - 20) for k in range(20, 40)} == {x for x in links if x[0] != x[1]}
