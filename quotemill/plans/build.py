@@ -157,12 +157,12 @@ def _composite(source, split, since=None):
 
 def _industry(source, split, since=None):
     scores = _from(source["composite_scores"], "technical_date", since)
-    return composite.industry_scores(scores, source["companies_current"])
+    return composite.industry_scores(scores, source["companies_current"], recent=since is not None)
 
 
 def _performance(source, split, since=None):
     rows = _from(source["price_returns"], "date", since)
-    return composite.price_performance(rows, source["companies_current"])
+    return composite.price_performance(rows, source["companies_current"], recent=since is not None)
 
 
 def _from(df: DataFrame, date: str, since: dt.date | None) -> DataFrame:

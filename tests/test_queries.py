@@ -410,3 +410,27 @@ def test_daily_rows_are_not_shuffled_for_few_companies(spark, hot, small_thresho
     monkeypatch.setattr(companies, "BROADCAST_COMPANIES", 0)
     beyond = composite.price_performance(hot, names)
     assert shuffles(beyond) > 0 and beyond.filter("sector = 's'").count() == 20_000
+
+
+def test_names_of_recent_rows_are_not_broadcast(spark, hot, small_thresholds):
+    """The driver need not hold all companies for a few days."""
+    from quotemill.operators import composite
+
+    names = spark.createDataFrame([("HOT", "n", "s", "i")], "ticker string, company_name string, sector string, industry string")
+    recent = composite.price_performance(hot, names, recent=True)
+    assert "Broadcast" not in recent._jdf.queryExecution().executedPlan().toString()
+    assert recent.filter("sector = 's'").count() == 20_000 and recent.count() == 60_000
+
+
+def test_names_of_many_scored_companies_are_not_broadcast(spark, small_thresholds, monkeypatch):
+    from quotemill.operators import composite
+
+    days = "ticker string, technical_date date, technical_score int, fundamentals_score int, fiscal_year string"
+    days += ", fiscal_year_start_date date, fiscal_year_end_date date, " + ", ".join(f"{c} double" for c in composite.WEIGHTS)
+    rows = spark.createDataFrame([(t, *[None] * 9) for t in ("A", "B", None, "A")], days)
+    names = spark.createDataFrame([(t, "n", "s", "i") for t in ("A", "C")], "ticker string, company_name string, sector string, industry string")
+    for most, found in ((2, True), (1, False)):
+        monkeypatch.setattr(composite, "SCORED_COMPANIES", most)
+        scored = composite.industry_scores(rows, names)
+        assert ("BroadcastHashJoin" in scored._jdf.queryExecution().executedPlan().toString()) == found
+        assert sorted(str(r["company_name"]) for r in scored.collect()) == ["None", "None", "n", "n"]

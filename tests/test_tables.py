@@ -320,3 +320,29 @@ def test_rows_that_stay_in_a_merge_are_not_shuffled(spark, tmp_path, monkeypatch
     assert "Exchange hashpartitioning" not in plans[1] and "Exchange hashpartitioning" in plans[3]
     kept = sorted((str(r["ticker"]), r["close"]) for r in tables.read("raw/t").collect())
     assert kept == [("A", 1.0), ("B", 30.0), ("None", 3.0), ("None", 4.0), ("None", 4.0)]
+
+
+def test_a_large_batch_of_late_days_leaves_older_rows_alone(spark, tmp_path, monkeypatch):
+    """Neither are its keys broadcast, nor are the rows of other days shuffled for them."""
+    tables, plans = Tables(spark, str(tmp_path)), []
+    old = [(t, 1.0, f"2024-01-{d:02d}") for t in ("A", "B", None) for d in range(1, 9)] + [("A", 2.0, None)]
+    tables.overwrite("raw/t", frame(spark, *old))
+    write = tables._write
+    monkeypatch.setattr(tables, "_write", lambda rows, *args: plans.append(rows) or write(rows, *args))
+    monkeypatch.setattr("quotemill.sources.tables.BROADCAST_KEYS", 1)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    new = [("A", 5.0, "2024-01-07"), ("B", 6.0, "2024-01-08"), ("C", 7.0, "2024-01-09"), (None, 8.0, "2024-01-08")]
+    try:
+        tables.delete_insert("raw/t", frame(spark, *new), ["ticker", "date"], None)
+        plan = plans[1]._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "Broadcast" not in plan and "Exchange hashpartitioning" in plan and "Union" in plan
+    rows = lambda: [(r["ticker"], r["close"], str(r["date"]) if r["date"] else None) for r in tables.read("raw/t").collect()]
+    gone = {("A", "2024-01-07"), ("B", "2024-01-08")}
+    expected = [row for row in old if (row[0], row[2]) not in gone] + new
+    assert sorted(map(str, rows())) == sorted(map(str, expected))
+    # Without a date in the whole batch nothing matches.
+    tables.delete_insert("raw/t", frame(spark, ("A", 9.0, None), ("B", 9.0, None)), ["ticker", "date"], None)
+    assert len(rows()) == len(expected) + 2
